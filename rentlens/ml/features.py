@@ -1,5 +1,6 @@
 """Features for the price and demand models."""
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -80,6 +81,15 @@ DEFAULTS = {
     "amenity_count": 20,
     "estimated_occupancy_l365d": 0.0,
 }
+# Ours, for numbers without a default above: estimators refuse gaps. They agree with the defaults of the
+# columns they are derived from.
+GAP_DEFAULTS = {
+    "availability_365": 182.5,
+    "latitude": 0.0,
+    "longitude": 0.0,
+    "log_reviews": 0.0,
+    "log_host_listings": math.log(2.0),
+}
 AVAILABILITY_LEAKS = (
     "availability_30",
     "availability_60",
@@ -199,6 +209,15 @@ def select_and_fill(
     return out.fillna(filled) if filled else out
 
 
+def model_input(
+    df: DataFrame, encoding: TargetEncoding, leaks: Iterable[str] = (), extra_numeric: Iterable[str] = ()
+) -> DataFrame:
+    """Everything between a listings table and the estimator, the same for training and scoring."""
+    selected = select_and_fill(engineer(df, encoding), leaks, extra_numeric)
+    gaps = {c: v for c, v in GAP_DEFAULTS.items() if c in selected.columns}
+    return selected.fillna(gaps) if gaps else selected
+
+
 def feature_stages(
     categorical: Sequence[str] = CATEGORICAL, numbers: Sequence[str] = NUMERIC, scaled: bool = True
 ) -> list:

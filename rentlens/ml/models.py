@@ -110,7 +110,7 @@ def train_price(
     encoding = features.fit_target_encoding(train_rows, key=key)
 
     def prepared(rows: DataFrame) -> DataFrame:
-        return features.select_and_fill(features.engineer(rows, encoding)).withColumn("label", F.log1p("price"))
+        return features.model_input(rows, encoding).withColumn("label", F.log1p("price"))
 
     train = prepared(train_rows)
     numbers, categories = features.model_columns(train)
@@ -160,7 +160,7 @@ def _train_classifier(
     leaks = features.AVAILABILITY_LEAKS
 
     def prepared(part: DataFrame) -> DataFrame:
-        selected = features.select_and_fill(features.engineer(part, encoding), leaks, extra_numeric)
+        selected = features.model_input(part, encoding, leaks, extra_numeric)
         return selected.withColumn("label", F.col(label).cast("double"))
 
     train = features.class_weights(prepared(train_rows))
@@ -263,8 +263,7 @@ def score(
     key: str = "id",
 ) -> DataFrame:
     """Score a whole table: price for a regression, probability of the positive class otherwise."""
-    prepared = features.select_and_fill(features.engineer(df, encoding), leaks, extra_numeric)
-    scored = model.transform(prepared)
+    scored = model.transform(features.model_input(df, encoding, leaks, extra_numeric))
     if "probability" in scored.columns:
         return scored.select(key, "prediction", vector_to_array("probability")[1].alias("probability"))
     return scored.select(key, "prediction", F.expm1("prediction").alias("predicted_price"))
