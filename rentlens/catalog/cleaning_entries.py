@@ -175,7 +175,7 @@ def _(t):
     "estimated_revenue",
     """
     SELECT id, CAST(365 - availability_365 AS DOUBLE) AS booked_nights_365,
-           round(price * (365 - availability_365), 2) AS estimated_revenue_365 FROM r_listings""",
+           CAST(round(CAST(price * (365 - availability_365) AS DECIMAL(30,9)), 2) AS DOUBLE) AS estimated_revenue_365 FROM r_listings""",
     roles="r_listings",
 )
 def _(t):

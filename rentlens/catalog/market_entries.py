@@ -294,7 +294,7 @@ def _(t):
                      count(*) OVER (PARTITION BY city) AS hosts FROM per_host)
     SELECT city, hosts AS total_hosts, CAST(greatest(1, ceil(hosts * 0.1)) AS BIGINT) AS top_hosts,
            CAST(sum(n) FILTER (rn <= greatest(1, ceil(hosts * 0.1))) AS BIGINT) AS listings_by_top,
-           round(100.0 * sum(n) FILTER (rn <= greatest(1, ceil(hosts * 0.1))) / sum(n), 1) AS pct_of_total_listings
+           CAST(round(CAST(100.0 * sum(n) FILTER (rn <= greatest(1, ceil(hosts * 0.1))) / sum(n) AS DECIMAL(30,9)), 1) AS DOUBLE) AS pct_of_total_listings
     FROM sized GROUP BY city, hosts""",
     roles="r_listings",
 )
@@ -307,7 +307,7 @@ def _(t):
     """
     WITH yearly AS (SELECT city, year, count(*) AS n_reviews FROM r_lines WHERE year >= 1996 GROUP BY ALL),
     lagged AS (SELECT *, lag(n_reviews) OVER (PARTITION BY city ORDER BY year) AS p FROM yearly)
-    SELECT city, year, n_reviews, round(CASE WHEN p > 0 THEN 100.0 * (n_reviews - p) / p ELSE 0 END, 1) AS yoy_growth_pct
+    SELECT city, year, n_reviews, CAST(round(CAST(CASE WHEN p > 0 THEN 100.0 * (n_reviews - p) / p ELSE 0 END AS DECIMAL(30,9)), 1) AS DOUBLE) AS yoy_growth_pct
     FROM lagged WHERE p IS NOT NULL""",
     roles="r_lines",
 )
@@ -320,7 +320,7 @@ def _(t):
     """
     WITH yearly AS (SELECT city, year, count(*) AS n_reviews FROM r_lines WHERE year >= 1996 GROUP BY ALL),
     lagged AS (SELECT *, lag(n_reviews) OVER (PARTITION BY city ORDER BY year) AS p FROM yearly),
-    growth AS (SELECT city, year, round(CASE WHEN p > 0 THEN 100.0 * (n_reviews - p) / p ELSE 0 END, 1) AS g
+    growth AS (SELECT city, year, CAST(round(CAST(CASE WHEN p > 0 THEN 100.0 * (n_reviews - p) / p ELSE 0 END AS DECIMAL(30,9)), 1) AS DOUBLE) AS g
                FROM lagged WHERE p IS NOT NULL)
     SELECT year, max(g) FILTER (city = 'AFRICA') AS "AFRICA", max(g) FILTER (city = 'AMERICA') AS "AMERICA",
            max(g) FILTER (city = 'ASIA') AS "ASIA", max(g) FILTER (city = 'EUROPE') AS "EUROPE",
@@ -415,8 +415,8 @@ def _(t):
     stats AS (SELECT city, {sql_avg("v", 12)} AS annual,
                      {sql_avg("CASE WHEN month IN (6, 7, 8) THEN v END", 12)} AS season FROM means GROUP BY city),
     peaks AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY v DESC, month) AS rn FROM means)
-    SELECT city, round(annual, 3) AS annual_mean, round(season, 3) AS season_mean,
-           round(100 * (season - annual) / annual, 1) AS lift_pct, month AS peak_month, round(v, 3) AS peak_value
+    SELECT city, CAST(round(CAST(annual AS DECIMAL(30,9)), 3) AS DOUBLE) AS annual_mean, CAST(round(CAST(season AS DECIMAL(30,9)), 3) AS DOUBLE) AS season_mean,
+           CAST(round(CAST(100 * (season - annual) / annual AS DECIMAL(30,9)), 1) AS DOUBLE) AS lift_pct, month AS peak_month, CAST(round(CAST(v AS DECIMAL(30,9)), 3) AS DOUBLE) AS peak_value
     FROM stats JOIN peaks USING (city) WHERE rn = 1""",
     roles="r_lines",
 )

@@ -22,7 +22,7 @@ PIVOT_CITIES = ", ".join(
       UNION ALL SELECT 'reviews', 4, city, count(*) FROM r_lines GROUP BY city)
     SELECT dataset, CAST(columns AS INTEGER) AS columns, city, rows,
            CAST(sum(rows) OVER (PARTITION BY dataset) AS BIGINT) AS total_rows,
-           round(100.0 * rows / sum(rows) OVER (PARTITION BY dataset), 1) AS pct FROM counts""",
+           CAST(round(CAST(100.0 * rows / sum(rows) OVER (PARTITION BY dataset) AS DECIMAL(30,9)), 1) AS DOUBLE) AS pct FROM counts""",
     roles="r_listings r_lines",
 )
 def _(t):
@@ -38,9 +38,9 @@ def _(t):
                           count(*) FILTER (number_of_reviews IS NULL) AS r,
                           count(*) FILTER (room_type IS NULL OR room_type = '5-LOW') AS e FROM r_listings)
     SELECT * FROM (
-      SELECT 'availability_365' AS "column", a AS missing, round(100.0 * a / n, 1) AS pct FROM total
-      UNION ALL SELECT 'number_of_reviews', r, round(100.0 * r / n, 1) FROM total
-      UNION ALL SELECT 'room_type', e, round(100.0 * e / n, 1) FROM total) WHERE missing > 0""",
+      SELECT 'availability_365' AS "column", a AS missing, CAST(round(CAST(100.0 * a / n AS DECIMAL(30,9)), 1) AS DOUBLE) AS pct FROM total
+      UNION ALL SELECT 'number_of_reviews', r, CAST(round(CAST(100.0 * r / n AS DECIMAL(30,9)), 1) AS DOUBLE) FROM total
+      UNION ALL SELECT 'room_type', e, CAST(round(CAST(100.0 * e / n AS DECIMAL(30,9)), 1) AS DOUBLE) FROM total) WHERE missing > 0""",
     roles="r_listings",
 )
 def _(t):
@@ -82,7 +82,7 @@ def _(t):
 @entry(
     "quartile_stats",
     f"""
-    SELECT city, round({sql_avg("availability_365")}, 1) AS mean,
+    SELECT city, CAST(round(CAST({sql_avg("availability_365")} AS DECIMAL(30,9)), 1) AS DOUBLE) AS mean,
            CAST(quantile_disc(availability_365, 0.5) AS BIGINT) AS median,
            CAST(quantile_disc(availability_365, 0.25) AS BIGINT) AS q1,
            CAST(quantile_disc(availability_365, 0.75) AS BIGINT) AS q3
@@ -100,8 +100,8 @@ def _quantiles(points: dict[str, float], column: str = "price") -> str:
 @entry(
     "price_summary",
     f"""
-    SELECT city, count(*) AS n, round({sql_avg("price")}, 2) AS avg, min(price) AS min, max(price) AS max,
-           round(stddev_samp(price), 2) AS std,
+    SELECT city, count(*) AS n, CAST(round(CAST({sql_avg("price")} AS DECIMAL(30,9)), 2) AS DOUBLE) AS avg, min(price) AS min, max(price) AS max,
+           CAST(round(CAST(stddev_samp(price) AS DECIMAL(30,9)), 2) AS DOUBLE) AS std,
            {_quantiles({"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99})}
     FROM r_listings WHERE price > 0 AND price < {PRICE_TOP} GROUP BY city""",
     roles="r_listings",
@@ -130,7 +130,7 @@ LIMITS = "(SELECT unnest([100000, 250000, 499950]) AS threshold)"
     WITH totals AS (SELECT city, count(*) AS total FROM r_listings WHERE price > 0 GROUP BY city),
     above AS (SELECT city, CAST(threshold AS INTEGER) AS threshold, count(*) AS outlier_count
               FROM r_listings JOIN {LIMITS} ON price > threshold GROUP BY ALL)
-    SELECT city, threshold, outlier_count, total, round(100.0 * outlier_count / total, 2) AS percentage
+    SELECT city, threshold, outlier_count, total, CAST(round(CAST(100.0 * outlier_count / total AS DECIMAL(30,9)), 2) AS DOUBLE) AS percentage
     FROM above JOIN totals USING (city)""",
     roles="r_listings",
 )
@@ -143,7 +143,7 @@ def _(t):
     """
     WITH lim AS (SELECT unnest([100000, 250000, 600000]) AS threshold)
     SELECT CAST(threshold AS INTEGER) AS threshold, count(*) FILTER (o_totalprice > threshold) AS outlier_count,
-           count(*) AS total, round(100.0 * count(*) FILTER (o_totalprice > threshold) / count(*), 2) AS percentage
+           count(*) AS total, CAST(round(CAST(100.0 * count(*) FILTER (o_totalprice > threshold) / count(*) AS DECIMAL(30,9)), 2) AS DOUBLE) AS percentage
     FROM orders, lim WHERE o_totalprice > 0 GROUP BY threshold""",
 )
 def _(t):
@@ -153,7 +153,7 @@ def _(t):
 @entry(
     "price_by_category",
     f"""
-    SELECT city, room_type, round({sql_avg("price")}, 2) AS avg_price, quantile_disc(price, 0.5) AS median_price,
+    SELECT city, room_type, CAST(round(CAST({sql_avg("price")} AS DECIMAL(30,9)), 2) AS DOUBLE) AS avg_price, quantile_disc(price, 0.5) AS median_price,
            count(*) AS n
     FROM r_listings WHERE price > 0 AND price < {PRICE_TOP} GROUP BY ALL""",
     roles="r_listings",
@@ -165,7 +165,7 @@ def _(t):
 @entry(
     "top_avg_min_n",
     f"""
-    WITH stats AS (SELECT city, neighbourhood, round({sql_avg("price")}, 2) AS avg_price, count(*) AS n
+    WITH stats AS (SELECT city, neighbourhood, CAST(round(CAST({sql_avg("price")} AS DECIMAL(30,9)), 2) AS DOUBLE) AS avg_price, count(*) AS n
                    FROM r_listings WHERE price > 0 AND price < {PRICE_TOP} GROUP BY ALL HAVING count(*) >= 30)
     SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY city ORDER BY avg_price DESC, neighbourhood) AS INTEGER)
                    AS rank FROM stats) WHERE rank <= 10""",
@@ -188,9 +188,9 @@ def _(t):
     f"""
     SELECT city, count(*) AS total_rows, count(DISTINCT l_partkey) AS unique_listings,
            count(*) FILTER (available) AS available_days, count(*) FILTER (NOT available) AS blocked_days,
-           round({sql_avg("l_extendedprice")}, 2) AS avg_price,
-           round(100.0 * count(*) FILTER (available) / count(*), 2) AS available_pct,
-           round(100.0 * count(*) FILTER (NOT available) / count(*), 2) AS blocked_pct
+           CAST(round(CAST({sql_avg("l_extendedprice")} AS DECIMAL(30,9)), 2) AS DOUBLE) AS avg_price,
+           CAST(round(CAST(100.0 * count(*) FILTER (available) / count(*) AS DECIMAL(30,9)), 2) AS DOUBLE) AS available_pct,
+           CAST(round(CAST(100.0 * count(*) FILTER (NOT available) / count(*) AS DECIMAL(30,9)), 2) AS DOUBLE) AS blocked_pct
     FROM r_lines GROUP BY city""",
     roles="r_lines",
 )
@@ -227,7 +227,7 @@ def _(t):
     "coverage",
     """
     SELECT city, count(available) AS non_null, count(*) AS total,
-           round(100.0 * count(available) / count(*), 1) AS pct_non_null FROM r_lines GROUP BY city""",
+           CAST(round(CAST(100.0 * count(available) / count(*) AS DECIMAL(30,9)), 1) AS DOUBLE) AS pct_non_null FROM r_lines GROUP BY city""",
     roles="r_lines",
 )
 def _(t):
@@ -237,7 +237,7 @@ def _(t):
 @entry(
     "monthly_mean_positive",
     f"""
-    SELECT city, year, month, round({sql_avg("l_extendedprice")}, 2) AS avg_adjusted_price
+    SELECT city, year, month, CAST(round(CAST({sql_avg("l_extendedprice")} AS DECIMAL(30,9)), 2) AS DOUBLE) AS avg_adjusted_price
     FROM r_lines WHERE l_extendedprice > 0 GROUP BY ALL""",
     roles="r_lines",
 )
@@ -279,13 +279,13 @@ def _(t):
       SELECT city, room_type, row_number() OVER (PARTITION BY city ORDER BY count(*) DESC, room_type) AS rn
       FROM r_listings GROUP BY city, room_type) WHERE rn = 1),
     cal AS (SELECT city, count(*) AS total_reviews,
-                   round(100.0 * count(*) FILTER (available) / count(available), 1) AS availability_rate_pct
+                   CAST(round(CAST(100.0 * count(*) FILTER (available) / count(available) AS DECIMAL(30,9)), 1) AS DOUBLE) AS availability_rate_pct
             FROM r_lines GROUP BY city)
-    SELECT city, count(id) AS n_listings, round({sql_avg("price")}, 0) AS avg_price,
-           round(quantile_disc(price, 0.5), 0) AS median_price,
-           round({sql_avg("number_of_reviews")}, 1) AS avg_reviews_per_listing,
-           round({sql_avg("reviews_per_month")}, 2) AS avg_rating,
-           round({sql_avg("availability_365")}, 0) AS avg_availability,
+    SELECT city, count(id) AS n_listings, CAST(round(CAST({sql_avg("price")} AS DECIMAL(30,9)), 0) AS DOUBLE) AS avg_price,
+           CAST(round(CAST(quantile_disc(price, 0.5) AS DECIMAL(30,9)), 0) AS DOUBLE) AS median_price,
+           CAST(round(CAST({sql_avg("number_of_reviews")} AS DECIMAL(30,9)), 1) AS DOUBLE) AS avg_reviews_per_listing,
+           CAST(round(CAST({sql_avg("reviews_per_month")} AS DECIMAL(30,9)), 2) AS DOUBLE) AS avg_rating,
+           CAST(round(CAST({sql_avg("availability_365")} AS DECIMAL(30,9)), 0) AS DOUBLE) AS avg_availability,
            first(dom.room_type) AS dominant_room_type, first(total_reviews) AS total_reviews,
            first(availability_rate_pct) AS availability_rate_pct
     FROM r_listings JOIN dom USING (city) JOIN cal USING (city) WHERE price > 0 GROUP BY city""",
@@ -342,7 +342,7 @@ def _(t):
 @entry(
     "crosstab_pct",
     "SELECT room_type, "
-    + ", ".join(f"round(100.0 * count(*) FILTER (city = '{c}') / count(*), 2) AS \"{c}\"" for c in roles.CITIES)
+    + ", ".join(f"CAST(round(CAST(100.0 * count(*) FILTER (city = '{c}') / count(*) AS DECIMAL(30,9)), 2) AS DOUBLE) AS \"{c}\"" for c in roles.CITIES)
     + " FROM r_listings GROUP BY room_type",
     roles="r_listings",
 )
@@ -353,10 +353,10 @@ def _(t):
 @entry(
     "city_stats",
     f"""
-    SELECT city, count(*) AS total_listings, round({sql_avg("minimum_nights")}, 2) AS avg_minimum_nights,
-           round({sql_avg("availability_365")}, 1) AS avg_availability_365,
-           round({sql_avg("reviews_per_month")}, 3) AS avg_reviews_per_month,
-           round({sql_avg("number_of_reviews")}, 1) AS avg_number_of_reviews
+    SELECT city, count(*) AS total_listings, CAST(round(CAST({sql_avg("minimum_nights")} AS DECIMAL(30,9)), 2) AS DOUBLE) AS avg_minimum_nights,
+           CAST(round(CAST({sql_avg("availability_365")} AS DECIMAL(30,9)), 1) AS DOUBLE) AS avg_availability_365,
+           CAST(round(CAST({sql_avg("reviews_per_month")} AS DECIMAL(30,9)), 3) AS DOUBLE) AS avg_reviews_per_month,
+           CAST(round(CAST({sql_avg("number_of_reviews")} AS DECIMAL(30,9)), 1) AS DOUBLE) AS avg_number_of_reviews
     FROM r_listings GROUP BY city""",
     roles="r_listings",
 )

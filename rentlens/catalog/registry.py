@@ -58,4 +58,5 @@ def sql_sum(x: str, scale: int = 2) -> str:
 
 
 def sql_avg(x: str, scale: int = 2) -> str:
-    return f"({sql_sum(x, scale)} / count({x}))"
+    units = f"CAST(sum(CAST({x} AS DECIMAL(38,{scale}))) * {10**scale} AS DOUBLE)"
+    return f"({units} / (count({x}) * 1e{scale}))"

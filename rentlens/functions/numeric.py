@@ -17,6 +17,11 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(as_column(numerator).cast("double"), as_column(denominator).cast("double"))
 
 
+def percent(part: Column | str, whole: Column | str) -> Column:
+    """Percentage with a single division, so that halves stay halves when rounded."""
+    return ratio(F.lit(100.0) * as_column(part), whole)
+
+
 def fixed_point(c: Column | str, scale: int = 2) -> Column:
     """The value as a whole number of 10^-scale units; sums of these do not depend on row order."""
     return F.floor(as_column(c).cast("double") * F.lit(10.0**scale) + F.lit(0.5)).cast("decimal(20,0)")
@@ -26,14 +31,13 @@ def exact_sum(c: Column | str, scale: int = 2) -> Column:
     return F.sum(fixed_point(c, scale)).cast("double") / F.lit(10.0**scale)
 
 
-def exact_avg(c: Column | str, scale: int = 2) -> Column:
-    return F.try_divide(exact_sum(c, scale), F.count(as_column(c)))
+def exact_mean(total: Column | str, n: Column, scale: int = 2) -> Column:
+    """Sum of a value over a count, from whole units and a single division."""
+    return F.try_divide(F.sum(fixed_point(total, scale)).cast("double"), n * F.lit(10.0**scale))
 
 
-def share_true(c: Column | str) -> Column:
-    """Mean of a boolean over its known values."""
-    c = as_column(c)
-    return F.try_divide(F.count_if(c).cast("double"), F.count(c))
+def exact_avg(c: Column | str, scale: int = 2) -> Column:
+    return exact_mean(c, F.count(as_column(c)), scale)
 
 
 def sketch_quantile(c: Column | str, p: float, accuracy: int = SKETCH_ACCURACY) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels, numeric
+from ..operators.distributions import exact_quantiles
+from ..operators.occupancy import LISTING, listing_months
 from ..sources import tables
 
 # Feature names, defaults and leak lists that a trained model depends on.
@@ -158,7 +160,7 @@ def fit_target_encoding(
         F.count("*").alias("n_rows"),
     )
     defaults = groups.agg(
-        F.try_divide(F.sum("log_units").cast("double") / F.lit(1e12), F.sum("n_targets")).alias("mean_log"),
+        F.try_divide(F.sum("log_units").cast("double"), F.sum("n_targets") * F.lit(1e12)).alias("mean_log"),
         numeric.ratio(F.sum("n_rows"), F.count("*")).alias("mean_count"),
     )
     return TargetEncoding(groups, defaults, group, mean_name, count_name)
@@ -249,9 +251,9 @@ def split(df: DataFrame, key: str | Sequence[str] = "id", train_percent: int = 8
     return df.where(bucket < train_percent), df.where(bucket >= train_percent)
 
 
-def price_cap(df: DataFrame, price: str = "price", p: float = 0.99, accuracy: int = 1_000_000) -> DataFrame:
-    """One row with the price cap. A single sketch over all rows, so it can afford more accuracy."""
-    return df.agg(numeric.sketch_quantile(price, p, accuracy).alias("cap"))
+def price_cap(df: DataFrame, price: str = "price", p: float = 0.99) -> DataFrame:
+    """One row with the price below which the given share of all rows lies."""
+    return exact_quantiles(df, price, {"cap": p}, method="lower").select("cap")
 
 
 def within_cap(df: DataFrame, price: str = "price", floor: float = 10, **options) -> DataFrame:
@@ -278,8 +280,6 @@ def monthly_demand(
     keep: Sequence[str] = ("city",),
 ) -> DataFrame:
     """Listing-months with enough days: booked share, busy label, cyclic month, listing columns."""
-    from ..operators.occupancy import LISTING, listing_months
-
     months = (
         listing_months(calendar.where(F.col("date").isNotNull()), flag, keep=keep)
         .where(F.col("n_days") >= min_days)

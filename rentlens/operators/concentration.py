@@ -97,7 +97,7 @@ def top_share_by_head(
             F.col("entities").alias("total_hosts"),
             F.col("k").alias("top_hosts"),
             F.col("held").alias("listings_by_top"),
-            F.round(100 * numeric.ratio("held", "total_items"), 1).alias("pct_of_total_listings"),
+            F.round(numeric.percent("held", "total_items"), 1).alias("pct_of_total_listings"),
         )
         .orderBy(parent)
     )

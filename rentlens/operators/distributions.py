@@ -1,6 +1,7 @@
 """Value distributions: exact quantiles, histograms, box plots, threshold counts."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,6 +98,12 @@ def exact_quantiles(
     return found.groupBy(*keys).agg(*columns)
 
 
+def merge_groups(by: Sequence[str], *tables: DataFrame) -> DataFrame:
+    """Put summaries of the same groups side by side. Groups whose key is NULL match each other."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in by])
+
+
 def medians(df: DataFrame, by: Sequence[str], value: str = "price") -> DataFrame:
     """Exact interpolated median and size per group."""
     return exact_quantiles(df, value, {f"median_{value}": 0.5}, by)
@@ -230,7 +237,7 @@ def thresholds_long(
     out = counts.select(*by, "total", F.inline("above"))
     if by:
         out = out.where(F.col("outlier_count") > 0)
-    pct = F.round(100 * numeric.ratio("outlier_count", "total"), 2)
+    pct = F.round(numeric.percent("outlier_count", "total"), 2)
     return out.withColumn("percentage", pct).orderBy("threshold", *by)
 
 

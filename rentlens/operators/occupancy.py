@@ -96,12 +96,15 @@ def area_revenue(
     revenue = F.when(
         F.sum("valued_days") > 0, F.coalesce(numeric.exact_sum("earned"), F.lit(0.0))
     )
+    mean_day = F.coalesce(
+        numeric.exact_mean("earned", F.sum("valued_days")), F.when(F.sum("valued_days") > 0, F.lit(0.0))
+    )
     areas = (
         months.select("*", earned.alias("earned"), valued_days.alias("valued_days"))
         .groupBy(parent, area, "year", "month")
         .agg(
             revenue.alias("total_revenue"),
-            F.try_divide(revenue, F.sum("valued_days")).alias("avg_daily_revenue"),
+            mean_day.alias("avg_daily_revenue"),
             F.sum("n_days").alias("n_days"),
             F.when(F.sum("n_known") > 0, F.sum("n_booked")).alias("booked_days"),
             F.when(F.sum("n_known") > 0, F.sum("n_free")).alias("available_days"),
@@ -142,9 +145,7 @@ def review_demand(
         .agg(
             F.sum("n_reviews").alias("n_reviews"),
             F.count(LISTING).alias("n_unique_listings"),
-            F.try_divide(
-                numeric.exact_sum(F.col(price) * F.col("n_reviews")), F.sum(priced)
-            ).alias("avg_price"),
+            numeric.exact_mean(F.col(price) * F.col("n_reviews"), F.sum(priced)).alias("avg_price"),
         )
         .orderBy(*keys)
     )
@@ -201,15 +202,15 @@ def calendar_overview(
         F.sum("free").alias("available_days"),
         F.sum("blocked").alias("blocked_days"),
         *(
-            [F.round(F.try_divide(F.sum("value").cast("double") / 100.0, F.sum("valued")), 2).alias("avg_price")]
+            [F.round(F.try_divide(F.sum("value").cast("double"), F.sum("valued") * 100.0), 2).alias("avg_price")]
             if price
             else []
         ),
     )
     return out.withColumns(
         {
-            "available_pct": F.round(100 * numeric.ratio("available_days", "total_rows"), 2),
-            "blocked_pct": F.round(100 * numeric.ratio("blocked_days", "total_rows"), 2),
+            "available_pct": F.round(numeric.percent("available_days", "total_rows"), 2),
+            "blocked_pct": F.round(numeric.percent("blocked_days", "total_rows"), 2),
         }
     ).orderBy(by)
 
@@ -241,7 +242,7 @@ def coverage(df: DataFrame, column: str, by: Sequence[str] = ("city",)) -> DataF
     return (
         df.groupBy(*by)
         .agg(F.count(column).alias("non_null"), F.count("*").alias("total"))
-        .withColumn("pct_non_null", F.round(100 * numeric.ratio("non_null", "total"), 1))
+        .withColumn("pct_non_null", F.round(numeric.percent("non_null", "total"), 1))
         .orderBy(*by)
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric
 from ..functions.numeric import SKETCH_ACCURACY
-from .distributions import medians
+from .distributions import medians, merge_groups
 from .trends import dominant
 
 
@@ -23,7 +23,7 @@ def dataset_overview(tables: Mapping[str, DataFrame], parent: str = "city") -> D
     totals = stacked.groupBy("dataset").agg(F.sum("rows").alias("total_rows"))
     return (
         stacked.join(totals, "dataset")
-        .withColumn("pct", F.round(100 * numeric.ratio("rows", "total_rows"), 1))
+        .withColumn("pct", F.round(numeric.percent("rows", "total_rows"), 1))
         .orderBy("dataset", parent)
     )
 
@@ -41,7 +41,7 @@ def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return (
         counts.select("total", F.inline("profile"))
         .where(F.col("missing") > 0)
-        .select("column", "missing", F.round(100 * numeric.ratio("missing", "total"), 1).alias("pct"))
+        .select("column", "missing", F.round(numeric.percent("missing", "total"), 1).alias("pct"))
         .orderBy(F.col("missing").desc(), "column")
     )
 
@@ -107,15 +107,6 @@ def category_rates(
     )
 
 
-def _listing_measures(price: str, activity: str, available: str, capacity: float, accuracy: int) -> dict[str, Column]:
-    return {
-        "median_price": numeric.sketch_quantile(price, 0.5, accuracy),
-        "mean_price": numeric.exact_avg(price),
-        "mean_reviews_per_month": numeric.exact_avg(activity),
-        "avg_occupancy_rate": numeric.occupancy(numeric.exact_avg(available), capacity),
-    }
-
-
 def compare_groups(
     df: DataFrame,
     by: Sequence[str],
@@ -128,14 +119,21 @@ def compare_groups(
     capacity: float = 365.0,
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """Price, activity, occupancy, listings and hosts per group."""
-    measures = _listing_measures(price, activity, available, capacity, accuracy)
-    measures |= {name: numeric.exact_avg(c) for name, c in (extra_means or {}).items()}
-    return df.groupBy(*by).agg(
-        *[e.alias(name) for name, e in measures.items()],
+    """Price, activity, occupancy, listings and hosts per group.
+
+    Hosts are counted in an aggregation of their own: in one with the median, Spark would keep a price
+    sketch per host.
+    """
+    measures = df.groupBy(*by).agg(
+        numeric.sketch_quantile(price, 0.5, accuracy).alias("median_price"),
+        numeric.exact_avg(price).alias("mean_price"),
+        numeric.exact_avg(activity).alias("mean_reviews_per_month"),
+        numeric.occupancy(numeric.exact_avg(available), capacity).alias("avg_occupancy_rate"),
+        *[numeric.exact_avg(c).alias(name) for name, c in (extra_means or {}).items()],
         F.count(key).alias("n_listings"),
-        F.count_distinct(host).alias("n_hosts"),
     )
+    hosts = df.groupBy(*by).agg(F.count_distinct(host).alias("n_hosts"))
+    return merge_groups(by, measures, hosts)
 
 
 def compare_areas(
@@ -163,7 +161,7 @@ def headline_metrics(
     counts = df.groupBy(parent).agg(
         F.count("*").alias("n_listings"),
         F.count_distinct(host).alias("n_hosts"),
-        (100 * numeric.ratio(F.count_if(F.col(multi) == "multi"), F.count("*"))).alias("multi_share_pct"),
+        numeric.percent(F.count_if(F.col(multi) == "multi"), F.count("*")).alias("multi_share_pct"),
     )
     return counts.join(medians(df, [parent], price).drop("n"), parent, "left").orderBy(parent)
 
@@ -206,21 +204,18 @@ def city_summary(
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """One row per parent: listing statistics, dominant category, reviews and calendar availability."""
-    priced = (
-        listings.where(F.col(price) > 0)
-        .groupBy(parent)
-        .agg(
-            F.count(key).alias("n_listings"),
-            F.round(numeric.exact_avg(price), 0).alias("avg_price"),
-            F.round(numeric.sketch_quantile(price, 0.5, accuracy), 0).alias("median_price"),
-            F.round(numeric.exact_avg(activity), 1).alias("avg_reviews_per_listing"),
-            F.round(numeric.exact_avg(rating), 2).alias("avg_rating"),
-            F.round(numeric.exact_avg(available), 0).alias("avg_availability"),
-        )
+    valid = listings.where(F.col(price) > 0)
+    priced = valid.groupBy(parent).agg(
+        F.count(key).alias("n_listings"),
+        F.round(numeric.exact_avg(price), 0).alias("avg_price"),
+        F.round(numeric.sketch_quantile(price, 0.5, accuracy), 0).alias("median_price"),
+        F.round(numeric.exact_avg(activity), 1).alias("avg_reviews_per_listing"),
+        F.round(numeric.exact_avg(rating), 2).alias("avg_rating"),
+        F.round(numeric.exact_avg(available), 0).alias("avg_availability"),
     )
     reviewed = reviews.groupBy(parent).agg(F.count("*").alias("total_reviews"))
     free = calendar.groupBy(parent).agg(
-        F.round(100 * numeric.share_true(flag), 1).alias("availability_rate_pct")
+        F.round(numeric.percent(F.count_if(F.col(flag)), F.count(flag)), 1).alias("availability_rate_pct")
     )
     out = priced.join(dominant(listings, parent, category), parent, "left")
     out = out.join(reviewed, parent, "left").join(free, parent, "left")

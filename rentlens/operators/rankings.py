@@ -115,7 +115,7 @@ def share_of_parent(
     return (
         df.groupBy(parent, group)
         .agg((F.count(key) if key else F.count("*")).alias(n_name))
-        .withColumn("share", F.lit(scale) * numeric.ratio(n_name, F.sum(n_name).over(whole)))
+        .withColumn("share", numeric.ratio(F.lit(scale) * F.col(n_name), F.sum(n_name).over(whole)))
         .orderBy(F.col(parent), F.col("share").desc(), F.col(group))
     )
 

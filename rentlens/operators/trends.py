@@ -49,7 +49,7 @@ def yoy_yearly(
         .groupBy(parent, "year")
         .agg(F.count("*").alias("n_reviews"))
     )
-    growth = 100 * numeric.ratio(F.col("n_reviews") - F.col("previous"), "previous")
+    growth = numeric.percent(F.col("n_reviews") - F.col("previous"), "previous")
     return (
         with_previous(counts, [parent], strict=strict)
         .where(F.col("previous").isNotNull())
@@ -143,7 +143,7 @@ def season_lift(
         series,
         F.round("annual", 3).alias("annual_mean"),
         F.round("season", 3).alias("season_mean"),
-        F.round(100 * numeric.ratio(F.col("season") - F.col("annual"), "annual"), 1).alias("lift_pct"),
+        F.round(numeric.percent(F.col("season") - F.col("annual"), "annual"), 1).alias("lift_pct"),
         (-F.col("peak.month")).alias("peak_month"),
         F.round("peak.mean_value", 3).alias("peak_value"),
     )
@@ -170,7 +170,7 @@ def crosstab(
     if percent_of != "row":
         raise ValueError("percent_of must be None or 'row'")
     total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
-    share = {str(v): F.round(100 * numeric.ratio(F.col(f"`{v}`"), total), 2) for v in values}
+    share = {str(v): F.round(numeric.percent(F.col(f"`{v}`"), total), 2) for v in values}
     return table.select(row, *[e.alias(c) for c, e in share.items()])
 
 
