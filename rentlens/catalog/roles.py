@@ -21,11 +21,9 @@ MULTI_ABOVE = 10
 def geography(t: Tables, people: DataFrame, nation_key: str) -> DataFrame:
     """Add city and neighbourhood group to customers or suppliers."""
     nation, region = t["nation"], t["region"]
-    return (
-        people.join(nation, people[nation_key] == nation["n_nationkey"])
-        .join(region, nation["n_regionkey"] == region["r_regionkey"])
-        .withColumnsRenamed({"r_name": "city", "n_name": "neighbourhood_group"})
-    )
+    places = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
+    located = people.join(places, people[nation_key] == places["n_nationkey"])
+    return located.withColumnsRenamed({"r_name": "city", "n_name": "neighbourhood_group"})
 
 
 def hosts(t: Tables, with_counts: bool) -> DataFrame:

@@ -43,9 +43,14 @@ def listing_months(
 def beside_listings(
     months: DataFrame, listings: DataFrame, attributes: Sequence[str], key: str = "id", how="inner"
 ) -> DataFrame:
-    """Add listing attributes to monthly rows; the monthly side's own columns win."""
+    """Add listing attributes to monthly rows; the monthly side's own columns win.
+
+    Both sides grow with the data, so they are merged: AQE splits hot keys of a merge join, while a
+    broadcast would rest on a guess of the reduced side's size.
+    """
     added = [c for c in attributes if c not in months.columns]
-    return months.join(listings.select(F.col(key).alias(LISTING), *added), LISTING, how)
+    chosen = listings.select(F.col(key).alias(LISTING), *added)
+    return months.join(chosen.hint("merge"), LISTING, how)
 
 
 def seasonality(
@@ -165,13 +170,15 @@ def market_months(
     Each listing-month weighs the same, whatever its number of days; days without a known flag lower
     its occupancy. Listing-months without reviews count zero reviews.
     """
-    months = beside_listings(listing_months(calendar, flag, keep=(parent,)), listings, [parent, category, price])
-    reviewed = listing_reviews(reviews)
+    days = listing_months(calendar, flag, keep=(parent,))
+    # Reviews join first: where the calendar carries no city of its own, both sides come out of their
+    # aggregation partitioned by the join keys and need no further shuffle.
+    active = days.join(listing_reviews(reviews).hint("merge"), [LISTING, "year", "month"], "left")
+    months = beside_listings(active, listings, [parent, category, price])
     booked = F.when(F.col("n_known") > 0, F.col("n_booked"))
     keys = [parent, category, "year", "month"]
     return (
-        months.join(reviewed, [LISTING, "year", "month"], "left")
-        .withColumns({"booked": booked, "occupancy": numeric.ratio(booked, "n_days")})
+        months.withColumns({"booked": booked, "occupancy": numeric.ratio(booked, "n_days")})
         .groupBy(*keys)
         .agg(
             numeric.exact_avg("occupancy", 9).alias("avg_occupancy"),

@@ -11,13 +11,9 @@ from ..operators.distributions import exact_quantiles
 
 def run_statistics(runs: DataFrame, by: Sequence[str] = ("workload", "workers"), value: str = "wall_secs") -> DataFrame:
     """Runs, median, fastest and slowest time per configuration."""
-    plain = runs.groupBy(*by).agg(
-        F.count(value).alias("runs"),
-        F.round(F.min(value), 4).alias("min_wall_secs"),
-        F.round(F.max(value), 4).alias("max_wall_secs"),
-    )
-    median = exact_quantiles(runs, value, {"median_wall_secs": 0.5}, by).drop("n")
-    return plain.join(median, list(by)).withColumn("median_wall_secs", F.round("median_wall_secs", 4))
+    points = {"median_wall_secs": 0.5, "min_wall_secs": 0.0, "max_wall_secs": 1.0}
+    stats = exact_quantiles(runs, value, points, by)
+    return stats.select(*by, F.col("n").alias("runs"), *[F.round(c, 4).alias(c) for c in points])
 
 
 def _against(stats: DataFrame, baseline: Column, workers: str) -> DataFrame:

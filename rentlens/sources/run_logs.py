@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The log naming and the field that holds one run's time.
-LOG_NAME = r"([^/=]+)_(\d+)w\.txt(?:/[^/]*)?$"
+LOG_NAME = r"(?:^|[/=])([^/=]+)_(\d+)w\.txt(?:/[^/]*)?$"
 WALL_SECS = r'"wall_secs":\s*([0-9.]+)'
 
 
@@ -14,11 +14,10 @@ def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     A log may be one file or a folder of parts named like it. Logs are read by line, so large ones
     are split among tasks; files that follow another naming are left out.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path)
-        .select("value", F.url_decode(F.col("_metadata.file_path")).alias("file"))
-    )
+    # The file and its folder are all the name can be in; few paths are encoded.
+    name = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    decoded = F.when(name.contains("%"), F.url_decode(name)).otherwise(name)
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", decoded.alias("file"))
     return (
         lines.where(F.col("value").contains('"wall_secs"') & F.col("file").rlike(LOG_NAME))
         .select(
