@@ -41,9 +41,10 @@ def train_models(args, data: market.Market) -> None:
         if args.target == "price":
             trained = models.train_price(data.listings, algo, sample=args.sample)
         elif args.target == "occupancy":
-            trained = models.train_occupancy(data.listings, algo)
+            trained = models.train_occupancy(data.listings, algo, sample=args.sample)
         else:
-            trained = models.train_monthly_occupancy(features.monthly_demand(data.calendar, data.listings))
+            months = features.monthly_demand(data.calendar, data.listings)
+            trained = models.train_monthly_occupancy(months, sample=args.sample)
         trained.save(f"{folder}/{args.target}_{algo}")
         trained.metrics.show(truncate=False)
 

@@ -2,7 +2,7 @@
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -13,6 +13,7 @@ from ..functions import labels, numeric
 from ..operators.distributions import exact_quantiles
 from ..operators.occupancy import LISTING, listing_months
 from ..sources import tables
+from ..sources.scratch import new_folder
 
 # Feature names, defaults and leak lists that a trained model depends on.
 RAW_NUMERIC = (
@@ -129,6 +130,14 @@ class TargetEncoding:
             }
         )
 
+    def stored(self) -> "TargetEncoding":
+        """The same encoding read back from the shared folder, for plans that apply it many times."""
+        spark = self.groups.sparkSession
+        path = new_folder(spark, "encoding")
+        self.save(path)
+        read = tables.read_table
+        return replace(self, groups=read(spark, f"{path}/groups"), defaults=read(spark, f"{path}/defaults"))
+
     def save(self, path: str) -> None:
         self.groups.write.mode("overwrite").parquet(f"{path}/groups")
         self.defaults.write.mode("overwrite").parquet(f"{path}/defaults")
@@ -251,14 +260,21 @@ def split(df: DataFrame, key: str | Sequence[str] = "id", train_percent: int = 8
     return df.where(bucket < train_percent), df.where(bucket >= train_percent)
 
 
+def sample(df: DataFrame, percent: int | None, key: str = "id", seed: int = 7) -> DataFrame:
+    """A percentage of the rows by key, all rows without one. The seed is not that of the split."""
+    return df if percent is None else df.where(numeric.hash_bucket(key, seed=seed) < percent)
+
+
 def price_cap(df: DataFrame, price: str = "price", p: float = 0.99) -> DataFrame:
     """One row with the price below which the given share of all rows lies."""
     return exact_quantiles(df, price, {"cap": p}, method="lower").select("cap")
 
 
-def within_cap(df: DataFrame, price: str = "price", floor: float = 10, **options) -> DataFrame:
-    """Rows with a price from the floor to the cap of the whole table, both included."""
-    return df.where(F.col(price).between(floor, price_cap(df, price, **options).scalar()))
+def within_cap(
+    df: DataFrame, price: str = "price", floor: float = 10, cap: Column | float | None = None
+) -> DataFrame:
+    """Rows with a price from the floor to the cap, both included; the cap of the table if none is given."""
+    return df.where(F.col(price).between(floor, price_cap(df, price).scalar() if cap is None else cap))
 
 
 def class_weights(train: DataFrame, label: str = "label", low: float = 0.35, high: float = 0.65) -> DataFrame:

@@ -1,6 +1,7 @@
 """Price and demand models: training, comparison, importance, batch scoring."""
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -80,15 +81,33 @@ def _estimator(catalog: Mapping, algo: str, changes: Mapping | None):
     return kind(featuresCol="features", labelCol="label", **{**parameters, **(changes or {})})
 
 
-def fit(train: DataFrame, estimator, numbers: Sequence[str], categories: Sequence[str]) -> PipelineModel:
-    """Fit features and estimator. The training rows are read once per tree level or iteration, so
-    they are kept for the duration of the fit, spilling to disk where memory ends."""
-    use_checkpoints(train.sparkSession)
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+@contextmanager
+def held(train: DataFrame, key: str):
+    """Keep training rows for the duration of a fit, which reads them once per tree level or iteration.
+
+    They spill to disk where memory ends. Small sets come out of a shuffle in very few partitions and
+    would leave cores idle; those are spread by key.
+    """
+    spark = train.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    kept = [train.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        return Pipeline(stages=[*features.feature_stages(categories, numbers), estimator]).fit(kept)
+        if kept[0].rdd.getNumPartitions() < cores:
+            spread = kept[0].repartition(cores, key).sortWithinPartitions(key)
+            kept.append(spread.persist(StorageLevel.MEMORY_AND_DISK))
+        yield kept[-1]
     finally:
-        kept.unpersist()
+        for df in kept:
+            df.unpersist()
+
+
+def fit(
+    train: DataFrame, estimator, numbers: Sequence[str], categories: Sequence[str], key: str = "id"
+) -> PipelineModel:
+    """Fit features and estimator."""
+    use_checkpoints(train.sparkSession)
+    with held(train, key) as rows:
+        return Pipeline(stages=[*features.feature_stages(categories, numbers), estimator]).fit(rows)
 
 
 def _sized(metrics: DataFrame, name: str, train: DataFrame, test: DataFrame) -> DataFrame:
@@ -103,23 +122,27 @@ def _sized(metrics: DataFrame, name: str, train: DataFrame, test: DataFrame) ->
 def train_price(
     listings: DataFrame, algo: str = "gbt", changes: Mapping | None = None, key: str = "id", sample: int | None = None
 ) -> Trained:
-    """Model of the log price. ``sample`` keeps that percentage of the listings, chosen by key."""
-    if sample is not None:
-        listings = listings.where(features.numeric.hash_bucket(key, seed=7) < sample)
-    train_rows, test_rows = features.split(features.within_cap(listings), key)
-    encoding = features.fit_target_encoding(train_rows, key=key)
+    """Model of the log price. ``sample`` keeps that percentage of the listings, chosen by key.
+
+    The price cap is one number that every later plan filters by, so it is settled once and reaches the
+    scans as a literal.
+    """
+    listings = features.sample(listings, sample, key)
+    cap = features.price_cap(listings).first()["cap"]
+    train_rows, test_rows = features.split(features.within_cap(listings, cap=cap), key)
+    encoding = features.fit_target_encoding(train_rows, key=key).stored()
 
     def prepared(rows: DataFrame) -> DataFrame:
         return features.model_input(rows, encoding).withColumn("label", F.log1p("price"))
 
     train = prepared(train_rows)
     numbers, categories = features.model_columns(train)
-    model = fit(train, _estimator(PRICE_MODELS, algo, changes), numbers, categories)
+    model = fit(train, _estimator(PRICE_MODELS, algo, changes), numbers, categories, key)
     predictions = model.transform(prepared(test_rows)).withColumn("prediction_price", F.expm1("prediction"))
     # Both scales from one pass over the predictions.
     metrics = price_metrics(predictions)
     sized = _sized(metrics, algo, train_rows, test_rows)
-    return Trained(model, encoding, predictions, sized.withColumn("price_cap", features.price_cap(listings).scalar()))
+    return Trained(model, encoding, predictions, sized.withColumn("price_cap", F.lit(cap)))
 
 
 def price_metrics(predictions: DataFrame) -> DataFrame:
@@ -156,7 +179,7 @@ def _train_classifier(
     rows: DataFrame, label: str, estimator, name: str, key: str, extra_numeric: Iterable[str] = ()
 ) -> Trained:
     train_rows, test_rows = features.split(rows, key)
-    encoding = features.fit_target_encoding(train_rows)
+    encoding = features.fit_target_encoding(train_rows).stored()
     leaks = features.AVAILABILITY_LEAKS
 
     def prepared(part: DataFrame) -> DataFrame:
@@ -174,18 +197,28 @@ def _train_classifier(
 
 
 def train_occupancy(
-    listings: DataFrame, algo: str = "rf", changes: Mapping | None = None, key: str = "id", label: str = "is_high_occupancy"
+    listings: DataFrame,
+    algo: str = "rf",
+    changes: Mapping | None = None,
+    key: str = "id",
+    label: str = "is_high_occupancy",
+    sample: int | None = None,
 ) -> Trained:
     """Classifier of highly occupied listings, without the columns availability leaks into."""
-    rows = listings.where(F.col(label).isNotNull())
+    rows = features.sample(listings.where(F.col(label).isNotNull()), sample, key)
     return _train_classifier(rows, label, _estimator(DEMAND_MODELS, algo, changes), algo, key)
 
 
 def train_monthly_occupancy(
-    months: DataFrame, changes: Mapping | None = None, key: str = "listing_id", label: str = "is_high_demand_month"
+    months: DataFrame,
+    changes: Mapping | None = None,
+    key: str = "listing_id",
+    label: str = "is_high_demand_month",
+    sample: int | None = None,
 ) -> Trained:
-    """Classifier of busy listing-months. All months of a listing are on the same side of the split."""
-    rows = months.where(F.col(label).isNotNull())
+    """Classifier of busy listing-months. All months of a listing are on the same side of the split, and
+    in or out of a sample."""
+    rows = features.sample(months.where(F.col(label).isNotNull()), sample, key)
     estimator = _estimator(DEMAND_MODELS, "rf", changes)
     return _train_classifier(rows, label, estimator, "monthly_rf", key, features.TEMPORAL)
 
@@ -221,11 +254,8 @@ def train_forest_benchmark(
             featuresCol="features", labelCol="log_price", **{**BENCHMARK_FOREST, **(changes or {})}
         ),
     ]
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = Pipeline(stages=stages).fit(kept)
-    finally:
-        kept.unpersist()
+    with held(train, key) as rows_kept:
+        model = Pipeline(stages=stages).fit(rows_kept)
     metrics = evaluation.regression_metrics(model.transform(test), "log_price")
     return metrics.select(rows.agg(F.count("*")).scalar().alias("n_rows"), "rmse", "r2")
 

@@ -170,9 +170,9 @@ def clean_calendar(df: DataFrame) -> DataFrame:
 def clean_reviews(df: DataFrame) -> DataFrame:
     """One review per listing, day and, where the source names one, reviewer."""
     parts = parsing.date_parts("date")
-    out = df.withColumn("date", parsing.iso_date("date"))
-    out = out.withColumns({"year": parts["year"], "month": parts["month"]})
-    return dedupe(out, ["listing_id", "reviewer_id", "date"])
+    dated = df.withColumn("date", parsing.iso_date("date"))
+    kept = dedupe(dated, ["listing_id", "reviewer_id", "date"])
+    return kept.withColumns({"year": parts["year"], "month": parts["month"]})
 
 
 def clean_neighbourhoods(df: DataFrame, city: str = "city") -> DataFrame:

@@ -257,9 +257,11 @@ def histogram(
     """
     counts = value_counts(df.where((F.col(value) > above) & (F.col(value) < below)), value, by)
     ranges = counts.groupBy(*by).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.sum("n").alias("total"))
-    joined = counts.join(ranges, list(by)) if by else counts.withColumns(
-        {c: ranges.select(c).scalar() for c in ("low", "high", "total")}
-    )
+    if by:
+        joined = counts.join(ranges, list(by))
+    else:
+        whole = ranges.select(F.struct("low", "high", "total")).scalar()
+        joined = counts.withColumns({c: whole[c] for c in ("low", "high", "total")})
     width = (F.col("high") - F.col("low")) / F.lit(float(bins))
     place = F.least(F.floor(F.try_divide(F.col(value) - F.col("low"), width)), F.lit(bins - 1))
     out = (
