@@ -2,6 +2,8 @@
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from .ml import features, models
 from .plans import ingestion, market, scaling, workloads
 from .session import get_spark
@@ -49,8 +51,14 @@ def train_models(args, data: market.Market) -> None:
         trained.metrics.show(truncate=False)
 
 
-def leaks_of(model: str) -> tuple[str, ...]:
-    return () if model.startswith("price") else features.AVAILABILITY_LEAKS
+def scoring_input(name: str, data: market.Market) -> tuple[DataFrame, tuple, tuple, tuple]:
+    """Rows, left-out and additional columns and row names that suit a trained model."""
+    if name.startswith("price"):
+        return data.listings, (), (), ("id",)
+    if name.startswith("occupancy"):
+        return data.listings, features.AVAILABILITY_LEAKS, (), ("id",)
+    months = features.monthly_demand(data.calendar, data.listings)
+    return months, features.AVAILABILITY_LEAKS, features.TEMPORAL, ("id", "year", "month")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -79,12 +87,12 @@ def main(argv: list[str] | None = None) -> None:
         names = args.model if isinstance(args.model, list) else [args.model]
         for name in names:
             model, encoding = models.load(spark, f"{args.root}/models/{name}")
+            rows, leaks, extra, keys = scoring_input(name, data)
             if args.command == "score":
-                scored = models.score(data.listings, model, encoding, leaks_of(name))
+                scored = models.score(rows, model, encoding, leaks, extra, keys)
                 tables.write_table(scored, f"{args.root}/results/scores_{name}")
             else:
-                rows = features.model_input(data.listings, encoding, leaks_of(name))
-                report = models.feature_importance(model, rows)
+                report = models.feature_importance(model, features.model_input(rows, encoding, leaks, extra))
                 tables.export_report(report, f"{args.root}/results/importance_{name}", single_csv=True).show()
 
 

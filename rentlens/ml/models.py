@@ -290,12 +290,15 @@ def score(
     encoding: TargetEncoding,
     leaks: Iterable[str] = (),
     extra_numeric: Iterable[str] = (),
-    key: str = "id",
+    keys: Sequence[str] = ("id",),
 ) -> DataFrame:
-    """Score a whole table: price for a regression, probability of the positive class otherwise."""
+    """Score a whole table: price for a regression, probability of the positive class otherwise.
+
+    Rows are named by columns that the features carry along: ``id``, ``year``, ``month``.
+    """
     scored = model.transform(features.model_input(df, encoding, leaks, extra_numeric))
     if "probability" in scored.columns:
-        return scored.select(key, "prediction", vector_to_array("probability")[1].alias("probability"))
-    return scored.select(key, "prediction", F.expm1("prediction").alias("predicted_price"))
+        return scored.select(*keys, "prediction", vector_to_array("probability")[1].alias("probability"))
+    return scored.select(*keys, "prediction", F.expm1("prediction").alias("predicted_price"))
 
 

@@ -12,14 +12,20 @@ from ..sources import tables
 CITY_FOLDERS = {"porto": "Porto", "lisbon": "Lisbon", "madrid": "Madrid", "barcelona": "Barcelona"}
 DATASETS = ("listings", "calendar", "reviews", "neighbourhoods")
 DETAILED = "listings-detailed"
+# The daily calendar is by far the largest file and holds no free text, so it can be read in splits.
+WITHOUT_LINE_BREAKS = ("calendar",)
 
 
 def unify_cities(
     spark: SparkSession, raw: str, dataset: str, cities: Mapping[str, str] = CITY_FOLDERS
 ) -> DataFrame:
     """One dataset of all cities, on the columns that every city has."""
+    multiline = dataset not in WITHOUT_LINE_BREAKS
     return tables.unify(
-        [tables.read_city_csv(spark, f"{raw}/{folder}", dataset, city) for city, folder in cities.items()]
+        [
+            tables.read_city_csv(spark, f"{raw}/{folder}", dataset, city, multiline)
+            for city, folder in cities.items()
+        ]
     )
 
 

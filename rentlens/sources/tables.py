@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The dialect of the published files (quotes doubled inside quoted fields).
-CSV_DIALECT = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "inferSchema": False}
+CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "inferSchema": False}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -26,13 +26,19 @@ def find_csv(spark: SparkSession, folder: str, dataset: str) -> str:
     raise FileNotFoundError(f"no {dataset}.csv or {dataset}.csv.gz in {folder}")
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Every column as text; cleaning gives the types."""
-    return spark.read.options(**CSV_DIALECT).csv(path)
+def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Every column as text; cleaning gives the types.
+
+    Quoted line breaks need ``multiline``, which reads each file in one task. Without them large plain
+    files are split among tasks. The path may also be a folder of part files.
+    """
+    return spark.read.options(**CSV_DIALECT, multiLine=multiline).csv(path)
 
 
-def read_city_csv(spark: SparkSession, folder: str, dataset: str, city: str) -> DataFrame:
-    return read_csv(spark, find_csv(spark, folder, dataset)).withColumn("city", F.lit(city))
+def read_city_csv(
+    spark: SparkSession, folder: str, dataset: str, city: str, multiline: bool = True
+) -> DataFrame:
+    return read_csv(spark, find_csv(spark, folder, dataset), multiline).withColumn("city", F.lit(city))
 
 
 def select_available(df: DataFrame, wanted: Iterable[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from rentlens import __main__ as cli
 from rentlens.plans import ingestion, market, scaling, workloads
 from rentlens.sources import run_logs, scratch, tables
 
@@ -80,6 +81,19 @@ def test_every_question_and_workload_answers(spark, root):
         market.ask(m, "q99")
 
 
+def test_command_line(spark, root):
+    place = ["--root", str(root)]
+    cli.main([*place, "ingest", "--cities", "porto", "lisbon"])
+    cli.main([*place, "clean", "--cities", "porto", "lisbon"])
+    cli.main([*place, "ask", "q05"])
+    cli.main([*place, "workload", "query_seasonality"])
+    cli.main([*place, "train", "price", "--algo", "lr"])
+    cli.main([*place, "score", "price_lr"])
+    assert tables.read_table(spark, str(root / "results" / "scores_price_lr")).count() == 80
+    with pytest.raises(SystemExit):
+        cli.main([*place, "workload", "other"])
+
+
 def test_missing_files_are_named(spark, root):
     with pytest.raises(FileNotFoundError, match="absent"):
         tables.find_csv(spark, str(root / "raw" / "Porto"), "absent")

@@ -93,6 +93,14 @@ def test_training_repeats(listings, trained):
     assert again["rmse_log"] == pytest.approx(trained.metrics.first()["rmse_log"])
 
 
+def test_a_sample_is_a_share_of_the_keys(listings):
+    assert features.sample(listings, None).count() == 600
+    part = features.sample(listings, 30)
+    assert 120 < part.count() < 240
+    # The sample does not coincide with one side of the split.
+    assert features.split(part)[0].count() > 0 and features.split(part)[1].count() > 0
+
+
 def test_every_algorithm_trains(listings):
     rows = models.compare(
         [models.train_price(listings, "lr"), models.train_price(listings, "gbt", {"maxIter": 3, "maxDepth": 3})]
@@ -143,8 +151,13 @@ def test_monthly_model_keeps_listings_on_one_side(spark, listings):
     train, test = features.split(features.monthly_demand(days, listings, min_days=10), "listing_id")
     assert not {r[0] for r in train.select("listing_id").collect()} & {r[0] for r in test.select("listing_id").collect()}
     months = features.monthly_demand(days, listings, min_days=10)
-    row = models.train_monthly_occupancy(months, SMALL).metrics.first()
+    result = models.train_monthly_occupancy(months, SMALL)
+    row = result.metrics.first()
     assert row["n_train"] + row["n_test"] == months.count() == 1200
+    scored = models.score(
+        months, result.model, result.encoding, features.AVAILABILITY_LEAKS, features.TEMPORAL, ("id", "year", "month")
+    )
+    assert scored.select("id", "year", "month").distinct().count() == 1200
 
 
 def test_weights_only_for_uneven_classes(spark):
