@@ -185,7 +185,7 @@ def _(t):
 
 @entry("clean_neighbourhoods", "SELECT * FROM r_neighbourhoods", roles="r_neighbourhoods")
 def _(t):
-    people = roles.hosts(t, False)
+    people = roles.hosts(t)
     unnamed = people.withColumn("neighbourhood", F.lit(None).cast("string"))
     rows = people.unionByName(unnamed).select("city", "neighbourhood_group", "neighbourhood")
     return cleaning.clean_neighbourhoods(rows)

@@ -26,21 +26,26 @@ def geography(t: Tables, people: DataFrame, nation_key: str) -> DataFrame:
     return located.withColumnsRenamed({"r_name": "city", "n_name": "neighbourhood_group"})
 
 
-def hosts(t: Tables, with_counts: bool) -> DataFrame:
-    """Customers with geography and, on request, their number of orders."""
-    people = geography(t, t["customer"], "c_nationkey").withColumn(
-        "neighbourhood", F.concat_ws("/", "neighbourhood_group", "c_mktsegment")
-    )
-    if with_counts:
-        counts = t["orders"].groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("host_listings"))
-        people = people.join(counts, "c_custkey")
-    return people
+def with_neighbourhood(located: DataFrame) -> DataFrame:
+    return located.withColumn("neighbourhood", F.concat_ws("/", "neighbourhood_group", "c_mktsegment"))
+
+
+def hosts(t: Tables) -> DataFrame:
+    """Customers with geography."""
+    return with_neighbourhood(geography(t, t["customer"], "c_nationkey"))
+
+
+def counted_customers(t: Tables) -> DataFrame:
+    """Customers with their number of orders."""
+    counts = t["orders"].groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("host_listings"))
+    return t["customer"].join(counts, "c_custkey")
 
 
 def listings(t: Tables, hosts_counted: bool = False, activity: bool = False, places: bool = False) -> DataFrame:
     """One row per order; the joins for host counts and line activity only where asked for."""
-    orders, people = t["orders"], hosts(t, hosts_counted)
-    out = orders.join(people, orders["o_custkey"] == people["c_custkey"])
+    orders, people = t["orders"], counted_customers(t) if hosts_counted else t["customer"]
+    sold = orders.join(people, orders["o_custkey"] == people["c_custkey"])
+    out = with_neighbourhood(geography(t, sold, "c_nationkey"))
     columns = {
         "id": F.col("o_orderkey"),
         "host_id": F.col("o_custkey"),
@@ -117,7 +122,7 @@ def city_reviews(t: Tables) -> DataFrame:
 
 
 def neighbourhoods(t: Tables) -> DataFrame:
-    people = hosts(t, False)
+    people = hosts(t)
     return people.select("city", "neighbourhood_group", "neighbourhood").distinct()
 
 
