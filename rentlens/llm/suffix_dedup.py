@@ -35,7 +35,7 @@ NEIGHBOURS = 8
 CORE = WINDOW - NEIGHBOURS + 1
 NO_KEY = -(1 << 63)
 BROADCAST_BYTES = 32 << 20  # findings up to this size are sent to every executor, larger ones are joined by shuffle
-SLICE = 8192  # documents whose entries are combined before they are sent
+SLICE = 2048  # documents whose entries are combined before they are sent
 
 RUN = np.dtype([("anchor", "<u8"), ("whole", "<u8"), ("start", "<u4"), ("doc", "<u2"), ("count", "u1"), ("at", "u1")])
 PIECE = np.dtype([("core", "<u8"), ("left", "<u8"), ("right", "<u8"), ("core_at", "<u4"), ("doc", "<u2"), ("windows", "u1"), ("known", "u1")])
@@ -94,7 +94,7 @@ def anchored_runs(body: np.ndarray, segments: np.ndarray) -> tuple[np.ndarray, .
     return first, count, anchor, digit[anchor], whole
 
 
-def stretches(offsets: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def stretches(offsets: np.ndarray, limit: int = BLOCK // 4) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(document, begin, end) of stretches of bytes, in groups of about ``limit`` bytes, that cover every window once."""
     doc, begin, end, size = [], [], [], 0
     for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
