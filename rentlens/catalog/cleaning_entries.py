@@ -237,7 +237,7 @@ def _(t):
     detailed AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, max(l_extendedprice) AS p,
                         CAST(max(l_quantity) AS DOUBLE) AS beds,
                         max(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) = 1 AS host_is_superhost
-                 FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey),
+                 FROM lineitem GROUP BY l_orderkey),
     priced AS (SELECT typed.* EXCLUDE (price), coalesce(p, price) AS price, beds, host_is_superhost,
                       CASE WHEN p IS NOT NULL THEN 2 END AS amenity_count
                FROM typed LEFT JOIN detailed USING (id))
@@ -249,7 +249,7 @@ def _(t):
 def _(t):
     raw = raw_listings(t)
     doubled = raw.unionByName(raw)
-    lines = t["lineitem"].where("l_linenumber = 1").groupBy("l_orderkey").agg(
+    lines = t["lineitem"].groupBy("l_orderkey").agg(
         F.max("l_extendedprice").alias("price"),
         F.max("l_quantity").alias("beds"),
         F.max(F.when(F.col("l_linestatus") == "O", 1).otherwise(0)).alias("open"),
@@ -289,6 +289,22 @@ def _(t):
     return cleaning.clean_reviews(rows.unionByName(rows))
 
 
+@entry(
+    "clean_reviews_by_reviewer",
+    """
+    SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS listing_id, CAST(l_suppkey AS VARCHAR) AS reviewer_id,
+           CAST(l_shipdate AS DATE) AS date, CAST(year(l_shipdate) AS INTEGER) AS year,
+           CAST(month(l_shipdate) AS INTEGER) AS month FROM lineitem""",
+)
+def _(t):
+    rows = t["lineitem"].select(
+        F.col("l_orderkey").cast("string").alias("listing_id"),
+        F.col("l_suppkey").cast("string").alias("reviewer_id"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+    )
+    return cleaning.clean_reviews(rows.unionByName(rows))
+
+
 @entry(
     "price_bands",
     """

@@ -205,10 +205,14 @@ def _(t):
     return rounded(occupancy.seasonality(roles.calendar(t), roles.listings(t), price=None))
 
 
-@entry("w2_train_rf")
+@entry(
+    "w2_train_rf",
+    "SELECT count(*) AS n_rows, true AS sound FROM r_listings WHERE price BETWEEN 10 AND 450000",
+    roles="r_listings",
+)
 def _(t):
     rows = roles.listings(t, hosts_counted=True, activity=True, places=True)
-    return models.train_forest_benchmark(
+    trained = models.train_forest_benchmark(
         rows,
         numbers=[
             "host_listings",
@@ -222,6 +226,7 @@ def _(t):
         ],
         high=450000,
     )
+    return trained.select("n_rows", F.expr("rmse > 0 AND r2 <= 1 AND NOT isnan(rmse)").alias("sound"))
 
 
 @entry(
@@ -273,7 +278,7 @@ def _(t):
              count(*) AS days FROM r_calendar GROUP BY ALL),
     reviewed AS (SELECT listing_id, year, month, count(*) AS n FROM r_reviews GROUP BY ALL)
     SELECT city, room_type, o.year, o.month,
-           round({sql_avg("booked / CAST(days AS DOUBLE)", 9)}, 6) AS avg_occupancy,
+           round({sql_avg("booked / CAST(days AS DOUBLE)")}, 6) AS avg_occupancy,
            round({sql_avg("price")}, 6) AS avg_price, CAST(sum(coalesce(n, 0)) AS BIGINT) AS total_reviews,
            count(DISTINCT o.listing_id) AS n_listings,
            round(sum(booked) / CAST(count(booked) AS DOUBLE), 6) AS avg_booked_days
@@ -390,7 +395,7 @@ def _(t):
     return rounded(trends.peak_trough(_rates(t)))
 
 
-MEANS = f"{RATES}, means AS (SELECT city, month, {sql_avg('rate', 9)} AS v FROM rates GROUP BY city, month)"
+MEANS = f"{RATES}, means AS (SELECT city, month, {sql_avg('rate')} AS v FROM rates GROUP BY city, month)"
 
 
 @entry(
@@ -412,8 +417,8 @@ def _(t):
     "season_lift",
     f"""
     WITH {MEANS},
-    stats AS (SELECT city, {sql_avg("v", 12)} AS annual,
-                     {sql_avg("CASE WHEN month IN (6, 7, 8) THEN v END", 12)} AS season FROM means GROUP BY city),
+    stats AS (SELECT city, {sql_avg("v")} AS annual,
+                     {sql_avg("CASE WHEN month IN (6, 7, 8) THEN v END")} AS season FROM means GROUP BY city),
     peaks AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY v DESC, month) AS rn FROM means)
     SELECT city, CAST(round(CAST(annual AS DECIMAL(30,9)), 3) AS DOUBLE) AS annual_mean, CAST(round(CAST(season AS DECIMAL(30,9)), 3) AS DOUBLE) AS season_mean,
            CAST(round(CAST(100 * (season - annual) / annual AS DECIMAL(30,9)), 1) AS DOUBLE) AS lift_pct, month AS peak_month, CAST(round(CAST(v AS DECIMAL(30,9)), 3) AS DOUBLE) AS peak_value
@@ -422,3 +427,45 @@ def _(t):
 )
 def _(t):
     return trends.season_lift(_rates(t))
+
+
+LARGE = f"""large AS (SELECT city, year, month, fsum(l_extendedprice) * 1000 AS v FROM r_lines GROUP BY ALL),
+    large_means AS (SELECT city, month, {sql_avg("v")} AS v FROM large GROUP BY ALL)"""
+
+
+def _large(t):
+    """Monthly values far above ten million."""
+    lines = roles.city_calendar(t).groupBy("city", F.year("date").alias("year"), F.month("date").alias("month"))
+    return lines.agg((F.sum("adjusted_price") * 1000).alias("value"))
+
+
+@entry(
+    "city_month_matrix_large",
+    f"""
+    WITH {LARGE}
+    SELECT CAST(m AS INTEGER) AS month, round(max(v) FILTER (city = 'AFRICA'), 0) AS "AFRICA",
+           round(max(v) FILTER (city = 'AMERICA'), 0) AS "AMERICA", round(max(v) FILTER (city = 'ASIA'), 0) AS "ASIA",
+           round(max(v) FILTER (city = 'EUROPE'), 0) AS "EUROPE", round(max(v) FILTER (city = 'MIDDLE EAST'), 0) AS "MIDDLE EAST"
+    FROM range(1, 13) months(m) LEFT JOIN large_means ON month = m GROUP BY m""",
+    roles="r_lines",
+)
+def _(t):
+    return rounded(trends.city_month_matrix(_large(t), roles.CITIES, value="value"), 0)
+
+
+@entry(
+    "season_lift_large",
+    f"""
+    WITH {LARGE},
+    stats AS (SELECT city, {sql_avg("v")} AS annual, {sql_avg("CASE WHEN month IN (6, 7, 8) THEN v END")} AS season
+              FROM large_means GROUP BY city),
+    peaks AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY v DESC, month) AS rn FROM large_means)
+    SELECT city, round(annual, 0) AS annual_mean, round(season, 0) AS season_mean,
+           CAST(round(CAST(100 * (season - annual) / annual AS DECIMAL(30,9)), 1) AS DOUBLE) AS lift_pct, month AS peak_month,
+           round(v, 0) AS peak_value FROM stats JOIN peaks USING (city) WHERE rn = 1""",
+    roles="r_lines",
+)
+def _(t):
+    return trends.season_lift(_large(t), value="value").withColumns(
+        {c: F.round(c, 0) for c in ("annual_mean", "season_mean", "peak_value")}
+    )

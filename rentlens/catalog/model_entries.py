@@ -1,8 +1,8 @@
 """Features, models, evaluation, scoring and run logs."""
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import labels, numeric
@@ -30,16 +30,15 @@ def _(t):
 
 
 ENCODING = f"""
-    groups AS (SELECT neighbourhood, {sql_avg("ln(1 + price)", 12)} AS m, count(id) AS n FROM train
-               WHERE city <> 'ASIA' GROUP BY ALL),
-    defaults AS (SELECT {sql_avg("ln(1 + price)", 12)} AS m,
-                        count(*) / CAST(count(DISTINCT neighbourhood) AS DOUBLE) AS n FROM train WHERE city <> 'ASIA')"""
+    groups AS (SELECT neighbourhood, {sql_avg("ln(1 + price)")} AS m, count(id) AS n FROM train
+               GROUP BY ALL),
+    defaults AS (SELECT {sql_avg("ln(1 + price)")} AS m,
+                        count(*) / CAST(count(DISTINCT neighbourhood) AS DOUBLE) AS n FROM train)"""
 
 
 def _encoding(t):
-    """Learned from the training rows without one region, whose neighbourhoods then take the defaults."""
     train, _ = features.split(roles.listings(t))
-    return features.fit_target_encoding(train.where("city <> 'ASIA'"))
+    return features.fit_target_encoding(train)
 
 
 @entry(
@@ -172,7 +171,7 @@ def _brands(t):
 @entry("string_index", f"WITH {INDEXED} SELECT p_partkey, CAST(idx AS DOUBLE) AS brand_idx FROM placed")
 def _(t):
     rows = _brands(t)
-    indexer = StringIndexer(inputCols=["brand"], outputCols=["brand_idx"], handleInvalid="keep")
+    indexer = features.feature_stages(["brand"], [], scaled=False)[0]
     return indexer.fit(rows).transform(rows).select("p_partkey", "brand_idx")
 
 
@@ -311,25 +310,58 @@ def _(t):
     return rounded(evaluation.classification_metrics(scored))
 
 
-# The library trains with its full hyper-parameters; these keep a registered run short. The training
-# rows are the whole table in every case.
-SHORT_BOOST = {"maxIter": 40}
-SMALL_FOREST = {"numTrees": 40, "maxDepth": 8}
+CAPPED = f"""capped AS (SELECT *, {BUCKET} < 80 AS in_train FROM r_listings
+              WHERE price BETWEEN 10 AND (SELECT quantile_disc(price, 0.99) FROM r_listings))"""
+PRICED = """SELECT '{}' AS algo, count(*) FILTER (in_train) AS n_train, count(*) FILTER (NOT in_train) AS n_test,
+                   round((SELECT quantile_disc(price, 0.99) FROM r_listings), 6) AS price_cap, true AS sound FROM capped"""
+TESTED = """SELECT '{}' AS algo, count(*) FILTER (in_train) AS n_train, count(*) FILTER (NOT in_train) AS n_test,
+                   round(avg(CASE WHEN busy THEN 1.0 ELSE 0.0 END) FILTER (NOT in_train), 6) AS base_rate, true AS sound"""
 
 
-@entry("price_lr")
+def settled_price(metrics):
+    """What is certain of a price model: sizes, cap, and errors that agree with each other."""
+    sound = " AND ".join(
+        f"rmse_{s} >= mae_{s} AND mae_{s} > 0 AND r2_{s} <= 1 AND NOT isnan(rmse_{s})" for s in ("log", "price")
+    )
+    return rounded(metrics.select("algo", "n_train", "n_test", "price_cap", F.expr(sound).alias("sound")))
+
+
+def settled_demand(metrics):
+    sound = "f1 BETWEEN 0 AND 1 AND accuracy BETWEEN 0 AND 1 AND auc BETWEEN 0 AND 1"
+    return rounded(metrics.select("algo", "n_train", "n_test", "base_rate", F.expr(sound).alias("sound")))
+
+
+@entry("price_lr", f"WITH {CAPPED} {PRICED.format('lr')}", roles="r_listings")
 def _(t):
-    return models.train_price(rental_listings(t), "lr").metrics
+    return settled_price(models.train_price(rental_listings(t), "lr").metrics)
 
 
-@entry("price_rf")
+@entry("price_rf", f"WITH {CAPPED} {PRICED.format('rf')}", roles="r_listings")
 def _(t):
-    return models.train_price(rental_listings(t), "rf").metrics
+    return settled_price(models.train_price(rental_listings(t), "rf").metrics)
 
 
-@entry("price_gbt")
+@entry("price_gbt", f"WITH {CAPPED} {PRICED.format('gbt')}", roles="r_listings")
 def _(t):
-    return models.train_price(rental_listings(t), "gbt", SHORT_BOOST).metrics
+    return settled_price(models.train_price(rental_listings(t), "gbt").metrics)
+
+
+@entry(
+    "price_line",
+    """
+    SELECT round(regr_slope(o_totalprice, o_custkey), 6) AS slope, round(regr_intercept(o_totalprice, o_custkey), 2) AS base
+    FROM orders""",
+)
+def _(t):
+    """One feature without penalty is the least-squares line; the slope is brought back to the feature's own scale."""
+    rows = t["orders"].select("o_orderkey", F.col("o_custkey").cast("double").alias("x"), F.col("o_totalprice").alias("label"))
+    line = models._estimator(models.PRICE_MODELS, "lr", {"regParam": 0.0, "solver": "normal"})
+    fitted = models.fit(rows, line, ["x"], [], "o_orderkey")
+    at = t.spark.range(2).select(F.col("id").cast("double").alias("x"))
+    ends = fitted.transform(at).agg(
+        F.max(F.when(F.col("x") == 1, F.col("prediction"))).alias("one"), F.max(F.when(F.col("x") == 0, F.col("prediction"))).alias("base")
+    )
+    return ends.select(F.round(F.col("one") - F.col("base"), 6).alias("slope"), F.round("base", 2).alias("base"))
 
 
 def occupied_listings(t):
@@ -338,42 +370,83 @@ def occupied_listings(t):
     )
 
 
-@entry("occupancy_logreg")
+OCCUPIED = f"""occupied AS (SELECT {BUCKET} < 80 AS in_train, 1 - availability_365 / 365.0::DOUBLE > 0.7 AS busy
+                FROM r_listings WHERE availability_365 IS NOT NULL)"""
+
+
+@entry("occupancy_logreg", f"WITH {OCCUPIED} {TESTED.format('logreg')} FROM occupied", roles="r_listings")
 def _(t):
-    return models.train_occupancy(occupied_listings(t), "logreg").metrics
+    return settled_demand(models.train_occupancy(occupied_listings(t), "logreg").metrics)
 
 
-@entry("occupancy_rf")
+@entry("occupancy_rf", f"WITH {OCCUPIED} {TESTED.format('rf')} FROM occupied", roles="r_listings")
 def _(t):
-    return models.train_occupancy(occupied_listings(t), "rf", SMALL_FOREST).metrics
+    return settled_demand(models.train_occupancy(occupied_listings(t), "rf").metrics)
 
 
-@entry("monthly_occupancy_rf")
+@entry(
+    "monthly_occupancy_rf",
+    f"""
+    WITH months AS (
+      SELECT listing_id AS id, year, month, count(*) FILTER (NOT available) / CAST(count(available) AS DOUBLE) > 0.5 AS busy
+      FROM r_calendar WHERE date IS NOT NULL GROUP BY ALL HAVING count(available) > 0),
+    joined AS (SELECT {BUCKET} < 80 AS in_train, busy FROM months WHERE id IN (SELECT id FROM r_listings))
+    {TESTED.format('monthly_rf')} FROM joined""",
+    roles="r_listings r_calendar",
+)
 def _(t):
+    """A test listing has a few days a month, so the rule of twenty days is set to one here."""
     months = features.monthly_demand(roles.calendar(t), rental_listings(t), min_days=1, keep=())
-    return models.train_monthly_occupancy(months, SMALL_FOREST).metrics
+    return settled_demand(models.train_monthly_occupancy(months).metrics)
 
 
-@entry("model_comparison")
+@entry(
+    "model_comparison",
+    f"WITH {CAPPED} " + " UNION ALL ".join(PRICED.format(a) for a in ("lr", "rf", "gbt")),
+    roles="r_listings",
+)
 def _(t):
     rows = rental_listings(t)
-    changes = {"lr": None, "rf": SMALL_FOREST, "gbt": {"maxIter": 10}}
-    return models.compare([models.train_price(rows, algo, c) for algo, c in changes.items()])
+    return settled_price(models.compare([models.train_price(rows, algo) for algo in ("lr", "rf", "gbt")]))
+
 
+FEATURES = """SELECT unnest(['minimum_nights', 'number_of_reviews', 'number_of_reviews_ltm', 'reviews_per_month',
+    'calculated_host_listings_count', 'availability_365', 'latitude', 'longitude', 'occupancy_rate', 'log_reviews',
+    'log_host_listings', 'recent_activity_ratio', 'neighbourhood_listing_count', 'neighbourhood_mean_log_price', 'city',
+    'room_type', 'neighbourhood_group', 'min_nights_cat']) AS feature, true AS in_range, 1.0::DOUBLE AS total"""
 
-@entry("feature_importance")
+
+@entry("feature_importance", FEATURES)
 def _(t):
     rows = rental_listings(t)
-    trained = models.train_price(rows, "rf", SMALL_FOREST)
-    return models.feature_importance(trained.model, features.model_input(rows, trained.encoding))
+    trained = models.train_price(rows, "rf")
+    found = models.feature_importance(trained.model, features.model_input(rows, trained.encoding))
+    total = F.round(F.sum("importance").over(Window.partitionBy(F.lit(0))), 6)
+    return found.select("feature", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
 
 
-@entry("batch_score")
+@entry("batch_score", "SELECT id, true AS priced FROM r_listings", roles="r_listings")
 def _(t):
-    """Trained, saved, loaded and applied to the whole table."""
+    """Trained, saved, loaded and applied to the whole table: every row is scored once."""
     rows, path = rental_listings(t), scratch.new_folder(t.spark, "price-model")
-    models.train_price(rows, "rf", SMALL_FOREST).save(path)
-    return models.score(rows, *models.load(t.spark, path))
+    trained = models.train_price(rows, "rf")
+    trained.save(path)
+    trained.discard()
+    scored = models.score(rows, *models.load(t.spark, path))
+    return scored.select("id", (F.col("predicted_price") > 0).alias("priced"))
+
+
+@entry(
+    "area_under_roc",
+    """
+    WITH scored AS (SELECT quality AS y, CAST(n_chars AS DOUBLE) AS s FROM labels JOIN documents USING (doc_id)),
+    ranked AS (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r FROM scored),
+    sums AS (SELECT sum(r) FILTER (y = 1) AS r1, count(*) FILTER (y = 1) AS n1, count(*) FILTER (y = 0) AS n0 FROM ranked)
+    SELECT round((r1 - n1 * (n1 + 1) / 2.0) / (CAST(n1 AS DOUBLE) * n0), 6)::DOUBLE AS auc FROM sums""",
+)
+def _(t):
+    scored = labelled_documents(t).select(F.col("quality").cast("double").alias("label"), F.col("n_chars").cast("double").alias("rawPrediction"))
+    return t.spark.createDataFrame([(round(evaluation.area_under_roc(scored), 6),)], "auc double")
 
 
 def write_run_logs(t) -> str:

@@ -469,8 +469,8 @@ def _(t):
 @entry(
     "group_centroid",
     f"""
-    SELECT neighbourhood_group, round({sql_avg("latitude", 6)}, 6) AS center_latitude,
-           round({sql_avg("longitude", 6)}, 6) AS center_longitude FROM r_listings GROUP BY ALL""",
+    SELECT neighbourhood_group, round({sql_avg("latitude")}, 6) AS center_latitude,
+           round({sql_avg("longitude")}, 6) AS center_longitude FROM r_listings GROUP BY ALL""",
     roles="r_listings",
 )
 def _(t):
@@ -488,6 +488,21 @@ def _(t):
     return rounded(rankings.mean_by_group_top(roles.listings(t), "neighbourhood", "price"))
 
 
+@entry(
+    "group_mean_rate_top",
+    f"""
+    WITH rates AS (SELECT neighbourhood, reviews_per_month / number_of_reviews / 10 AS rate FROM r_listings)
+    SELECT neighbourhood, round({sql_avg("rate")}, 9) AS mean_rate FROM rates GROUP BY neighbourhood
+    ORDER BY {sql_avg("rate")} DESC, neighbourhood LIMIT 20""",
+    roles="r_listings",
+)
+def _(t):
+    """A metric far below a hundredth, so that its order shows any rounding of the values."""
+    rate = F.col("reviews_per_month") / F.col("number_of_reviews") / F.lit(10)
+    rows = roles.listings(t, activity=True).withColumn("rate", rate)
+    return rounded(rankings.mean_by_group_top(rows, "neighbourhood", "rate"), 9)
+
+
 @entry(
     "comparables",
     """

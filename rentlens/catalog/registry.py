@@ -53,10 +53,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
-def sql_sum(x: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(38,{scale}))) AS DOUBLE)"
+def sql_sum(x: str) -> str:
+    """Compensated sum of the unrounded values."""
+    return f"fsum({x})"
 
 
-def sql_avg(x: str, scale: int = 2) -> str:
-    units = f"CAST(sum(CAST({x} AS DECIMAL(38,{scale}))) * {10**scale} AS DOUBLE)"
-    return f"({units} / (count({x}) * 1e{scale}))"
+def sql_avg(x: str) -> str:
+    return f"(fsum({x}) / count({x}))"

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from .parsing import as_column
 
-# Ten times Spark's default. A group of up to 50,000 rows is answered exactly, a larger one within
-# n / 100,000 ranks, and the buffer of a group stays within a few megabytes whatever its size.
-SKETCH_ACCURACY = 100_000
+# Numbers up to this size are added as decimals; larger ones are in the plain sum beside them.
+DECIMAL_LIMIT = 1e20
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
@@ -22,30 +21,39 @@ def percent(part: Column | str, whole: Column | str) -> Column:
     return ratio(F.lit(100.0) * as_column(part), whole)
 
 
-def fixed_point(c: Column | str, scale: int = 2) -> Column:
-    """The value as a whole number of 10^-scale units; sums of these do not depend on row order."""
-    return F.floor(as_column(c).cast("double") * F.lit(10.0**scale) + F.lit(0.5)).cast("decimal(20,0)")
+def exact_sum(c: Column | str) -> Column:
+    """Sum of the values as they are, the same under any row order to the last digits that matter.
 
+    Each value is split into a decimal of six places, whose sum is exact, and the rest, which is below
+    a millionth and has only rounding errors of its own size. Nothing is rounded away and nothing
+    saturates; NaN and infinity stay in the plain part and make the sum what Spark's ``sum`` makes it.
+    """
+    units, rest = _parts(c)
+    return F.coalesce(F.sum(units).cast("double"), F.lit(0.0)) + F.sum(rest)
 
-def exact_sum(c: Column | str, scale: int = 2) -> Column:
-    return F.sum(fixed_point(c, scale)).cast("double") / F.lit(10.0**scale)
 
+def _parts(c: Column | str) -> tuple[Column, Column]:
+    x = as_column(c).cast("double")
+    units = F.when(F.abs(x) < F.lit(DECIMAL_LIMIT), x.cast("decimal(26,6)"))
+    return units, x - F.coalesce(units.cast("double"), F.lit(0.0))
 
-def exact_mean(total: Column | str, n: Column, scale: int = 2) -> Column:
-    """Sum of a value over a count, from whole units and a single division."""
-    return F.try_divide(F.sum(fixed_point(total, scale)).cast("double"), n * F.lit(10.0**scale))
 
+def exact_mean(total: Column | str, n: Column) -> Column:
+    """Sum of a value over a count. The decimal part is divided as a whole number of millionths by a whole
+    number, so that a mean half-way between two digits stays there."""
+    units, rest = _parts(total)
+    millionths = (F.sum(units).cast("decimal(32,6)") * F.lit(1_000_000)).cast("double")
+    whole = F.try_divide(F.coalesce(millionths, F.lit(0.0)), n.cast("double") * F.lit(1e6))
+    return whole + F.try_divide(F.sum(rest), n.cast("double"))
 
-def exact_avg(c: Column | str, scale: int = 2) -> Column:
-    return exact_mean(c, F.count(as_column(c)), scale)
 
+def exact_avg(c: Column | str) -> Column:
+    return exact_mean(c, F.count(as_column(c)))
 
-def sketch_quantile(c: Column | str, p: float, accuracy: int = SKETCH_ACCURACY) -> Column:
-    return F.percentile_approx(as_column(c), F.lit(p), F.lit(accuracy))
 
-
-def sketch_quantiles(c: Column | str, points: list[float], accuracy: int = SKETCH_ACCURACY) -> Column:
-    """Array of quantiles from one sketch."""
+def sketch_quantiles(c: Column | str, points: list[float], accuracy: int) -> Column:
+    """Array of quantiles from one sketch: exact for a group of up to accuracy / 2 rows, else within
+    n / accuracy ranks, by a path that depends on the layout of the rows."""
     return F.percentile_approx(as_column(c), F.array(*[F.lit(p) for p in points]), F.lit(accuracy))
 
 

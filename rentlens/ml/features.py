@@ -13,10 +13,10 @@ from ..functions import labels, numeric
 from ..operators.distributions import exact_quantiles
 from ..operators.occupancy import LISTING, listing_months
 from ..sources import tables
-from ..sources.scratch import new_folder
+from ..sources.scratch import new_folder, remove_folder
 
 # Feature names, defaults and leak lists that a trained model depends on.
-RAW_NUMERIC = (
+NUMERIC = (
     "minimum_nights",
     "number_of_reviews",
     "number_of_reviews_ltm",
@@ -25,8 +25,6 @@ RAW_NUMERIC = (
     "availability_365",
     "latitude",
     "longitude",
-)
-DETAILED_NUMERIC = (
     "accommodates",
     "bedrooms",
     "beds",
@@ -37,8 +35,6 @@ DETAILED_NUMERIC = (
     "review_scores_value",
     "amenity_count",
     "estimated_occupancy_l365d",
-)
-DERIVED_NUMERIC = (
     "occupancy_rate",
     "log_reviews",
     "log_host_listings",
@@ -46,7 +42,7 @@ DERIVED_NUMERIC = (
     "neighbourhood_listing_count",
     "neighbourhood_mean_log_price",
 )
-NUMERIC = (*RAW_NUMERIC, *DETAILED_NUMERIC, *DERIVED_NUMERIC)
+DERIVED_NUMERIC = NUMERIC[-6:]
 CATEGORICAL = (
     "city",
     "room_type",
@@ -118,6 +114,7 @@ class TargetEncoding:
     group: str = "neighbourhood"
     mean_name: str = "neighbourhood_mean_log_price"
     count_name: str = "neighbourhood_listing_count"
+    scratch: str | None = None
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Add the encoding to any split; rows are kept, unknown and NULL groups take the defaults."""
@@ -136,7 +133,13 @@ class TargetEncoding:
         path = new_folder(spark, "encoding")
         self.save(path)
         read = tables.read_table
-        return replace(self, groups=read(spark, f"{path}/groups"), defaults=read(spark, f"{path}/defaults"))
+        groups, defaults = read(spark, f"{path}/groups"), read(spark, f"{path}/defaults")
+        return replace(self, groups=groups, defaults=defaults, scratch=path)
+
+    def discard(self) -> None:
+        """Remove the scratch tables of ``stored``; plans that still read them fail afterwards."""
+        if self.scratch:
+            remove_folder(self.groups.sparkSession, self.scratch)
 
     def save(self, path: str) -> None:
         self.groups.write.mode("overwrite").parquet(f"{path}/groups")
@@ -162,14 +165,14 @@ def fit_target_encoding(
     """
     log_target = F.log1p(target)
     groups = train.groupBy(group).agg(
-        numeric.exact_avg(log_target, 12).alias(mean_name),
+        numeric.exact_avg(log_target).alias(mean_name),
         F.count(key).alias(count_name),
-        F.sum(numeric.fixed_point(log_target, 12)).alias("log_units"),
+        numeric.exact_sum(log_target).alias("log_sum"),
         F.count(log_target).alias("n_targets"),
         F.count("*").alias("n_rows"),
     )
     defaults = groups.agg(
-        F.try_divide(F.sum("log_units").cast("double"), F.sum("n_targets") * F.lit(1e12)).alias("mean_log"),
+        numeric.exact_mean("log_sum", F.sum("n_targets")).alias("mean_log"),
         numeric.ratio(F.sum("n_rows"), F.count("*")).alias("mean_count"),
     )
     return TargetEncoding(groups, defaults, group, mean_name, count_name)
@@ -213,7 +216,7 @@ def select_and_fill(
     """Project to features and carried columns; categories become text without gaps, and the numbers
     that have a default are filled. Other numbers keep their gaps."""
     numbers, categories = model_columns(df, leaks, extra_numeric)
-    kept = [c for c in carried if c in df.columns and c not in numbers]
+    kept = [c for c in dict.fromkeys(carried) if c in df.columns and c not in numbers]
     text = [F.coalesce(F.col(c).cast("string"), F.lit("unknown")).alias(c) for c in categories]
     filled = {c: v for c, v in defaults.items() if c in numbers}
     out = df.select(*numbers, *text, *kept)
@@ -221,10 +224,14 @@ def select_and_fill(
 
 
 def model_input(
-    df: DataFrame, encoding: TargetEncoding, leaks: Iterable[str] = (), extra_numeric: Iterable[str] = ()
+    df: DataFrame,
+    encoding: TargetEncoding,
+    leaks: Iterable[str] = (),
+    extra_numeric: Iterable[str] = (),
+    carried: Sequence[str] = CARRIED,
 ) -> DataFrame:
     """Everything between a listings table and the estimator, the same for training and scoring."""
-    selected = select_and_fill(engineer(df, encoding), leaks, extra_numeric)
+    selected = select_and_fill(engineer(df, encoding), leaks, extra_numeric, carried=carried)
     gaps = {c: v for c, v in GAP_DEFAULTS.items() if c in selected.columns}
     return selected.fillna(gaps) if gaps else selected
 

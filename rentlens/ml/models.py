@@ -53,6 +53,8 @@ BENCHMARK_NUMERIC = (
     "longitude",
 )
 BENCHMARK_FOREST = {"numTrees": 50, "maxDepth": 8, "seed": 42}
+# Partitions of the training rows: a parameter of the fit, not of the machine. Raise it with the data.
+PARTITIONS = 16
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,10 @@ class Trained:
         self.encoding.save(f"{path}/encoding")
         self.metrics.write.mode("overwrite").parquet(f"{path}/metrics")
 
+    def discard(self) -> None:
+        """Remove what the training left in the shared folder, once metrics and predictions are used."""
+        self.encoding.discard()
+
 
 def load(spark: SparkSession, path: str) -> tuple[PipelineModel, TargetEncoding]:
     return PipelineModel.load(f"{path}/model"), TargetEncoding.load(spark, f"{path}/encoding")
@@ -82,31 +88,32 @@ def _estimator(catalog: Mapping, algo: str, changes: Mapping | None):
 
 
 @contextmanager
-def held(train: DataFrame, key: str):
+def held(train: DataFrame, key: str, partitions: int, order: Sequence[str] = ()):
     """Keep training rows for the duration of a fit, which reads them once per tree level or iteration.
 
-    They spill to disk where memory ends. Small sets come out of a shuffle in very few partitions and
-    would leave cores idle; those are spread by key.
+    They spill to disk where memory ends. Rows are always dealt by key into ``partitions`` and sorted,
+    so a fit sees the same layout on any number of cores.
     """
-    spark = train.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    kept = [train.persist(StorageLevel.MEMORY_AND_DISK)]
+    spread = train.repartition(partitions, key).sortWithinPartitions(*dict.fromkeys((key, *order)))
+    kept = spread.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if kept[0].rdd.getNumPartitions() < cores:
-            spread = kept[0].repartition(cores, key).sortWithinPartitions(key)
-            kept.append(spread.persist(StorageLevel.MEMORY_AND_DISK))
-        yield kept[-1]
+        yield kept
     finally:
-        for df in kept:
-            df.unpersist()
+        kept.unpersist()
 
 
 def fit(
-    train: DataFrame, estimator, numbers: Sequence[str], categories: Sequence[str], key: str = "id"
+    train: DataFrame,
+    estimator,
+    numbers: Sequence[str],
+    categories: Sequence[str],
+    key: str = "id",
+    partitions: int = PARTITIONS,
 ) -> PipelineModel:
     """Fit features and estimator."""
     use_checkpoints(train.sparkSession)
-    with held(train, key) as rows:
+    order = [c for c in ("year", "month") if c in train.columns]
+    with held(train, key, partitions, order) as rows:
         return Pipeline(stages=[*features.feature_stages(categories, numbers), estimator]).fit(rows)
 
 
@@ -133,7 +140,7 @@ def train_price(
     encoding = features.fit_target_encoding(train_rows, key=key).stored()
 
     def prepared(rows: DataFrame) -> DataFrame:
-        return features.model_input(rows, encoding).withColumn("label", F.log1p("price"))
+        return features.model_input(rows, encoding, carried=(key, *features.CARRIED)).withColumn("label", F.log1p("price"))
 
     train = prepared(train_rows)
     numbers, categories = features.model_columns(train)
@@ -179,16 +186,16 @@ def _train_classifier(
     rows: DataFrame, label: str, estimator, name: str, key: str, extra_numeric: Iterable[str] = ()
 ) -> Trained:
     train_rows, test_rows = features.split(rows, key)
-    encoding = features.fit_target_encoding(train_rows).stored()
+    encoding = features.fit_target_encoding(train_rows, key=key).stored()
     leaks = features.AVAILABILITY_LEAKS
 
     def prepared(part: DataFrame) -> DataFrame:
-        selected = features.model_input(part, encoding, leaks, extra_numeric)
+        selected = features.model_input(part, encoding, leaks, extra_numeric, carried=(key, *features.CARRIED))
         return selected.withColumn("label", F.col(label).cast("double"))
 
     train = features.class_weights(prepared(train_rows))
     numbers, categories = features.model_columns(train, leaks, extra_numeric)
-    model = fit(train, estimator, numbers, categories)
+    model = fit(train, estimator, numbers, categories, key)
     predictions = model.transform(prepared(test_rows))
     metrics = evaluation.classification_metrics(predictions).withColumn(
         "auc", F.lit(evaluation.area_under_roc(predictions))
@@ -237,6 +244,7 @@ def train_forest_benchmark(
     high: float = 1000,
     key: str = "id",
     changes: Mapping | None = None,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
     """The timed forest: indexed categories, numbers with gaps as zero, log price, RMSE and R²."""
     rows = (
@@ -254,7 +262,7 @@ def train_forest_benchmark(
             featuresCol="features", labelCol="log_price", **{**BENCHMARK_FOREST, **(changes or {})}
         ),
     ]
-    with held(train, key) as rows_kept:
+    with held(train, key, partitions) as rows_kept:
         model = Pipeline(stages=stages).fit(rows_kept)
     metrics = evaluation.regression_metrics(model.transform(test), "log_price")
     return metrics.select(rows.agg(F.count("*")).scalar().alias("n_rows"), "rmse", "r2")
@@ -274,7 +282,15 @@ def feature_importance(model: PipelineModel, sample: DataFrame) -> DataFrame:
     def source(slot: str) -> str:
         return next((c for prefix, c in encoded.items() if slot.startswith(prefix)), slot)
 
-    weights = model.stages[-1].featureImportances.toArray()
+    estimator = model.stages[-1]
+    if hasattr(estimator, "featureImportances"):
+        weights = estimator.featureImportances.toArray()
+    elif hasattr(estimator, "coefficients"):
+        # Features have unit deviation, so the sizes of their coefficients compare; they are scaled to sum to one.
+        weights = abs(estimator.coefficients.toArray())
+        weights = weights / (weights.sum() or 1.0)
+    else:
+        raise TypeError(f"{type(estimator).__name__} has neither importances nor coefficients")
     rows = [(source(a["name"]), float(weights[a["idx"]])) for a in slots]
     return (
         sample.sparkSession.createDataFrame(rows, "feature string, importance double")
@@ -294,9 +310,10 @@ def score(
 ) -> DataFrame:
     """Score a whole table: price for a regression, probability of the positive class otherwise.
 
-    Rows are named by columns that the features carry along: ``id``, ``year``, ``month``.
+    ``keys`` name the rows of the result.
     """
-    scored = model.transform(features.model_input(df, encoding, leaks, extra_numeric))
+    carried = tuple(dict.fromkeys((*keys, *features.CARRIED)))
+    scored = model.transform(features.model_input(df, encoding, leaks, extra_numeric, carried))
     if "probability" in scored.columns:
         return scored.select(*keys, "prediction", vector_to_array("probability")[1].alias("probability"))
     return scored.select(*keys, "prediction", F.expm1("prediction").alias("predicted_price"))

@@ -51,20 +51,23 @@ def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 
 def positive_only(df: DataFrame, column: str = "price") -> DataFrame:
-    return df.where(F.col(column) > 0)
+    """Rows with a positive number; NaN is none."""
+    return df.where((F.col(column) > 0) & ~F.isnan(F.col(column).cast("double")))
 
 
-def dedupe(df: DataFrame, keys: Iterable[str]) -> DataFrame:
+def dedupe(df: DataFrame, keys: Iterable[str], known: Iterable[str] = ()) -> DataFrame:
     """One row per key: the smallest row in column order, so reruns keep the same survivor.
 
-    Runs as a grouped minimum, which is combined before the shuffle; copies of one key never have to
-    meet in full in one task. Keys the table lacks are ignored.
+    Runs as a grouped minimum (of a struct, hence as sort aggregates), which is combined before the
+    shuffle; copies of one key never have to meet in full in one task. Keys the table lacks are
+    ignored. ``known`` columns are compared first, and rows that know them come before those that do not.
     """
     keys = [k for k in keys if k in df.columns]
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.dropDuplicates(keys)
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("kept"))
+    missing = [F.col(c).isNull().alias(f"_no_{i}") for i, c in enumerate(known) if c in rest]
+    kept = df.groupBy(*keys).agg(F.min(F.struct(*missing, *rest)).alias("kept"))
     return kept.select(*[F.col(c) if c in keys else F.col("kept")[c].alias(c) for c in df.columns])
 
 
@@ -85,8 +88,9 @@ def enrich(
     df: DataFrame, extra: DataFrame, on: str = "id", prefer: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Left join of further columns. ``prefer`` maps a column to the extra column that replaces it
-    where known. Extra rows are reduced to one per key first, so no row is multiplied."""
-    out = df.join(dedupe(extra, [on]), on, "left")
+    where known. Extra rows are reduced to one per key first, so no row is multiplied; one that knows
+    the preferred columns is kept before one that does not."""
+    out = df.join(dedupe(extra, [on], (prefer or {}).values()), on, "left")
     for column, better in (prefer or {}).items():
         if better in out.columns:
             out = out.withColumn(column, F.coalesce(F.col(better), F.col(column))).drop(better)

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric
-from ..functions.numeric import SKETCH_ACCURACY
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -15,11 +14,30 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
-def _band(value: str) -> Column:
-    """Monotone band of a number, a thousandth of its logarithm wide: at most 27,631 bands per sign
-    for amounts up to 10^12, whatever the data."""
+# A band is a thousandth of the logarithm wide and has so many cells. The first term lifts the logarithm of the
+# smallest double above zero.
+CELLS = 1 << 16
+LIFT = 746.0
+
+
+def _cell(value: str) -> Column:
+    """Monotone cell of a number. A group has at most 1.5 million bands per sign and a band ``CELLS``
+    cells; a cell is 1.5e-8 of its value wide, so the distinct values in it are bounded whatever the data."""
     v = F.col(value).cast("double")
-    return F.floor(F.signum(v) * F.log1p(F.abs(v)) * F.lit(1000.0))
+    place = F.floor((F.log(F.abs(v)) + F.lit(LIFT)) * F.lit(1000.0 * CELLS))
+    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * place)
+
+
+def same_group(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Equal keys of two aliased tables; NULL matches NULL."""
+    return reduce(lambda a, k: a & F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")), keys, F.lit(True))
+
+
+def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on groups, the NULL group included; the columns of the left side, then those that the right adds."""
+    added = [c for c in right.columns if c not in by]
+    joined = left.alias("l").join(right.alias("r"), same_group("l", "r", list(by)), how)
+    return joined.select("l.*", *[F.col(f"r.`{c}`") for c in added])
 
 
 def exact_quantiles(
@@ -32,16 +50,18 @@ def exact_quantiles(
     """Exact quantiles per group, one column per named point, plus the group's size ``n``.
 
     ``linear`` interpolates between neighbours, ``lower`` takes the smallest value whose cumulative
-    share reaches the point. Works by counting: distinct values are counted, summed into bands, the
-    band of each wanted rank is found from the band counts, and only the values of that band are
-    ordered. A group of any size is spread over the cluster; no buffer grows with its values.
+    share reaches the point. Works by counting: distinct values are counted and summed into bands; the
+    band of each wanted rank is found from the band counts, then its cell from the cell counts, and
+    only the values of that cell are ordered. A group of any size is spread over the cluster, and
+    values that lie close together over the cells of their band.
     """
     if method not in ("linear", "lower"):
         raise ValueError("method must be 'linear' or 'lower'")
     keys = list(by)
     known = df.where(~F.isnan(F.col(value).cast("double")))
-    # The filter on the band changes no row; with it both uses of the counts share one shuffle.
-    counts = value_counts(known, value, keys).withColumn("band", _band(value)).where(F.col("band").isNotNull())
+    # The filter on the cell changes no row; with it all uses of the counts share one shuffle.
+    counts = value_counts(known, value, keys).withColumn("cell", _cell(value)).where(F.col("cell").isNotNull())
+    counts = counts.withColumn("band", F.floor(F.col("cell") / F.lit(CELLS)))
 
     bands = counts.groupBy(*keys, "band").agg(F.sum("n").alias("band_n"))
     through = Window.partitionBy(*keys).orderBy("band").rowsBetween(Window.unboundedPreceding, 0)
@@ -65,22 +85,25 @@ def exact_quantiles(
         .select(*keys, "band", "total", "want.slot", "want.rank", (F.col("upto") - F.col("band_n")).alias("before"))
     )
 
-    left, right = counts.alias("c"), targets.alias("t")
-    same = F.col("c.band") == F.col("t.band")
-    for k in keys:
-        same = same & F.col(f"c.{k}").eqNullSafe(F.col(f"t.{k}"))
-    inside = left.join(right, same).select(
-        *[F.col(f"t.{k}").alias(k) for k in keys],
-        F.col(f"c.{value}").cast("double").alias("v"),
-        "c.n",
-        "t.total",
-        "t.slot",
-        "t.rank",
-        "t.before",
+    def within(level: str, chosen: DataFrame) -> DataFrame:
+        """The counted values in the chosen bands or cells, with the rank that is wanted there."""
+        rows = counts.withColumnsRenamed({value: "v"}).select(*keys, F.col("v").cast("double").alias("v"), "n", "band", "cell")
+        same = same_group("c", "t", [*keys, level])
+        joined = rows.alias("c").join(chosen.alias("t"), same)
+        return joined.select(*[f"c.`{k}`" for k in keys], "c.v", "c.n", "c.cell", "t.total", "t.slot", "t.rank", "t.before")
+
+    cells = within("band", targets).groupBy(*keys, "slot", "cell").agg(
+        F.sum("n").alias("cell_n"), *[F.first(c).alias(c) for c in ("total", "rank", "before")]
+    )
+    reached = F.sum("cell_n").over(Window.partitionBy(*keys, "slot").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
+    hit_cells = (
+        cells.withColumn("reached", F.col("before") + reached)
+        .where((F.col("reached") >= F.col("rank")) & (F.col("reached") - F.col("cell_n") < F.col("rank")))
+        .select(*keys, "cell", "total", "slot", "rank", (F.col("reached") - F.col("cell_n")).alias("before"))
     )
     ordered = Window.partitionBy(*keys, "slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     hit = F.col("before") + F.sum("n").over(ordered) >= F.col("rank")
-    found = inside.withColumn("hit", hit).where("hit").groupBy(*keys, "slot").agg(
+    found = within("cell", hit_cells).withColumn("hit", hit).where("hit").groupBy(*keys, "slot").agg(
         F.min("v").alias("v"), F.first("total").alias("n")
     )
 
@@ -104,6 +127,29 @@ def merge_groups(by: Sequence[str], *tables: DataFrame) -> DataFrame:
     return stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in by])
 
 
+def with_quantiles(
+    df: DataFrame,
+    by: Sequence[str],
+    measures: Sequence[Column],
+    value: str,
+    points: Mapping[str, float],
+    sketch: int | None = None,
+) -> DataFrame:
+    """Aggregates of each group beside quantiles of a value (lower ones: values that occur).
+
+    Exact, unless ``sketch`` asks for one-pass sketches of that accuracy.
+    """
+    if sketch is not None:
+        table = df.groupBy(*by).agg(*measures, numeric.sketch_quantiles(value, list(points.values()), sketch).alias("q"))
+        return table.withColumns({name: F.col("q")[i] for i, name in enumerate(points)}).drop("q")
+    kind = df.schema[value].dataType
+    quantiles = exact_quantiles(df, value, points, by, "lower").drop("n")
+    quantiles = quantiles.withColumns({name: F.col(name).cast(kind) for name in points})
+    if not measures:
+        return join_groups(df.select(*by).distinct(), quantiles, by, "left")
+    return join_groups(df.groupBy(*by).agg(*measures), quantiles, by, "left")
+
+
 def medians(df: DataFrame, by: Sequence[str], value: str = "price") -> DataFrame:
     """Exact interpolated median and size per group."""
     return exact_quantiles(df, value, {f"median_{value}": 0.5}, by)
@@ -115,37 +161,22 @@ def sketch_table(
     points: Mapping[str, float] | None = None,
     by: Sequence[str] = ("city",),
     digits: int = 2,
-    accuracy: int = SKETCH_ACCURACY,
+    sketch: int | None = None,
 ) -> DataFrame:
-    """Several quantiles from one sketch, one column each."""
+    """Several quantiles, one column each."""
     # The quantiles of the standard price table.
     points = points or {"q25": 0.25, "median_q50": 0.5, "q75": 0.75, "q90": 0.9, "q95": 0.95, "q99": 0.99}
-    sketch = numeric.sketch_quantiles(value, list(points.values()), accuracy)
-    return (
-        df.groupBy(*by)
-        .agg(sketch.alias("quantiles"))
-        .select(*by, *[F.round(F.col("quantiles")[i], digits).alias(name) for i, name in enumerate(points)])
-        .orderBy(*by)
-    )
+    table = with_quantiles(df, by, [], value, points, sketch)
+    return table.select(*by, *[F.round(name, digits).alias(name) for name in points]).orderBy(*by)
 
 
 def quartile_stats(
-    df: DataFrame, value: str, by: Sequence[str] = ("city",), digits: int = 1, accuracy: int = SKETCH_ACCURACY
+    df: DataFrame, value: str, by: Sequence[str] = ("city",), digits: int = 1, sketch: int | None = None
 ) -> DataFrame:
     """Rounded mean, median and quartiles."""
-    sketch = numeric.sketch_quantiles(value, [0.25, 0.5, 0.75], accuracy)
-    return (
-        df.groupBy(*by)
-        .agg(F.round(numeric.exact_avg(value), digits).alias("mean"), sketch.alias("q"))
-        .select(
-            *by,
-            "mean",
-            F.round(F.col("q")[1], digits).alias("median"),
-            F.round(F.col("q")[0], digits).alias("q1"),
-            F.round(F.col("q")[2], digits).alias("q3"),
-        )
-        .orderBy(*by)
-    )
+    points = {"median": 0.5, "q1": 0.25, "q3": 0.75}
+    table = with_quantiles(df, by, [F.round(numeric.exact_avg(value), digits).alias("mean")], value, points, sketch)
+    return table.select(*by, "mean", *[F.round(name, digits).alias(name) for name in points]).orderBy(*by)
 
 
 def price_summary(
@@ -153,7 +184,7 @@ def price_summary(
     value: str = "price",
     by: Sequence[str] = ("city",),
     below: float | None = 2000,
-    accuracy: int = SKETCH_ACCURACY,
+    sketch: int | None = None,
 ) -> DataFrame:
     """Size, mean, extremes, deviation and percentiles of the values in (0, below)."""
     # The percentiles of the summary.
@@ -161,21 +192,15 @@ def price_summary(
     valid = F.col(value) > 0
     if below is not None:
         valid = valid & (F.col(value) < below)
-    return (
-        df.where(valid)
-        .groupBy(*by)
-        .agg(
-            F.count("*").alias("n"),
-            F.round(numeric.exact_avg(value), 2).alias("avg"),
-            F.round(F.min(value), 2).alias("min"),
-            F.round(F.max(value), 2).alias("max"),
-            F.round(F.stddev_samp(value), 2).alias("std"),
-            numeric.sketch_quantiles(value, list(points.values()), accuracy).alias("q"),
-        )
-        .select("*", *[F.round(F.col("q")[i], 2).alias(name) for i, name in enumerate(points)])
-        .drop("q")
-        .orderBy(*by)
-    )
+    measures = [
+        F.count("*").alias("n"),
+        F.round(numeric.exact_avg(value), 2).alias("avg"),
+        F.round(F.min(value), 2).alias("min"),
+        F.round(F.max(value), 2).alias("max"),
+        F.round(F.stddev_samp(value), 2).alias("std"),
+    ]
+    table = with_quantiles(df.where(valid), by, measures, value, points, sketch)
+    return table.withColumns({name: F.round(name, 2) for name in points}).orderBy(*by)
 
 
 def price_by_category(
@@ -183,19 +208,14 @@ def price_by_category(
     by: Sequence[str] = ("city", "room_type"),
     value: str = "price",
     below: float = 2000,
-    accuracy: int = SKETCH_ACCURACY,
+    sketch: int | None = None,
 ) -> DataFrame:
     """Mean, median and size per category over values in (0, below)."""
-    return (
-        df.where((F.col(value) > 0) & (F.col(value) < below))
-        .groupBy(*by)
-        .agg(
-            F.round(numeric.exact_avg(value), 2).alias("avg_price"),
-            F.round(numeric.sketch_quantile(value, 0.5, accuracy), 2).alias("median_price"),
-            F.count("*").alias("n"),
-        )
-        .orderBy(by[0], F.col("median_price").desc(), *by[1:])
-    )
+    rows = df.where((F.col(value) > 0) & (F.col(value) < below))
+    measures = [F.round(numeric.exact_avg(value), 2).alias("avg_price"), F.count("*").alias("n")]
+    table = with_quantiles(rows, by, measures, value, {"median_price": 0.5}, sketch)
+    table = table.select(*by, "avg_price", F.round("median_price", 2).alias("median_price"), "n")
+    return table.orderBy(by[0], F.col("median_price").desc(), *by[1:])
 
 
 def thresholds_wide(
@@ -204,15 +224,16 @@ def thresholds_wide(
     value: str = "price",
     thresholds: Sequence[float] = (100, 250, 500),
     key: str = "id",
-    accuracy: int = SKETCH_ACCURACY,
+    sketch: int | None = None,
 ) -> DataFrame:
     """Values above each threshold per group, counted and as a share, with median and maximum."""
-    stats = df.groupBy(*by).agg(
+    measures = [
         F.count(key).alias("n_listings"),
-        numeric.sketch_quantile(value, 0.5, accuracy).alias("median_price"),
         F.max(value).alias("max_price"),
         *[F.sum((F.col(value) > t).cast("int")).alias(f"n_above_{t}") for t in thresholds],
-    )
+    ]
+    stats = with_quantiles(df, by, measures, value, {"median_price": 0.5}, sketch)
+    stats = stats.select(*by, "n_listings", "median_price", "max_price", *[f"n_above_{t}" for t in thresholds])
     shares = {f"pct_above_{t}": numeric.ratio(f"n_above_{t}", "n_listings") for t in thresholds}
     return stats.withColumns(shares).orderBy(*by)
 
@@ -258,7 +279,7 @@ def histogram(
     counts = value_counts(df.where((F.col(value) > above) & (F.col(value) < below)), value, by)
     ranges = counts.groupBy(*by).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.sum("n").alias("total"))
     if by:
-        joined = counts.join(ranges, list(by))
+        joined = join_groups(counts, ranges, by)
     else:
         whole = ranges.select(F.struct("low", "high", "total")).scalar()
         joined = counts.withColumns({c: whole[c] for c in ("low", "high", "total")})
@@ -290,12 +311,13 @@ def boxplot(
     df: DataFrame, value: str = "price", by: Sequence[str] = ("city",), reach: float = 1.5
 ) -> DataFrame:
     """Quartiles, whiskers at the last values within ``reach`` quartile distances, values beyond."""
+    df = df.where(~F.isnan(F.col(value).cast("double")))
     quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     counts = value_counts(df, value, by)
     span = F.lit(float(reach)) * (F.col("q3") - F.col("q1"))
     v = F.col(value)
     inside = v.between(F.col("q1") - span, F.col("q3") + span)
-    joined = counts.withColumnRenamed("n", "copies").join(quartiles, list(by))
+    joined = join_groups(counts.withColumnRenamed("n", "copies"), quartiles, by)
     stats = joined.groupBy(*by, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("low"),
         F.max(F.when(inside, v)).alias("high"),

@@ -45,12 +45,12 @@ def beside_listings(
 ) -> DataFrame:
     """Add listing attributes to monthly rows; the monthly side's own columns win.
 
-    Both sides grow with the data, so they are merged: AQE splits hot keys of a merge join, while a
-    broadcast would rest on a guess of the reduced side's size.
+    Without a hint: AQE broadcasts a side whose measured size allows it and splits hot keys of a merge
+    join otherwise.
     """
     added = [c for c in attributes if c not in months.columns]
     chosen = listings.select(F.col(key).alias(LISTING), *added)
-    return months.join(chosen.hint("merge"), LISTING, how)
+    return months.join(chosen, LISTING, how)
 
 
 def seasonality(
@@ -173,7 +173,7 @@ def market_months(
     days = listing_months(calendar, flag, keep=(parent,))
     # Reviews join first: where the calendar carries no city of its own, both sides come out of their
     # aggregation partitioned by the join keys and need no further shuffle.
-    active = days.join(listing_reviews(reviews).hint("merge"), [LISTING, "year", "month"], "left")
+    active = days.join(listing_reviews(reviews), [LISTING, "year", "month"], "left")
     months = beside_listings(active, listings, [parent, category, price])
     booked = F.when(F.col("n_known") > 0, F.col("n_booked"))
     keys = [parent, category, "year", "month"]
@@ -181,7 +181,7 @@ def market_months(
         months.withColumns({"booked": booked, "occupancy": numeric.ratio(booked, "n_days")})
         .groupBy(*keys)
         .agg(
-            numeric.exact_avg("occupancy", 9).alias("avg_occupancy"),
+            numeric.exact_avg("occupancy").alias("avg_occupancy"),
             numeric.exact_avg(price).alias("avg_price"),
             F.sum(F.coalesce("n_reviews", F.lit(0))).alias("total_reviews"),
             F.count(LISTING).alias("n_listings"),
@@ -201,7 +201,7 @@ def calendar_overview(
         F.count("*").alias("rows"),
         F.count_if(free).alias("free"),
         F.count_if(~free).alias("blocked"),
-        *([F.sum(numeric.fixed_point(price)).alias("value"), F.count(price).alias("valued")] if price else []),
+        *([numeric.exact_sum(price).alias("value"), F.count(price).alias("valued")] if price else []),
     )
     out = per_listing.groupBy(by).agg(
         F.sum("rows").alias("total_rows"),
@@ -209,7 +209,7 @@ def calendar_overview(
         F.sum("free").alias("available_days"),
         F.sum("blocked").alias("blocked_days"),
         *(
-            [F.round(F.try_divide(F.sum("value").cast("double"), F.sum("valued") * 100.0), 2).alias("avg_price")]
+            [F.round(numeric.exact_mean("value", F.sum("valued")), 2).alias("avg_price")]
             if price
             else []
         ),

@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric
-from ..functions.numeric import SKETCH_ACCURACY
-from .distributions import medians, merge_groups
+from .distributions import join_groups, medians, with_quantiles
 from .trends import dominant
 
 
@@ -58,29 +57,33 @@ def date_range(df: DataFrame, date: str = "date") -> DataFrame:
 def activity_overview(
     df: DataFrame, parent: str = "city", item: str = "listing_id", actor: str = "reviewer_id", date: str = "date"
 ) -> DataFrame:
-    """Volume, distinct items and actors, first and last day of an activity table."""
-    return (
-        df.groupBy(parent)
-        .agg(
-            F.count("*").alias("total_reviews"),
-            F.count_distinct(item).alias("reviewed_listings"),
-            F.count_distinct(actor).alias("unique_reviewers"),
-            F.min(date).alias("first_review"),
-            F.max(date).alias("last_review"),
-        )
-        .orderBy(parent)
+    """Volume, distinct items and actors, first and last day of an activity table.
+
+    Rows are reduced to one per item, and to one per actor, before these are counted.
+    """
+    per_item = df.groupBy(parent, item).agg(
+        F.count("*").alias("rows"), F.min(date).alias("first"), F.max(date).alias("last")
+    )
+    items = per_item.groupBy(parent).agg(
+        F.sum("rows").alias("total_reviews"),
+        F.count(item).alias("reviewed_listings"),
+        F.min("first").alias("first_review"),
+        F.max("last").alias("last_review"),
     )
+    actors = df.select(parent, actor).distinct().groupBy(parent).agg(F.count(actor).alias("unique_reviewers"))
+    out = join_groups(items, actors, [parent])
+    return out.select(parent, "total_reviews", "reviewed_listings", "unique_reviewers", "first_review", "last_review").orderBy(parent)
 
 
 def rounded_means(
-    df: DataFrame, means: Mapping[str, tuple[str, int]], parent: str = "city", scale: int = 2
+    df: DataFrame, means: Mapping[str, tuple[str, int]], parent: str = "city"
 ) -> DataFrame:
     """Size of each parent and rounded means; ``means`` maps the result name to column and digits."""
     return (
         df.groupBy(parent)
         .agg(
             F.count("*").alias("total_listings"),
-            *[F.round(numeric.exact_avg(c, scale), d).alias(name) for name, (c, d) in means.items()],
+            *[F.round(numeric.exact_avg(c), d).alias(name) for name, (c, d) in means.items()],
         )
         .orderBy(parent)
     )
@@ -117,23 +120,26 @@ def compare_groups(
     key: str = "id",
     extra_means: Mapping[str, str] | None = None,
     capacity: float = 365.0,
-    accuracy: int = SKETCH_ACCURACY,
+    sketch: int | None = None,
 ) -> DataFrame:
     """Price, activity, occupancy, listings and hosts per group.
 
-    Hosts are counted in an aggregation of their own: in one with the median, Spark would keep a price
-    sketch per host.
+    Rows are reduced to sums and counts per group and host, which give the means and the number of
+    hosts from one pass; medians come from value counts.
     """
-    measures = df.groupBy(*by).agg(
-        numeric.sketch_quantile(price, 0.5, accuracy).alias("median_price"),
-        numeric.exact_avg(price).alias("mean_price"),
-        numeric.exact_avg(activity).alias("mean_reviews_per_month"),
-        numeric.occupancy(numeric.exact_avg(available), capacity).alias("avg_occupancy_rate"),
-        *[numeric.exact_avg(c).alias(name) for name, c in (extra_means or {}).items()],
-        F.count(key).alias("n_listings"),
+    averaged = {"mean_price": price, "mean_reviews_per_month": activity, "available": available, **(extra_means or {})}
+    sums = {c: (f"_sum_{i}", f"_n_{i}") for i, c in enumerate(dict.fromkeys(averaged.values()))}
+    per_host = df.groupBy(*by, F.col(host).alias("_host")).agg(
+        F.count(key).alias("_keys"),
+        *[numeric.exact_sum(c).alias(s) for c, (s, _) in sums.items()],
+        *[F.count(c).alias(n) for c, (_, n) in sums.items()],
     )
-    hosts = df.groupBy(*by).agg(F.count_distinct(host).alias("n_hosts"))
-    return merge_groups(by, measures, hosts)
+    means = {name: numeric.exact_mean(sums[c][0], F.sum(sums[c][1])) for name, c in averaged.items()}
+    measures = per_host.groupBy(*by).agg(
+        *[m.alias(name) for name, m in means.items()], F.sum("_keys").alias("n_listings"), F.count("_host").alias("n_hosts")
+    )
+    measures = measures.withColumn("avg_occupancy_rate", numeric.occupancy("available", capacity)).drop("available")
+    return join_groups(measures, with_quantiles(df, by, [], price, {"median_price": 0.5}, sketch), by)
 
 
 def compare_areas(
@@ -163,7 +169,7 @@ def headline_metrics(
         F.count_distinct(host).alias("n_hosts"),
         numeric.percent(F.count_if(F.col(multi) == "multi"), F.count("*")).alias("multi_share_pct"),
     )
-    return counts.join(medians(df, [parent], price).drop("n"), parent, "left").orderBy(parent)
+    return join_groups(counts, medians(df, [parent], price).drop("n"), [parent], "left").orderBy(parent)
 
 
 def group_breakdown(
@@ -180,12 +186,11 @@ def group_centroid(
     by: Sequence[str] = ("neighbourhood_group",),
     latitude: str = "latitude",
     longitude: str = "longitude",
-    scale: int = 6,
 ) -> DataFrame:
     """Mean position of each group."""
     return df.groupBy(*by).agg(
-        numeric.exact_avg(latitude, scale).alias("center_latitude"),
-        numeric.exact_avg(longitude, scale).alias("center_longitude"),
+        numeric.exact_avg(latitude).alias("center_latitude"),
+        numeric.exact_avg(longitude).alias("center_longitude"),
     )
 
 
@@ -201,22 +206,22 @@ def city_summary(
     available: str = "availability_365",
     flag: str = "available",
     key: str = "id",
-    accuracy: int = SKETCH_ACCURACY,
+    sketch: int | None = None,
 ) -> DataFrame:
     """One row per parent: listing statistics, dominant category, reviews and calendar availability."""
-    valid = listings.where(F.col(price) > 0)
-    priced = valid.groupBy(parent).agg(
+    measures = [
         F.count(key).alias("n_listings"),
         F.round(numeric.exact_avg(price), 0).alias("avg_price"),
-        F.round(numeric.sketch_quantile(price, 0.5, accuracy), 0).alias("median_price"),
         F.round(numeric.exact_avg(activity), 1).alias("avg_reviews_per_listing"),
         F.round(numeric.exact_avg(rating), 2).alias("avg_rating"),
         F.round(numeric.exact_avg(available), 0).alias("avg_availability"),
-    )
+    ]
+    priced = with_quantiles(listings.where(F.col(price) > 0), [parent], measures, price, {"median_price": 0.5}, sketch)
+    priced = priced.withColumn("median_price", F.round("median_price", 0))
     reviewed = reviews.groupBy(parent).agg(F.count("*").alias("total_reviews"))
     free = calendar.groupBy(parent).agg(
         F.round(numeric.percent(F.count_if(F.col(flag)), F.count(flag)), 1).alias("availability_rate_pct")
     )
-    out = priced.join(dominant(listings, parent, category), parent, "left")
-    out = out.join(reviewed, parent, "left").join(free, parent, "left")
+    out = join_groups(priced, dominant(listings, parent, category), [parent], "left")
+    out = join_groups(join_groups(out, reviewed, [parent], "left"), free, [parent], "left")
     return out.fillna(0, subset=["total_reviews"]).orderBy(parent)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric
-from ..functions.numeric import SKETCH_ACCURACY
+from .distributions import with_quantiles
 
 
 def keep_first(df: DataFrame, parent: Sequence[str], order: Sequence[Column], k: int, rank="rank") -> DataFrame:
@@ -27,22 +27,17 @@ def top_bottom(
     key: str = "id",
     k: int = 10,
     min_n: int = 10,
-    accuracy: int = SKETCH_ACCURACY,
+    sketch: int | None = None,
 ) -> DataFrame:
     """The k groups with the highest and the k with the lowest median per parent.
 
     Both ranks come from one pass; a group that is in both lists has a row in each. Equal medians
     rank by group name.
     """
-    stats = (
-        df.groupBy(parent, *group)
-        .agg(
-            numeric.sketch_quantile(value, 0.5, accuracy).alias("median_price"),
-            numeric.exact_avg(value).alias("mean_price"),
-            F.count(key).alias("n_listings"),
-        )
-        .where(F.col("n_listings") >= min_n)
-    )
+    by = [parent, *group]
+    measures = [numeric.exact_avg(value).alias("mean_price"), F.count(key).alias("n_listings")]
+    stats = with_quantiles(df, by, measures, value, {"median_price": 0.5}, sketch)
+    stats = stats.where(F.col("n_listings") >= min_n).select(*by, "median_price", "mean_price", "n_listings")
     names = [F.col(g).asc() for g in group]
     down = Window.partitionBy(parent).orderBy(F.col("median_price").desc(), *names)
     up = Window.partitionBy(parent).orderBy(F.col("median_price").asc(), *names)
@@ -66,19 +61,15 @@ def top_by_total(
     price: str = "price",
     key: str = "id",
     k: int = 10,
-    accuracy: int = SKETCH_ACCURACY,
+    sketch: int | None = None,
 ) -> DataFrame:
     """The k groups with the largest total of a value per parent."""
-    stats = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(parent, *group)
-        .agg(
-            numeric.exact_sum(value).alias("total_estimated_revenue"),
-            numeric.exact_avg(value).alias("avg_estimated_revenue"),
-            numeric.sketch_quantile(price, 0.5, accuracy).alias("median_price"),
-            F.count(key).alias("n_listings"),
-        )
-    )
+    measures = [
+        numeric.exact_sum(value).alias("total_estimated_revenue"),
+        numeric.exact_avg(value).alias("avg_estimated_revenue"),
+        F.count(key).alias("n_listings"),
+    ]
+    stats = with_quantiles(df.where(F.col(value).isNotNull()), [parent, *group], measures, price, {"median_price": 0.5}, sketch)
     order = [F.col("total_estimated_revenue").desc(), *[F.col(g).asc() for g in group]]
     return keep_first(stats, [parent], order, k).orderBy(parent, "rank")
 
@@ -154,11 +145,11 @@ def group_with_fallback(
     )
 
 
-def mean_by_group_top(df: DataFrame, group: str, metric: str, k: int = 20, scale: int = 2) -> DataFrame:
+def mean_by_group_top(df: DataFrame, group: str, metric: str, k: int = 20) -> DataFrame:
     """Mean of a metric per group, the k highest first."""
     return (
         df.groupBy(group)
-        .agg(numeric.exact_avg(metric, scale).alias(f"mean_{metric}"))
+        .agg(numeric.exact_avg(metric).alias(f"mean_{metric}"))
         .orderBy(F.col(f"mean_{metric}").desc_nulls_last(), F.col(group).asc())
         .limit(k)
     )

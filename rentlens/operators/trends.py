@@ -112,7 +112,7 @@ def series_extremes(
 
 def month_means(df: DataFrame, series: str, value: str) -> DataFrame:
     """Mean of a monthly rate over the years."""
-    return df.groupBy(series, "month").agg(numeric.exact_avg(value, 9).alias("mean_value"))
+    return df.groupBy(series, "month").agg(numeric.exact_avg(value).alias("mean_value"))
 
 
 def city_month_matrix(
@@ -135,8 +135,8 @@ def season_lift(
     in_season = F.when(F.col("month").isin(list(season)), F.col("mean_value"))
     peak = F.max(F.struct("mean_value", (-F.col("month")).alias("month")))
     stats = means.groupBy(series).agg(
-        numeric.exact_avg("mean_value", 12).alias("annual"),
-        numeric.exact_avg(in_season, 12).alias("season"),
+        numeric.exact_avg("mean_value").alias("annual"),
+        numeric.exact_avg(in_season).alias("season"),
         peak.alias("peak"),
     )
     return stats.select(

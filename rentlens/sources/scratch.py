@@ -28,6 +28,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``new_folder`` named, wherever the shared folder is."""
+    root = shared_root(spark).rstrip("/") + "/"
+    if not path.startswith(root) or ".." in path:
+        raise ValueError(f"{path} is not in the scratch folder")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

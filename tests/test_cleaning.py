@@ -122,3 +122,14 @@ def test_the_same_copy_survives_in_any_layout(spark):
 def test_null_keys_are_one_group(spark):
     rows = [(None, "a"), (None, "b"), ("x", "c")]
     assert cleaning.dedupe(strings(spark, rows, ["id", "payload"]), ["id"]).count() == 2
+
+
+def test_enrich_keeps_the_row_that_knows_the_price(spark):
+    rows = spark.createDataFrame([("1", 50.0)], "id string, price double")
+    extra = spark.createDataFrame([("1", "a", None), ("1", "b", 80.0)], "id string, note string, price_detailed double")
+    assert cleaning.enrich(rows, extra, "id", {"price": "price_detailed"}).first()["price"] == 80.0
+
+
+def test_nan_is_no_price(spark):
+    rows = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "price double")
+    assert [r[0] for r in cleaning.positive_only(rows).collect()] == [1.0]

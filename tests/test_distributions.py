@@ -1,12 +1,16 @@
 """Distributions against direct computations."""
 
+import math
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from rentlens.functions import labels, numeric
 from rentlens.operators import distributions as d
+from rentlens.operators import profiling
 
 
 def frame(spark, values, groups=None):
@@ -102,3 +106,45 @@ def test_sums_do_not_depend_on_order(spark):
         frame(spark, values).repartition(p).agg(numeric.exact_sum("price")).first()[0] for p in (1, 4, 9)
     }
     assert totals == {120.0}
+
+
+def test_sums_keep_small_large_and_missing_values(spark):
+    def mean(*values):
+        return frame(spark, list(values)).agg(numeric.exact_avg("price")).first()[0]
+
+    assert mean(0.004, 0.004) == 0.004 and mean(2e7, 4e7) == 3e7 and mean(1e300, 3e300) == 2e300
+    assert mean(None, None) is None and mean(None, 2.0) == 2.0 and math.isnan(mean(float("nan"), 5.0))
+    assert mean(float("inf"), 1.0) == float("inf") and mean(104766.57, 0.0, 0.0) == 34922.19
+    assert mean(1e-9, 3e-9) == pytest.approx(2e-9, rel=1e-12)
+
+
+@pytest.mark.parametrize(("low", "high"), [(1000.0, 1001.0), (0.0, 0.001), (-1001.0, -1000.0)])
+def test_close_values_spread_over_cells(spark, low, high):
+    n = 200_000
+    rows = spark.range(n).select(F.lit("g").alias("city"), (F.lit(low) + F.col("id") * ((high - low) / n)).alias("price"))
+    cells = d.value_counts(rows, "price", ["city"]).groupBy(d._cell("price")).count()
+    assert cells.agg(F.max("count")).first()[0] < 2000
+    row = d.exact_quantiles(rows, "price", {"m": 0.5, "p": 0.9}, ["city"], "lower").first()
+    assert row["m"] == pytest.approx(low + (high - low) * (n // 2 - 1) / n, rel=1e-12)
+    assert row["p"] == pytest.approx(low + (high - low) * (n * 9 // 10 - 1) / n, rel=1e-12)
+
+
+def test_medians_do_not_depend_on_the_layout(spark):
+    rows = spark.range(1_000_000).select(F.lit("g").alias("city"), (F.xxhash64("id") % 10_000_000 / 7.0).alias("price"))
+    found = {d.quartile_stats(rows.repartition(p), "price", ("city",)).first() for p in (1, 4, 16, 64)}
+    assert len(found) == 1
+
+
+def test_unnamed_groups_are_kept(spark):
+    rows = frame(spark, [1.0, 2.0, 3.0, 50.0, 7.0], [None, None, None, None, "x"])
+    assert {r["city"] for r in d.boxplot(rows).collect()} == {None, "x"}
+    assert {r["city"] for r in d.histogram(rows).collect()} == {None, "x"}
+    hosts = rows.withColumns({"host_id": F.lit(1), "host_type": F.lit("multi")})
+    assert {(r["city"], r["median_price"]) for r in profiling.headline_metrics(hosts).collect()} == {(None, 2.5), ("x", 7.0)}
+    items = rows.select("city", F.lit("l").alias("listing_id"), F.lit("p").alias("reviewer_id"), F.lit("2020-01-01").alias("date"))
+    overview = {r["city"]: r for r in profiling.activity_overview(items).collect()}
+    assert overview[None]["total_reviews"] == 4 and overview[None]["unique_reviewers"] == 1
+    listed = rows.selectExpr("city", "price", "'r' AS room_type", "1.0 AS number_of_reviews", "1.0 AS review_scores_rating", "1.0 AS availability_365", "1 AS id")
+    days = rows.selectExpr("city", "true AS available")
+    found = {r["city"]: r for r in profiling.city_summary(listed, days, items).collect()}
+    assert found[None]["total_reviews"] == 4 and found[None]["availability_rate_pct"] == 100.0 and found[None]["median_price"] == 2.0

@@ -173,3 +173,31 @@ def test_confusion_metrics_of_a_single_class(spark):
     row = evaluation.classification_metrics(df).first()
     assert (row["accuracy"], row["base_rate"]) == (0.5, 0.0)
     assert row["f1"] == pytest.approx(2 / 3)
+
+
+def test_key_is_an_argument_of_the_classifiers(listings):
+    renamed = listings.withColumnRenamed("id", "listing_key")
+    by_key = models.train_occupancy(renamed, "rf", SMALL, key="listing_key")
+    assert by_key.metrics.drop("algo").first() == models.train_occupancy(listings, "rf", SMALL).metrics.drop("algo").first()
+    scored = models.score(renamed, by_key.model, by_key.encoding, features.AVAILABILITY_LEAKS, keys=("listing_key",))
+    assert scored.select("listing_key").distinct().count() == listings.count()
+
+
+def test_importance_of_a_linear_model(listings):
+    linear = models.train_price(listings, "lr")
+    found = models.feature_importance(linear.model, features.model_input(listings, linear.encoding)).collect()
+    assert sum(r["importance"] for r in found) == pytest.approx(1.0) and min(r["importance"] for r in found) >= 0
+
+
+def test_fit_sees_one_layout(listings):
+    with models.held(listings.repartition(3), "id", 4) as a:
+        first = a.withColumn("at", F.spark_partition_id()).select("id", "at").collect()
+    with models.held(listings.coalesce(1), "id", 4) as b:
+        assert b.withColumn("at", F.spark_partition_id()).select("id", "at").collect() == first
+
+
+def test_scratch_tables_are_removed(listings, spark):
+    encoding = features.fit_target_encoding(listings).stored()
+    encoding.discard()
+    with pytest.raises(Exception, match="(?i)not.*(exist|found)"):
+        features.TargetEncoding.load(spark, encoding.scratch).groups.collect()
