@@ -58,6 +58,6 @@ def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[in
         yield current, held
 
 
-def n_blocks_for(n_bytes: int, at_least: int, target: int = 16 << 20) -> int:
+def n_blocks_for(n_bytes: int, at_least: int, target: int = 8 << 20) -> int:
     """How many blocks keep each near ``target`` bytes."""
     return max(at_least, -(-n_bytes // target))

@@ -33,7 +33,7 @@ from .textblocks import U64, blocks, distinct_per_text, mix, shingles, text_byte
 
 CELL_NGRAMS = 400_000  # n-grams of one part of a row block
 BROADCAST_ROWS = 1_000_000  # id lists up to this length (16 MB) are sent to every executor, longer ones are joined by shuffle
-SLICE = 8192  # documents that are combined before they are sent; their index fits 15 bits
+SLICE = 2048  # documents that are combined before they are sent; their index fits 15 bits
 
 DOCUMENT = np.dtype([("doc", "<i8"), ("n", "<i8"), ("high", "<i8"), ("low", "<i8"), ("missing", "<i8")])
 LOOKED_AT, POSTINGS, SHARED = 0, 1, 2
