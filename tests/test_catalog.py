@@ -41,3 +41,13 @@ def test_filters_reach_the_scan(spark):
     assert "PartitionFilters: [l_returnflag" in plan
     capped = ENTRIES["price_cap"].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_totalprice,10.0)" in capped
+
+
+def exchanges(spark, name):
+    plan = ENTRIES[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    return sum("- Exchange" in line for line in plan.splitlines())
+
+
+@pytest.mark.parametrize(("name", "most"), [("w1_seasonality", 3), ("q02_seasonality", 3), ("w3_review_demand", 3), ("w4_calendar_revenue", 3), ("w5_full_pipeline", 4)])
+def test_months_are_not_shuffled_again_for_small_listings(spark, name, most):
+    assert exchanges(spark, name) <= most
