@@ -469,3 +469,38 @@ def _(t):
     return trends.season_lift(_large(t), value="value").withColumns(
         {c: F.round(c, 0) for c in ("annual_mean", "season_mean", "peak_value")}
     )
+
+
+def part_listings(t):
+    """Parts as listings, for calendars that carry their own city."""
+    return t["part"].select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("room_type"), F.col("p_retailprice").alias("price"))
+
+
+@entry(
+    "w1_city_calendar",
+    """
+    SELECT city, year, month, round(count(*) FILTER (available) / CAST(count(available) AS DOUBLE), 6) AS availability_rate,
+           count(*) AS n_calendar_days
+    FROM r_lines JOIN part ON l_partkey = p_partkey GROUP BY city, year, month""",
+    roles="r_lines",
+)
+def _(t):
+    return rounded(occupancy.seasonality(roles.city_calendar(t), part_listings(t), price=None))
+
+
+@entry(
+    "w5_city_calendar",
+    f"""
+    WITH occupied AS (
+      SELECT l_partkey AS listing_id, city, year, month, sum(CASE WHEN NOT available THEN 1 WHEN available THEN 0 END) AS booked,
+             count(*) AS days FROM r_lines GROUP BY ALL),
+    reviewed AS (SELECT l_partkey AS listing_id, year, month, count(*) AS n FROM r_lines GROUP BY ALL)
+    SELECT city, p_brand AS room_type, o.year, o.month, round({sql_avg("booked / CAST(days AS DOUBLE)")}, 6) AS avg_occupancy,
+           round({sql_avg("p_retailprice")}, 6) AS avg_price, CAST(sum(coalesce(n, 0)) AS BIGINT) AS total_reviews,
+           count(DISTINCT o.listing_id) AS n_listings, round(sum(booked) / CAST(count(booked) AS DOUBLE), 6) AS avg_booked_days
+    FROM occupied o JOIN part ON o.listing_id = p_partkey
+    LEFT JOIN reviewed r ON r.listing_id = o.listing_id AND r.year = o.year AND r.month = o.month GROUP BY ALL""",
+    roles="r_lines",
+)
+def _(t):
+    return rounded(occupancy.market_months(roles.city_calendar(t), part_listings(t), roles.city_reviews(t)))
