@@ -17,10 +17,11 @@ SLOT_ROWS = 50_000
 
 
 def _ranked(df: DataFrame, stratum: list[str], slot: str, order: list[Column | str], name: str) -> DataFrame:
-    """``name``: the 0-based rank of each row in its stratum by (slot, order)."""
+    """``name``: the 0-based rank of each row in its stratum by (slot, order); ``_size``: the rows of its stratum."""
     counts = df.groupBy(*stratum, slot).agg(F.count("*").alias("_rows"))
     before = Window.partitionBy(*stratum).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    whole = Window.partitionBy(*stratum)
+    first = counts.withColumns({"_before": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "_size": F.sum("_rows").over(whole)}).drop("_rows")
     inside = F.row_number().over(Window.partitionBy(*stratum, slot).orderBy(*order)) - F.lit(1)
     return df.join(first, [*stratum, slot]).withColumn(name, F.col("_before") + inside.cast("long")).drop("_before")
 
@@ -41,9 +42,8 @@ def interleaved(rows: DataFrame, stratum: str, key: str, n_shards: int, seed: in
     dealt = rows.withColumns({"_stratum": F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit("-")), "_lot": lot})
     dealt = dealt.withColumn("_lot_slot", F.pmod(F.col("_lot"), F.lit(slots)))
     ranked = stored(_ranked(dealt, ["_stratum"], "_lot_slot", ["_lot", key, *order], "_rank"), "ranked")
-    sizes = dealt.groupBy("_stratum").agg(F.count("*").alias("_size"))
     fraction = (F.col("_rank") + F.lit(0.5)) / F.col("_size")
-    spread = ranked.join(sizes, "_stratum").withColumn("_fraction", fraction)
+    spread = ranked.withColumn("_fraction", fraction).drop("_size")
     spread = spread.withColumns({"_all": F.lit(0), "_slot": F.floor(F.col("_fraction") * F.lit(slots))})
     placed = _ranked(spread, ["_all"], "_slot", ["_fraction", "_stratum", "_rank"], "_position")
     # Shard s starts at the least position p with floor(p * shards / n) = s.
