@@ -74,7 +74,14 @@ def _entries(values: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.n
     return keys[order], owner[order]
 
 
-def _look(n: int, n_blocks: int):
+def _hits(rows: np.ndarray, counts: np.ndarray, width: int) -> list[tuple[int, int, bytes]]:
+    """Counts per class, packed for the block of the class."""
+    order = np.argsort(rows, kind="stable")
+    rows, counts = rows[order], counts[order].astype(U64)
+    return [(block, SHARED, np.stack([rows[a:b], counts[a:b]]).tobytes()) for block, a, b in cuts(rows, width)]
+
+
+def _look(n: int, n_blocks: int, width: int):
     """Documents with size and class, and packed postings of the n-grams of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,8 +103,7 @@ def _look(n: int, n_blocks: int):
                 # An n-gram that several rows of this slice share is counted here and sent once, marked as shared.
                 counts = np.bincount(owner[~alone], minlength=j - i)
                 hit = np.flatnonzero(counts)
-                if len(hit):
-                    out.append((out[0][0], SHARED, np.stack([digest[hit, 0], counts[hit].astype(U64)]).tobytes()))
+                out += _hits(digest[hit, 0], counts[hit], width)
                 keys, owner, marked = keys[opens], owner[opens], ~alone[opens]
                 for block, a, b in cuts(keys, n_blocks):
                     present, local = np.unique(owner[a:b], return_inverse=True)
@@ -109,30 +115,43 @@ def _look(n: int, n_blocks: int):
     return run
 
 
-def _count_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_shared(width: int):
     """Per class, how many n-grams of a block another class has too."""
-    for block, kinds in each_block(batches):
-        out = [(block, kind, body) for kind in (LOOKED_AT, SHARED) for body in kinds.get(kind, [])]
-        keys, owners, marks = [], [], []
-        for body in kinds.get(POSTINGS, []):
-            n_rows, n_keys = np.frombuffer(body, "<u4", 2).tolist()
-            own = np.frombuffer(body, "<u8", n_rows, 8)
-            keys.append(np.frombuffer(body, "<u4", n_keys, 8 + 8 * n_rows))
-            packed = np.frombuffer(body, "<u2", n_keys, 8 + 8 * n_rows + 4 * n_keys)
-            owners.append(own[packed & np.uint16(0x7FFF)])
-            marks.append(packed >> np.uint16(15) > 0)
-        if keys:
-            key, owner, mark = np.concatenate(keys), np.concatenate(owners), np.concatenate(marks)
-            order = np.argsort(key, kind="stable")
-            key, owner, mark = key[order], owner[order], mark[order]
-            begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            shared = (np.minimum.reduceat(owner, begin) != np.maximum.reduceat(owner, begin)) | np.logical_or.reduceat(mark, begin)
-            count_in = np.repeat(shared, np.diff(np.append(begin, len(key)))) & ~mark
-            rows, counts = np.unique(owner[count_in], return_counts=True)
-            if len(rows):
-                out.append((block, SHARED, np.stack([rows, counts.astype(U64)]).tobytes()))
-        if out:
-            yield row_batch(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, kinds in each_block(batches):
+            out = [(block, kind, body) for kind in (LOOKED_AT, SHARED) for body in kinds.get(kind, [])]
+            keys, owners, marks = [], [], []
+            for body in kinds.get(POSTINGS, []):
+                n_rows, n_keys = np.frombuffer(body, "<u4", 2).tolist()
+                own = np.frombuffer(body, "<u8", n_rows, 8)
+                keys.append(np.frombuffer(body, "<u4", n_keys, 8 + 8 * n_rows))
+                packed = np.frombuffer(body, "<u2", n_keys, 8 + 8 * n_rows + 4 * n_keys)
+                owners.append(own[packed & np.uint16(0x7FFF)])
+                marks.append(packed >> np.uint16(15) > 0)
+            if keys:
+                key, owner, mark = np.concatenate(keys), np.concatenate(owners), np.concatenate(marks)
+                order = np.argsort(key, kind="stable")
+                key, owner, mark = key[order], owner[order], mark[order]
+                begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                shared = (np.minimum.reduceat(owner, begin) != np.maximum.reduceat(owner, begin)) | np.logical_or.reduceat(mark, begin)
+                count_in = np.repeat(shared, np.diff(np.append(begin, len(key)))) & ~mark
+                rows, counts = np.unique(owner[count_in], return_counts=True)
+                out += _hits(rows, counts, width)
+            if out:
+                yield row_batch(out)
+
+    return run
+
+
+def _sum_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per class."""
+    for _, kinds in each_block(batches):
+        rows, counts = np.concatenate([np.frombuffer(b, "<u8").reshape(2, -1) for b in kinds[SHARED]], axis=1)
+        distinct, which = np.unique(rows, return_inverse=True)
+        total = np.zeros(len(distinct), U64)
+        np.add.at(total, which, counts)
+        yield pa.RecordBatch.from_arrays([pa.array(distinct.view("<i8")), pa.array(total.view("<i8"))], ["high", "hits"])
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,10 +179,6 @@ class Bounds:
         self.num, self.den = num, den
         self.t = num / den
 
-    def least_shared(self, n):
-        """Fewest n-grams that a row of n shares with any partner."""
-        return -(-self.num * n // self.den)
-
     def linked(self, overlap, a, b):
         return self.den * overlap >= self.num * (a + b - overlap)
 
@@ -186,7 +201,7 @@ class Bounds:
         return out
 
 
-def _signatures(values: np.ndarray, row: int, bounds: Bounds) -> np.ndarray:
+def _signatures(values: np.ndarray, bounds: Bounds) -> np.ndarray:
     """Signatures of the column groups that are enough to meet every possible partner in one of them."""
     n = len(values)
     out = []
@@ -214,7 +229,7 @@ def _sign(n: int, bounds: Bounds, n_blocks: int):
                 j = min(batch.num_rows, i + SLICE)
                 values, at = _sets(batch, n, i, j)
                 high = batch.column("high").slice(i, j - i).to_numpy().view(np.uint64)
-                signed = [_signatures(values[at[r] : at[r + 1]], r, bounds) for r in range(j - i)]
+                signed = [_signatures(values[at[r] : at[r + 1]], bounds) for r in range(j - i)]
                 keys, owner = np.concatenate(signed), np.repeat(high, [len(s) for s in signed])
                 edges, keys, owner = _stars(keys, owner)
                 out = [(block, ENTRIES, np.stack([keys[a:b], owner[a:b]]).tobytes()) for block, a, b in cuts(keys, n_blocks)]
@@ -335,12 +350,11 @@ def ngram_components(
     width = shuffle_width(docs)
     # About one n-gram of six bytes for every six bytes of text.
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    looked = stored(gathered(texts.mapInArrow(_look(n, b := n_blocks_for(n_bytes, width)), SCHEMA), b).mapInArrow(_count_shared, SCHEMA), "rows")
+    looked = stored(gathered(texts.mapInArrow(_look(n, b := n_blocks_for(n_bytes, width), width), SCHEMA), b).mapInArrow(_count_shared(width), SCHEMA), "rows")
     rows = looked.where(F.col("kind") == LOOKED_AT).select("body").mapInArrow(_documents, "doc_id long, n_shingles long, high long, low long")
     rows = stored(rows, "documents")
-    shared = looked.where(F.col("kind") == SHARED).select("body").mapInArrow(_pairs_of_longs(["high", "hits"]), "high long, hits long")
+    enough = gathered(looked.where(F.col("kind") == SHARED), width).mapInArrow(_sum_hits, "high long, hits long")
     classes = rows.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    enough = shared.groupBy("high").agg(F.sum("hits").alias("hits"))
     alive = stored(
         classes.where("n_shingles > 0 and rep is not null").join(enough, "high").where(F.expr(f"hits * {den} >= n_shingles * {num}")).select("rep", "high", "n_shingles"), "alive"
     )
