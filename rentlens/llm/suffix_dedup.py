@@ -8,10 +8,13 @@ most significant digit, and a group of one leaves it at once:
   anchor are one entry: anchors that no other run has are unique and leave; runs that are equal as a whole are repeated as a
   whole; only anchors that meet different runs go on, which happens where a repeated passage ends.
 * Second digit. The windows of those runs fall into groups of eight neighbours that share a core of ``WINDOW - 7`` bytes.
-  Groups with equal cores are compared by the seven bytes on either side, which settles each window.
+  Cores that occur once are unique and leave.
+* Third digit. The windows of the others are compared by the seven bytes beside their core, which settles each.
 
-Entries of a batch that are equal are settled in it and sent once, so a passage in a third of all documents is a few entries
-per batch. Digits are 64-bit hashes of bytes, except the last one, which is compared as it is.
+Entries of a batch that are equal are settled in it and sent once. A digit that meets different continuations in one batch
+is known to need the next digit: its entries go there at once and only a mark is sent. So a passage in a third of all
+documents is a few entries per batch at every digit. Digits are 64-bit hashes of bytes, except the last one, which is
+compared as it is.
 """
 
 from __future__ import annotations
@@ -23,10 +26,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .frames import shuffle_width, stored, whole_text
 from .keyblocks import SCHEMA, cuts, each_block, gathered, n_blocks_for, row_batch
-from .textblocks import BASE, BLOCK, INVERSE, U64, mix, powers, text_bytes
+from .textblocks import BASE, BLOCK, INVERSE, U64, mix, powers, struct_text, text_bytes
 
 WINDOW = 200
 REACH = 100  # anchor positions of a window
@@ -40,10 +44,13 @@ SLICE = 2048  # documents whose entries are combined before they are sent
 RUN = np.dtype([("anchor", "<u8"), ("whole", "<u8"), ("start", "<u4"), ("doc", "<u2"), ("count", "u1"), ("at", "u1")])
 PIECE = np.dtype([("core", "<u8"), ("left", "<u8"), ("right", "<u8"), ("core_at", "<u4"), ("doc", "<u2"), ("windows", "u1"), ("known", "u1")])
 KEY = np.dtype([("doc_id", "<i8"), ("crc", "<u4")])
+WIN = np.dtype([("core", "<u8"), ("sides", "<u8"), ("start", "<u4"), ("doc", "<u4"), ("known", "u1")])
 SPAN = np.dtype([("doc_id", "<i8"), ("crc", "<u4"), ("start", "<u4"), ("end", "<u4")])
 OPEN = np.dtype([("doc_id", "<i8"), ("crc", "<u4"), ("start", "<u4"), ("count", "u1"), ("at", "u1")])
-ENTRIES, SPANS, OPENS = 0, 1, 2
+ENTRIES, SPANS, OPENS, WINDOWS = 0, 1, 2, 3
 KNOWN = np.uint8(0x80)  # in ``at`` of a run: settled as repeated where it came from
+SEVERAL = np.uint8(0x80)  # in ``count`` of a run: a mark that its digit goes on, sent beside what went on already
+MARK = np.uint8(2)  # the same in ``known`` of a piece
 
 
 def prefix_hashes(body: np.ndarray) -> np.ndarray:
@@ -91,7 +98,8 @@ def anchored_runs(body: np.ndarray, segments: np.ndarray) -> tuple[np.ndarray, .
     anchor = anchor[opens]
     whole = hashed(sums, first, first + count - 1 + WINDOW)
     whole = mix(whole + (anchor - first).astype(U64))
-    return first, count, anchor, digit[anchor], whole
+    # The hash of an anchor is the least of many, so it is spread anew before blocks are cut by it.
+    return first, count, anchor, mix(digit[anchor]), whole
 
 
 def stretches(offsets: np.ndarray, limit: int = BLOCK // 4) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -141,13 +149,27 @@ def spans_of(docs: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return merged(out)
 
 
-def packed_entries(keys: np.ndarray, entries: np.ndarray, docs: np.ndarray, n_blocks: int) -> list[tuple[int, int, bytes]]:
+def neighbours(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For sorted columns: whether a row opens a group of equal rows, and whether its group has other rows."""
+    opens = np.ones(len(columns[0]) + 1, bool)
+    opens[1:-1] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return opens[:-1], ~(opens[:-1] & opens[1:])
+
+
+def opened(docs: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    out = np.empty(len(runs), OPEN)
+    out["doc_id"], out["crc"], out["start"] = docs["doc_id"], docs["crc"], runs["start"]
+    out["count"], out["at"] = runs["count"] & ~SEVERAL, runs["at"] & ~KNOWN
+    return out
+
+
+def packed_entries(keys: np.ndarray, entries: np.ndarray, docs: np.ndarray, n_blocks: int, kind: int = ENTRIES) -> list[tuple[int, int, bytes]]:
     """Entries sorted by key, cut into blocks; each block names the documents it speaks of."""
     out = []
     for block, a, b in cuts(keys, n_blocks):
         part = entries[a:b].copy()
         present, part["doc"] = np.unique(part["doc"], return_inverse=True)
-        out.append((block, ENTRIES, np.array([len(present)], "<u4").tobytes() + docs[present].tobytes() + part.tobytes()))
+        out.append((block, kind, np.array([len(present)], "<u4").tobytes() + docs[present].tobytes() + part.tobytes()))
     return out
 
 
@@ -167,7 +189,7 @@ def _keys(batch: pa.RecordBatch, i: int, j: int) -> np.ndarray:
     return docs
 
 
-def _first_digit(n_blocks: int):
+def _first_digit(n_blocks: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, SLICE):
@@ -188,47 +210,45 @@ def _first_digit(n_blocks: int):
                     parts.append(entry)
                 entry = np.concatenate(parts) if parts else np.empty(0, RUN)
                 entry = entry[np.lexsort((entry["whole"], entry["anchor"]))]
-                same = np.zeros(len(entry) + 1, bool)
-                same[1:-1] = (entry["anchor"][1:] == entry["anchor"][:-1]) & (entry["whole"][1:] == entry["whole"][:-1])
-                twin = same[:-1] | same[1:]
+                opens, twin = neighbours(entry["anchor"], entry["whole"])
                 again = entry[twin]
                 found = spans_of(docs[again["doc"]], again["start"], again["start"] + again["count"] - 1 + WINDOW)
                 entry["at"] |= np.where(twin, KNOWN, np.uint8(0))
-                entry = entry[~same[:-1]]
-                yield row_batch([*by_document(SPANS, found, n_blocks), *packed_entries(entry["anchor"], entry, docs, n_blocks)])
+                entry = entry[opens]
+                opens, several = neighbours(entry["anchor"])
+                on = entry[several]
+                entry["count"] |= np.where(several, SEVERAL, np.uint8(0))
+                entry = entry[opens]
+                rows = [*by_document(SPANS, found, width), *by_document(OPENS, opened(docs[on["doc"]], on), width)]
+                yield row_batch([*rows, *packed_entries(entry["anchor"], entry, docs, n_blocks)])
 
     return run
 
 
-def _settle_runs(n_blocks: int):
+def _settle_runs(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, kinds in each_block(batches):
-            out = [(block, SPANS, body) for body in kinds.get(SPANS, [])]
+            out = [(block, kind, body) for kind in (SPANS, OPENS) for body in kinds.get(kind, [])]
             if ENTRIES in kinds:
                 entry, docs = unpacked_entries(kinds[ENTRIES], RUN)
                 order = np.lexsort((entry["whole"], entry["anchor"]))
                 entry, docs = entry[order], docs[order]
-                new_anchor = np.append(True, entry["anchor"][1:] != entry["anchor"][:-1])
-                new_run = new_anchor | np.append(True, entry["whole"][1:] != entry["whole"][:-1])
+                new_anchor, _ = neighbours(entry["anchor"])
+                new_run, twin = neighbours(entry["anchor"], entry["whole"])
                 at = np.flatnonzero(new_run)
-                known = entry["at"] & KNOWN > 0
+                mark, known = entry["count"] & SEVERAL > 0, entry["at"] & KNOWN > 0
                 sizes = np.diff(np.append(at, len(entry)))
-                repeated = (sizes > 1) | np.logical_or.reduceat(known, at)
-                fresh = np.repeat(repeated, sizes) & ~known
-                entry["at"] &= ~KNOWN
-                end = entry["start"] + entry["count"].astype(np.uint32) - 1 + WINDOW
-                out += by_document(SPANS, spans_of(docs[fresh], entry["start"][fresh], end[fresh]), n_blocks)
-                # Anchors with several runs of which one at least is not settled: one of each run goes on.
+                repeated = twin[at] | np.logical_or.reduceat(known, at)
+                fresh = np.repeat(repeated, sizes) & ~known & ~mark
+                end = entry["start"] + (entry["count"] & ~SEVERAL).astype(np.uint32) - 1 + WINDOW
+                out += by_document(SPANS, spans_of(docs[fresh], entry["start"][fresh], end[fresh]), width)
+                # Anchors with several runs, of which one at least is not settled: one of each run goes on.
                 anchor_at = np.flatnonzero(new_anchor[at])
-                several = np.diff(np.append(anchor_at, len(at))) > 1
-                unsettled = np.logical_or.reduceat(~repeated, anchor_at)
-                go = np.repeat(several & unsettled, np.diff(np.append(anchor_at, len(at))))
-                rest = at[go]
-                opens = np.empty(len(rest), OPEN)
-                for name in ("start", "count", "at"):
-                    opens[name] = entry[name][rest]
-                opens["doc_id"], opens["crc"] = docs["doc_id"][rest], docs["crc"][rest]
-                out += by_document(OPENS, opens, n_blocks)
+                runs = np.diff(np.append(anchor_at, len(at)))
+                marked = np.logical_or.reduceat(np.logical_or.reduceat(mark, at), anchor_at)
+                go = np.repeat(marked | (runs > 1) & np.logical_or.reduceat(~repeated, anchor_at), runs)
+                rest = at[go & ~mark[at]]
+                out += by_document(OPENS, opened(docs[rest], entry[rest]), width)
             if out:
                 yield row_batch(out)
 
@@ -276,45 +296,87 @@ def _second_digit(n_blocks: int):
                     parts.append(part)
                 entry = np.concatenate(parts)
                 entry = entry[np.lexsort((entry["windows"], entry["right"], entry["left"], entry["core"]))]
-                same = np.zeros(len(entry) + 1, bool)
-                same[1:-1] = np.logical_and.reduce([entry[c][1:] == entry[c][:-1] for c in ("core", "left", "right", "windows")])
-                twin = same[:-1] | same[1:]
-                found = _windows(docs[entry["doc"][twin]], entry[twin], [(entry["windows"][twin] >> np.uint8(w)) & 1 > 0 for w in range(NEIGHBOURS)])
+                opens, twin = neighbours(entry["core"], entry["left"], entry["right"], entry["windows"])
+                again = windows_of(entry[twin])
+                found = spans_of(docs[again["doc"]], again["start"], again["start"] + WINDOW)
                 entry["known"] = twin
-                entry = entry[~same[:-1]]
-                yield row_batch([*by_document(SPANS, found, n_blocks), *packed_entries(entry["core"], entry, docs, n_blocks)])
+                entry = entry[opens]
+                opens, several = neighbours(entry["core"])
+                rows = [*by_document(SPANS, found, n_blocks), *settled_windows(windows_of(entry[several]), docs, n_blocks)]
+                entry["known"] |= np.where(several, MARK, np.uint8(0))
+                entry = entry[opens]
+                yield row_batch([*rows, *packed_entries(entry["core"], entry, docs, n_blocks)])
 
     return run
 
 
-def _windows(docs: np.ndarray, entry: np.ndarray, repeated: list[np.ndarray]) -> np.ndarray:
-    starts = [entry["core_at"][r].astype(np.int64) - i for i, r in enumerate(repeated)]
-    start = np.concatenate(starts)
-    return spans_of(np.concatenate([docs[r] for r in repeated]), start, start + WINDOW)
+def windows_of(entry: np.ndarray) -> np.ndarray:
+    """The windows of pieces, each with its core and the seven bytes beside it."""
+    out = []
+    for i in range(NEIGHBOURS):
+        # Window i has the i bytes before its core and the 7 - i after it; the eighth byte tells the windows apart.
+        here = entry[(entry["windows"] >> np.uint8(i)) & 1 > 0]
+        part = np.empty(len(here), WIN)
+        part["core"], part["doc"], part["known"], part["start"] = here["core"], here["doc"], here["known"] & 1, here["core_at"].astype(np.int64) - i
+        sides = (here["left"] & U64((1 << 8 * i) - 1)) | ((here["right"] & U64((1 << 8 * (7 - i)) - 1)) << U64(8 * i))
+        part["sides"] = sides | U64(i << 56)
+        out.append(part)
+    return np.concatenate(out)
+
+
+def settled_windows(windows: np.ndarray, docs: np.ndarray, n_blocks: int, last: bool = False) -> list[tuple[int, int, bytes]]:
+    """Spans of the windows that occur here more than once, and one entry of each window for its block."""
+    windows = windows[np.lexsort((windows["sides"], windows["core"]))]
+    opens, twin = neighbours(windows["core"], windows["sides"])
+    if len(windows):
+        at = np.flatnonzero(opens)
+        known = np.repeat(np.logical_or.reduceat(windows["known"] > 0, at), np.diff(np.append(at, len(windows))))
+        again = windows[(twin | known) & (windows["known"] == 0)]
+        out = by_document(SPANS, spans_of(docs[again["doc"]], again["start"], again["start"] + WINDOW), n_blocks)
+        if last:
+            return out
+        windows["known"] = twin | known
+        windows = windows[opens]
+        keys = mix(windows["core"] + mix(windows["sides"].copy()))
+        order = np.argsort(keys, kind="stable")
+        return [*out, *packed_entries(keys[order], windows[order], docs, n_blocks, WINDOWS)]
+    return []
+
+
+def _meet_cores(n_blocks: int):
+    """Pieces whose core occurs once leave; of the others the windows go on to the blocks of their content."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, kinds in each_block(batches):
+            out = [(block, kind, body) for kind in (SPANS, WINDOWS) for body in kinds.get(kind, [])]
+            if ENTRIES in kinds:
+                entry, docs = unpacked_entries(kinds[ENTRIES], PIECE)
+                order = np.argsort(entry["core"], kind="stable")
+                entry, docs = entry[order], docs[order]
+                at = np.flatnonzero(neighbours(entry["core"])[0])
+                sizes = np.diff(np.append(at, len(entry)))
+                mark = entry["known"] & MARK > 0
+                go = np.repeat((sizes > 1) | np.logical_or.reduceat(mark, at), sizes) & ~mark
+                entry, docs = entry[go], docs[go]
+                wide = np.empty(len(entry), [*((n, PIECE[n]) for n in PIECE.names if n != "doc"), ("doc", "<u4")])
+                for name in PIECE.names:
+                    wide[name] = entry[name]
+                wide["doc"] = np.arange(len(entry))
+                out += settled_windows(windows_of(wide), docs, n_blocks)
+            if out:
+                yield row_batch(out)
+
+    return run
 
 
 def _settle_windows(n_blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, kinds in each_block(batches):
             out = [(block, SPANS, body) for body in kinds.get(SPANS, [])]
-            if ENTRIES in kinds:
-                entry, docs = unpacked_entries(kinds[ENTRIES], PIECE)
-                known = entry["known"] > 0
-                repeated = []
-                for i in range(NEIGHBOURS):
-                    here = np.flatnonzero((entry["windows"] >> np.uint8(i)) & 1)
-                    mark = np.zeros(len(entry), bool)
-                    if len(here):
-                        # Window i has the i bytes before its core and the 7 - i after it: seven bytes in all.
-                        sides = (entry["left"][here] & U64((1 << 8 * i) - 1)) | ((entry["right"][here] & U64((1 << 8 * (7 - i)) - 1)) << U64(8 * i))
-                        order = np.lexsort((sides, entry["core"][here]))
-                        here, sides = here[order], sides[order]
-                        at = np.flatnonzero(np.append(True, (entry["core"][here][1:] != entry["core"][here][:-1]) | (sides[1:] != sides[:-1])))
-                        sizes = np.diff(np.append(at, len(here)))
-                        twice = (sizes > 1) | np.logical_or.reduceat(known[here], at)
-                        mark[here[np.repeat(twice, sizes)]] = True
-                    repeated.append(mark & ~known)
-                out += by_document(SPANS, _windows(docs, entry, repeated), n_blocks)
+            if WINDOWS in kinds:
+                windows, docs = unpacked_entries(kinds[WINDOWS], WIN)
+                windows["doc"] = np.arange(len(windows))
+                out += settled_windows(windows, docs, n_blocks, last=True)
             if out:
                 yield row_batch(out)
 
@@ -356,16 +418,18 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # An entry of 24 bytes for about every 50 bytes of text.
     b = n_blocks_for(n_bytes // 2, width)
-    runs = stored(gathered(texts.mapInArrow(_first_digit(b), SCHEMA), b).mapInArrow(_settle_runs(b), SCHEMA), "runs")
+    runs = stored(gathered(texts.mapInArrow(_first_digit(b, width), SCHEMA), b).mapInArrow(_settle_runs(width), SCHEMA), "runs")
     opens = _to_documents(runs, OPENS, width)
     again = gathered(_joined(texts, opens, "inner").select("key", "crc", "text", "found").mapInArrow(_second_digit(width), SCHEMA), width)
-    windows = stored(again.mapInArrow(_settle_windows(width), SCHEMA), "windows")
+    apart = gathered(again.mapInArrow(_meet_cores(width), SCHEMA), width)
+    windows = stored(apart.mapInArrow(_settle_windows(width), SCHEMA), "windows")
     return _to_documents(runs.where(F.col("kind") == SPANS).unionByName(windows), SPANS, width)
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
+    """Key, checksum and text, or ``more`` instead of the text."""
     text = whole_text(text_column)
-    return docs.select(F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_KEY)).alias("key"), F.crc32(text).alias("crc"), text.alias("text"), *more)
+    return docs.select(F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_KEY)).alias("key"), F.crc32(text).alias("crc"), *(more or [text.alias("text")]))
 
 
 def _without(body: bytes, found: bytes | None) -> tuple[list[tuple[int, int]], bytes]:
@@ -418,10 +482,16 @@ def _whole_characters(text: str, found: bytes | None) -> str:
     return b"".join([*kept, body[at:]]).decode()
 
 
-def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [_whole_characters(t, f) for t, f in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "kept"])
+def _rewritten(text_column: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(i, SLICE)
+                rows = batch.column("row")
+                texts = [_whole_characters(t, f) for t, f in zip(struct_text(rows, text_column).to_pylist(), batch.column("found").to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.string())], ["row", "kept"])
+
+    return run
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", edit: Callable[[Column], dict[str, Column]] | None = None) -> DataFrame:
@@ -431,8 +501,8 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     found = repeated_spans(docs, id_column, text_column)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    joined = _joined(_texts(docs, id_column, text_column, row), found, "left").select("row", "text", "found")
-    done = joined.mapInArrow(_rewritten, f"row {joined.schema['row'].dataType.simpleString()}, kept string")
+    joined = _joined(_texts(docs, id_column, text_column, row), found, "left").select("row", "found")
+    done = joined.mapInArrow(_rewritten(text_column), T.StructType([joined.schema["row"], T.StructField("kept", T.StringType())]))
     text = F.expr(f"if(row.`{text_column}` is null, null, kept)")
     changed = {text_column: text, **(edit(text) if edit else {})}
     return done.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

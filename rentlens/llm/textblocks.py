@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 U64 = np.uint64
@@ -56,17 +57,22 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
+def struct_text(rows: pa.Array, name: str) -> pa.Array:
+    """The text field of a column of rows; a missing one is empty."""
+    return pc.fill_null(pc.cast(pc.struct_field(rows, [rows.type.get_field_index(name)]), pa.string()), "")
+
+
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) for t in texts], out=offsets[1:])
     return np.frombuffer(b"".join(texts), np.uint8), offsets
 
 
-def blocks(offsets: np.ndarray, limit: int = BLOCK) -> Iterator[tuple[int, int]]:
-    """Runs of whole texts of at most ``limit`` bytes, or one longer text."""
+def blocks(offsets: np.ndarray, limit: int = BLOCK, most: int = 1024) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``most`` whole texts and ``limit`` bytes, or one longer text."""
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
+        j = min(i + most, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1))
         yield i, j
         i = j
 
