@@ -156,10 +156,20 @@ def test_repeated_windows(docs, monkeypatch):
     want = windows_by_force(rows)
     assert sorted(tuple(r) for r in repeated_windows(docs).collect()) == want
     assert sum(r[3] for r in want) > 40
+    # More blocks of entries than of documents, and findings joined by shuffle.
+    monkeypatch.setattr(suffix_dedup, "n_blocks_for", lambda *_: 7)
     monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", 0)
     assert sorted(tuple(r) for r in repeated_windows(docs).collect()) == want
 
 
+def test_entries_are_spread_over_blocks():
+    """Anchors are least hashes; what blocks are cut by is not."""
+    data = np.random.default_rng(2).integers(97, 123, 300_000).astype(np.uint8)
+    _, _, _, anchor, _ = suffix_dedup.anchored_runs(data, np.array([0, len(data)]))
+    counts = np.bincount(block_of(anchor, 16), minlength=16)
+    assert counts.min() > 0.8 * counts.mean() and counts.max() < 1.2 * counts.mean()
+
+
 def test_stretches_cover_every_window_once():
     offsets = np.array([0, 150, 150, 5150, 5400, 9000])
     seen = Counter()
