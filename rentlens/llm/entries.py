@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,12 @@ from .toxicity import fit_toxicity, score_toxicity
 from .warc import read_archives, write_archives
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the folder. Python workers also look for this package where the driver found it."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
