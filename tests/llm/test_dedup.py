@@ -156,6 +156,10 @@ def test_repeated_windows(docs, monkeypatch):
     want = windows_by_force(rows)
     assert sorted(tuple(r) for r in repeated_windows(docs).collect()) == want
     assert sum(r[3] for r in want) > 40
+    # Few documents a slice, so that equal runs meet in blocks beside marks of runs that went on.
+    for size in (1, 2, 5):
+        monkeypatch.setattr(suffix_dedup, "SLICE", size)
+        assert sorted(tuple(r) for r in repeated_windows(docs).collect()) == want
     # More blocks of entries than of documents, and findings joined by shuffle.
     monkeypatch.setattr(suffix_dedup, "n_blocks_for", lambda *_: 7)
     monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", 0)
