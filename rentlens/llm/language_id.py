@@ -25,6 +25,7 @@ PER_LANGUAGE = 800  # training rows per language: a bounded sample, drawn by a h
 STEPS = 120
 CLOSE = 0.1  # loss margin, as a share of the second best loss, under which a text is ambiguous
 UNKNOWN = "und"
+TEXTS = 256  # texts whose dense features are held at once
 
 
 def ngram_features(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -121,7 +122,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         body, offsets = text_bytes(batch.column("text"))
         out = []
-        for i, j in blocks(offsets):
+        for i, j in blocks(offsets, most=TEXTS):
             for row in ngram_features(body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]):
                 at = np.flatnonzero(row)
                 out.append(at.astype("<u2").tobytes() + row[at].astype("<f2").tobytes())
@@ -161,13 +162,13 @@ def decided(model: LanguageModel, body: np.ndarray, offsets: np.ndarray) -> tupl
     """Language, score and ambiguity of each text of a batch."""
     names: list[str] = []
     score, unsure = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1, bool)
-    letters = has_letter(body, offsets)
-    for i, j in blocks(offsets):
+    for i, j in blocks(offsets, 1 << 19, TEXTS):
+        part, at = body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         if not model.languages:
             names += [UNKNOWN] * (j - i)
             continue
-        best, score[i:j], unsure[i:j] = model.decide(ngram_features(body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
-        names += [model.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), letters[i:j].tolist(), strict=True)]
+        best, score[i:j], unsure[i:j] = model.decide(ngram_features(part, at))
+        names += [model.languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), has_letter(part, at).tolist(), strict=True)]
     known = np.array([n != UNKNOWN for n in names], bool)
     return names, np.where(known, score, 0.0), unsure & known
 
@@ -193,8 +194,7 @@ def predict_languages(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     A text without any letter, an empty one and a missing one are ``und`` with score 0, as is all if nothing was learned.
     """
-    keyed = docs.withColumn("_held", fold(id_column, 4, 2))
-    rows = keyed.where("not _held").select(
+    rows = docs.where(~fold(id_column, 4, 2)).select(
         F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"), F.col(f"`{lang_column}`").alias("lang")
     )
     model = fit_languages(rows)
