@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .frames import shuffle_width, stored, whole_text
 from .keyblocks import SCHEMA, cuts, each_block, gathered, n_blocks_for, row_batch
-from .textblocks import BASE, BLOCK, INVERSE, U64, mix, powers, struct_text, text_bytes
+from .textblocks import BASE, BLOCK, INVERSE, U64, mix, powers, text_bytes
 
 WINDOW = 200
 REACH = 100  # anchor positions of a window
@@ -482,16 +482,14 @@ def _whole_characters(text: str, found: bytes | None) -> str:
     return b"".join([*kept, body[at:]]).decode()
 
 
-def _rewritten(text_column: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for i in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(i, SLICE)
-                rows = batch.column("row")
-                texts = [_whole_characters(t, f) for t, f in zip(struct_text(rows, text_column).to_pylist(), batch.column("found").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([rows, pa.array(texts, pa.string())], ["row", "kept"])
-
-    return run
+def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rest of each row beside its new text; the old text does not travel back."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, SLICE):
+            batch = whole.slice(i, SLICE)
+            pairs = zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True)
+            texts = [None if t is None else _whole_characters(t, f) for t, f in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(texts, pa.string())], ["rest", "kept"])
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", edit: Callable[[Column], dict[str, Column]] | None = None) -> DataFrame:
@@ -500,9 +498,10 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     A character of several bytes goes only if all of it is repeated. A missing text stays missing.
     """
     found = repeated_spans(docs, id_column, text_column)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    joined = _joined(_texts(docs, id_column, text_column, row), found, "left").select("row", "found")
-    done = joined.mapInArrow(_rewritten(text_column), T.StructType([joined.schema["row"], T.StructField("kept", T.StringType())]))
-    text = F.expr(f"if(row.`{text_column}` is null, null, kept)")
-    changed = {text_column: text, **(edit(text) if edit else {})}
-    return done.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    # The mark keeps the rest a row where a table has no other column.
+    rest = F.struct(F.lit(0).alias("-"), *[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("rest")
+    raw = F.col(f"`{text_column}`").cast("string").alias("text")
+    joined = _joined(_texts(docs, id_column, text_column, rest, raw), found, "left").select("rest", "text", "found")
+    done = joined.mapInArrow(_rewritten, T.StructType([joined.schema["rest"], T.StructField("kept", T.StringType())]))
+    changed = {text_column: F.col("kept"), **(edit(F.col("kept")) if edit else {})}
+    return done.select(*[changed.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
