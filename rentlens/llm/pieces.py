@@ -2,10 +2,11 @@
 
 A word is a run of spaces and what follows it; no piece reaches beyond one. Its symbols start as characters, and the
 agenda merges the best-scored neighbours, the leftmost of equals, until none is left. A candidate merge is skipped if the
-keyed hash of (seed, variant, word, place, split) falls under the rate, so a segmentation depends on nothing but the seed
-and the text; the occurrences of a word are spread over ``VARIANTS`` segmentations by a hash of document and position.
-Characters outside the vocabulary become their bytes. The agenda runs for all distinct words of a block at once, one merge
-per word and round.
+keyed hash of (seed, document, word position, split) falls under the rate, anew for every occurrence of a word. A
+segmentation depends only on the word and on the choices at the splits that its agenda asked for, so a run is kept with
+these and serves every other occurrence whose own choices at all of them are the same; others go on to the next run.
+Characters outside the vocabulary become their bytes. The agenda runs for all words of a block that need one at once, one
+merge per word and round.
 """
 
 from __future__ import annotations
@@ -23,23 +24,31 @@ from pyspark.sql import functions as F
 from .frames import whole_text
 from .textblocks import U64, blocks, mix, span_hashes, text_bytes
 
-VARIANTS = 8
 RATE = 0.1
 BLOCK = 1 << 21
 LONG = 96  # words of more symbols run through a heap instead of a matrix
 SPACE = "▁"
 NEVER = np.iinfo(np.int32).max
 
-KNOWN = 800_000  # segmented words that a worker keeps, about 30 MB
+KNOWN = 800_000  # runs that a worker keeps, about 120 MB
+PART = 1 << 16  # occurrences whose choices are compared at once
+GOLDEN = U64(0x9E3779B97F4A7C15)
 
 _models: dict[str, "Pieces"] = {}
 
 
+def gathered(place: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The indexes of runs that start at ``place``, one after the other."""
+    before = np.cumsum(length) - length
+    return np.arange(int(length.sum())) + np.repeat(place - before, length)
+
+
 class Known:
-    """Words that were segmented before, by their key."""
+    """Runs of the agenda by state: their ids, and the splits they asked for with the choice as the lowest bit."""
 
     def __init__(self):
-        self.keys, self.place, self.length, self.ids = np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+        self.keys, self.ids, self.asked = np.empty(0, U64), np.empty(0, np.int32), np.empty(0, U64)
+        self.place, self.length, self.asked_place, self.asked_length = (np.empty(0, np.int64) for _ in range(4))
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which keys are known and where."""
@@ -48,16 +57,16 @@ class Known:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return self.keys[at] == keys, at
 
-    def add(self, keys: np.ndarray, length: np.ndarray, ids: np.ndarray) -> None:
-        """Remember new words; at the limit only the newest stay."""
-        if len(self.keys) + len(keys) > KNOWN:
-            self.__init__()
+    def add(self, keys: np.ndarray, length: np.ndarray, ids: np.ndarray, asked_length: np.ndarray, asked: np.ndarray) -> None:
         place = len(self.ids) + np.cumsum(length) - length
-        self.ids = np.concatenate([self.ids, ids])
+        asked_place = len(self.asked) + np.cumsum(asked_length) - asked_length
+        self.ids, self.asked = np.concatenate([self.ids, ids]), np.concatenate([self.asked, asked])
         merged = np.concatenate([self.keys, keys])
         order = np.argsort(merged, kind="stable")
         self.keys = merged[order]
         self.place, self.length = np.concatenate([self.place, place])[order], np.concatenate([self.length, length])[order]
+        self.asked_place = np.concatenate([self.asked_place, asked_place])[order]
+        self.asked_length = np.concatenate([self.asked_length, asked_length])[order]
 
 
 class Pieces:
@@ -134,10 +143,14 @@ def pieces(path: str) -> Pieces:
     return _models[path]
 
 
-def skipped(word: np.ndarray, start: np.ndarray, middle: np.ndarray, end: np.ndarray, rate: float) -> np.ndarray:
-    """The keyed choice for a candidate merge; ``word`` has the seed, the variant and the content in it."""
-    place = start.astype(U64) * U64(1 << 42) + middle.astype(U64) * U64(1 << 21) + end.astype(U64)
-    return mix(word + mix(place + U64(1))) < U64(min(int(rate * 2.0**64), 2**64 - 1)) if rate > 0 else np.zeros(len(start), bool)
+def splits(start: np.ndarray, middle: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """An even hash of a candidate's place in its word."""
+    return mix(start.astype(U64) * U64(1 << 42) + middle.astype(U64) * U64(1 << 21) + end.astype(U64) + U64(1)) & ~U64(1)
+
+
+def skipped(word: np.ndarray, split: np.ndarray, rate: float) -> np.ndarray:
+    """The keyed choice for a candidate merge; ``word`` has the seed, the document and the position in it."""
+    return mix(word + split) < U64(min(int(rate * 2.0**64), 2**64 - 1)) if rate > 0 else np.zeros(len(split), bool)
 
 
 def _by_heap(p: Pieces, symbols: np.ndarray, word: np.uint64, rate: float) -> np.ndarray:
@@ -151,7 +164,7 @@ def _by_heap(p: Pieces, symbols: np.ndarray, word: np.uint64, rate: float) -> np
         if j < 0:
             return
         joined = int(p.joins(np.array([ids[i]]), np.array([ids[j]]))[0])
-        if joined >= 0 and not skipped(key, np.array([i]), np.array([j]), np.array([end[j]]), rate)[0]:
+        if joined >= 0 and not skipped(key, splits(np.array([i]), np.array([j]), np.array([end[j]])), rate)[0]:
             heapq.heappush(agenda, (int(p.rank[joined]), i, j, end[j], joined))
 
     alive = [True] * n
@@ -170,8 +183,11 @@ def _by_heap(p: Pieces, symbols: np.ndarray, word: np.uint64, rate: float) -> np
     return np.array([ids[i] for i in range(n) if alive[i]], np.int32)
 
 
-def _by_matrix(p: Pieces, symbols: np.ndarray, sizes: np.ndarray, word: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Merge all rows (words x symbols, filled up with -2) and return the symbols and sizes that are left."""
+def _by_matrix(p: Pieces, symbols: np.ndarray, sizes: np.ndarray, word: np.ndarray, rate: float, asked: list[tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Merge all rows (words x symbols, filled up with -2) and return the symbols and sizes that are left.
+
+    ``asked`` takes the rows and the splits of all candidates, with the choice as the lowest bit.
+    """
     rows, width = symbols.shape
     done, left = symbols.copy(), sizes.copy()
     if width < 2:
@@ -184,7 +200,11 @@ def _by_matrix(p: Pieces, symbols: np.ndarray, sizes: np.ndarray, word: np.ndarr
         joined = p.joins(ids[r, c], ids[r, c + 1])
         rank = np.where(joined >= 0, p.rank[joined], NEVER)
         live = np.flatnonzero(joined >= 0)
-        skip = skipped(word[r[live]], at[r[live], c[live]], at[r[live], c[live] + 1], at[r[live], np.minimum(c[live] + 2, width)], rate)
+        row, column = r[live], c[live]
+        split = splits(at[row, column], at[row, column + 1], at[row, np.minimum(column + 2, width)])
+        skip = skipped(word[row], split, rate)
+        if asked is not None:
+            asked.append((index[row], split | skip.astype(U64)))
         rank[live[skip]] = NEVER
         return rank
 
@@ -220,53 +240,33 @@ def _by_matrix(p: Pieces, symbols: np.ndarray, sizes: np.ndarray, word: np.ndarr
     return done, left
 
 
-def encoded(p: Pieces, body: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Piece ids of the texts of a block and the offsets of each text's ids. ``keys`` name the texts for the variants."""
-    m = len(offsets) - 1
-    if not len(body):
-        return np.empty(0, np.int32), np.zeros(m + 1, np.int64)
-    space, line = body == 0x20, body == 0x0A
-    opens = np.zeros(len(body) + 1, bool)
-    opens[1:-1] = (space[1:] & ~space[:-1]) | line[1:] | line[:-1]
-    opens[offsets] = True
-    starts = np.flatnonzero(opens[:-1])
-    ends = np.append(starts[1:], len(body))
-    word_at = np.searchsorted(starts, offsets)
-    doc = np.repeat(np.arange(m), np.diff(word_at))
-    leads = np.zeros(len(starts), bool)
-    leads[word_at[:-1][np.diff(word_at) > 0]] = True
-    lot = mix(keys[doc] + (np.arange(len(starts)) - word_at[doc]).astype(U64) * U64(0x9E3779B97F4A7C15) + U64(seed))
-    word = span_hashes(body, starts, ends) + leads.astype(U64) + (lot % U64(VARIANTS)) * U64(0xC2B2AE3D27D4EB4F if rate > 0 else 0)
-    word = mix(word + U64(seed) * U64(0x165667B19E3779F9) + U64(int(rate * 2.0**32)))
-    distinct, first, which = np.unique(word, return_index=True, return_inverse=True)
-    code = np.frombuffer(body.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
-    character_at = np.concatenate([[0], np.cumsum(body & 0xC0 != 0x80)])
-    a, b, lead = character_at[starts[first]], character_at[ends[first]], leads[first]
-    known, known_at = p.known.find(distinct) if rate > 0 else (np.zeros(len(distinct), bool), None)
-    sizes = np.where(known, 0, b - a + lead)
-    place, length = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-    results, total = [np.empty(0, np.int32)], 0
-    if known.any():
-        results.append(p.known.ids)
-        place[known], length[known] = p.known.place[known_at[known]], p.known.length[known_at[known]]
-        total = len(p.known.ids)
-    symbol_of = p.character[code]
-    raw = np.where(symbol_of < 0, -3 - code.astype(np.int64), symbol_of)  # a character of no piece keeps its code
+def _runs(p: Pieces, raw: np.ndarray, a: np.ndarray, b: np.ndarray, lead: np.ndarray, word: np.ndarray, rate: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Run the agenda for the words a..b of the symbols; the lengths and ids of all, and the lengths and splits they asked for."""
+    sizes, n = b - a + lead, len(a)
+    place, length, asked_place, asked_length = (np.zeros(n, np.int64) for _ in range(4))
+    results, total, told, told_total = [np.empty(0, np.int32)], 0, [np.empty(0, U64)], 0
     low = 0
     for width in (4, 8, 12, 16, 24, 48, LONG, None):
-        chosen = np.flatnonzero((sizes > low) & ((sizes <= width) if width else True))
+        within = np.flatnonzero((sizes > low) & ((sizes <= width) if width else True))
         low = width or low
-        for i in range(0, len(chosen), 65_536 if width else 1):
-            part = chosen[i : i + (65_536 if width else 1)]
+        step = 65_536 if width else 1
+        for part in (within[i : i + step] for i in range(0, len(within), step)):
             if width:
                 columns = np.arange(width)[None] - lead[part][:, None]
                 source = np.clip(a[part][:, None] + columns, 0, len(raw) - 1)
                 symbols = np.where(np.arange(width)[None] < sizes[part][:, None], np.where(columns < 0, p.space, raw[source]), -2)
-                symbols, left = _by_matrix(p, symbols, sizes[part], distinct[part], rate)
+                asked: list[tuple[np.ndarray, np.ndarray]] = []
+                symbols, left = _by_matrix(p, symbols, sizes[part], word[part], rate[part[0]], asked)
                 flat = symbols[np.arange(width)[None] < left[:, None]]
+                if asked:
+                    rows, split = (np.concatenate(x) for x in zip(*asked, strict=True))
+                    told.append(split[np.argsort(rows, kind="stable")])
+                    asked_length[part] = np.bincount(rows, minlength=len(part))
+                    asked_place[part] = told_total + np.cumsum(asked_length[part]) - asked_length[part]
+                    told_total += len(rows)
             else:
                 symbols = np.concatenate([[p.space] * int(lead[part[0]]), raw[a[part[0]] : b[part[0]]]]).astype(np.int64)
-                flat = _by_heap(p, symbols, distinct[part[0]], rate)
+                flat = _by_heap(p, symbols, word[part[0]], rate[part[0]])
                 left = np.array([len(flat)])
             # Characters of no piece become their bytes.
             unknown = np.flatnonzero(flat < 0)
@@ -282,14 +282,83 @@ def encoded(p: Pieces, body: np.ndarray, offsets: np.ndarray, keys: np.ndarray,
             results.append(flat.astype(np.int32))
             place[part], length[part] = total + np.cumsum(left) - left, left
             total += len(flat)
-    flat = np.concatenate(results)
-    if rate > 0 and not known.all():
+    return length, np.concatenate(results)[gathered(place, length)], asked_length, np.concatenate(told)[gathered(asked_place, asked_length)]
+
+
+def _differing(known: Known, at: np.ndarray, key: np.ndarray, state: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the choices of each occurrence differ from those of the run at ``at``, and the state that its own lead to."""
+    differs, onward = np.zeros(len(at), bool), state.copy()
+    for i in range(0, len(at), PART):
+        here = at[i : i + PART]
+        length = known.asked_length[here]
+        asked = known.asked[gathered(known.asked_place[here], length)]
+        owner = np.repeat(np.arange(len(here)), length)
+        split = asked & ~U64(1)
+        skip = skipped(key[i : i + PART][owner], split, rate)
+        differs[i : i + PART][owner[skip != (asked != split)]] = True
+        np.add.at(onward[i : i + PART], owner[skip], split[skip])
+    return differs, mix(onward + U64(1))
+
+
+def occurrences(body: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, ...]:
+    """Start, end and key of every word of a block, and the offsets of each text's words."""
+    space, line = body == 0x20, body == 0x0A
+    opens = np.zeros(len(body) + 1, bool)
+    opens[1:-1] = (space[1:] & ~space[:-1]) | line[1:] | line[:-1]
+    opens[offsets] = True
+    starts = np.flatnonzero(opens[:-1])
+    word_at = np.searchsorted(starts, offsets)
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(word_at))
+    # The content keeps apart rows that share a key or have none.
+    text = mix(mix(keys + U64(seed) * U64(0x165667B19E3779F9)) + span_hashes(body, offsets[:-1], offsets[1:]))
+    key = mix(text[doc] + (np.arange(len(starts)) - word_at[doc]).astype(U64) * GOLDEN)
+    return starts, np.append(starts[1:], len(body)), key, word_at
+
+
+def encoded(p: Pieces, body: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of the texts of a block and the offsets of each text's ids. A text is named by its key and content."""
+    if not len(body):
+        return np.empty(0, np.int32), np.zeros(len(offsets), np.int64)
+    starts, ends, key, word_at = occurrences(body, offsets, keys, seed)
+    lead = np.zeros(len(starts), bool)
+    lead[word_at[:-1][np.diff(word_at) > 0]] = True
+    state = mix(span_hashes(body, starts, ends) + lead.astype(U64))
+    code = np.frombuffer(body.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
+    character_at = np.concatenate([[0], np.cumsum(body & 0xC0 != 0x80)])
+    a, b = character_at[starts], character_at[ends]
+    symbol_of = p.character[code]
+    raw = np.where(symbol_of < 0, -3 - code.astype(np.int64), symbol_of)  # a character of no piece keeps its code
+    # The first run of a word skips nothing; a long word hardly ever has an equal and runs with its own choices at once.
+    rates = np.zeros(len(starts))
+    if rate > 0:
+        long = b - a + lead > LONG
+        rates[long] = rate
+        state[long] = mix(key[long] + U64(int(rate * 2.0**32)))
+    counts, found = np.zeros(len(starts), np.int64), []
+    rest = np.arange(len(starts))
+    while len(rest):
+        distinct, first, which = np.unique(state[rest], return_index=True, return_inverse=True)
+        known, _ = p.known.find(distinct)
+        if len(p.known.keys) + np.count_nonzero(~known) > KNOWN:
+            p.known = Known()
+            known[:] = False
         new = np.flatnonzero(~known)
-        size = length[new]
-        p.known.add(distinct[new], size, flat[np.arange(int(size.sum())) + np.repeat(place[new] - (np.cumsum(size) - size), size)])
-    counts = length[which]
+        if len(new):
+            w = rest[first[new]]
+            p.known.add(distinct[new], *_runs(p, raw, a[w], b[w], lead[w], key[w], rates[w]))
+        at = p.known.find(distinct)[1][which]
+        done = np.ones(len(rest), bool)
+        if rate > 0:
+            differs, state[rest] = _differing(p.known, at, key[rest], state[rest], rate)
+            done = ~differs
+        counts[rest[done]] = p.known.length[at[done]]
+        found.append((rest[done], p.known.ids[gathered(p.known.place[at[done]], p.known.length[at[done]])]))
+        rest = rest[~done]
+        rates[rest] = rate
     after = np.concatenate([[0], np.cumsum(counts)])
-    ids = flat[np.arange(int(after[-1])) + np.repeat(place[which] - after[:-1], counts)]
+    ids = np.empty(int(after[-1]), np.int32)
+    for at, flat in found:
+        ids[gathered(after[at], counts[at])] = flat
     return ids, after[word_at]
 
 

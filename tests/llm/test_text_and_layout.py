@@ -93,6 +93,48 @@ def test_pieces_round_trip(texts, rate):
         assert again.tolist() == ids.tolist() != other.tolist()
 
 
+def dropout_of(texts, keys, rate=0.1):
+    """The words of the texts as tuples of ids: by ``encoded``, and each occurrence run alone with its own key."""
+    p = P.pieces(MODEL)
+    body, offsets = joined([t.encode() for t in texts])
+    keys = np.array(keys, np.int64).view(np.uint64)
+    ids, at = P.encoded(p, body, offsets, keys, 7, rate)
+    starts, ends, key, word_at = P.occurrences(body, offsets, keys, 7)
+    alone = []
+    for k, (a, b) in enumerate(zip(starts, ends, strict=True)):
+        symbols = [p.space] * (k in word_at) + [p.character[ord(c)] for c in body[a:b].tobytes().decode()]
+        alone.append(tuple(P._by_heap(p, np.array(symbols, np.int64), key[k], rate).tolist()))
+    return ids.tolist(), at, alone
+
+
+def test_dropout_of_every_occurrence():
+    texts = [" ".join(["a", "international", "understanding", "the", "q" * 40, "x" * 120][: 6 if k < 3 else 4] * 40) for k in range(12)]
+    ids, _, alone = dropout_of(texts, range(12))
+    assert ids == [i for w in alone for i in w]
+    again, _, _ = dropout_of(texts, range(12))
+    assert again == ids
+
+
+def test_dropout_approaches_the_rate():
+    """A word of one candidate skips it at the rate; a longer one has far more segmentations than a few."""
+    p, n = P.pieces(MODEL), 20_000
+    body, offsets = joined([(" a" * n).encode()])
+    ids, _ = P.encoded(p, body, offsets, np.zeros(1, np.uint64), 7, 0.1)
+    a = p.character[ord("a")]
+    # The space in front of the text makes the first word another one.
+    assert abs(ids.tolist().count(a) / n - 0.1) < 0.01
+    _, _, alone = dropout_of(["international " * 3000], [5])
+    assert len(set(alone[1:-1])) > 60
+
+
+def test_dropout_of_rows_without_a_key():
+    """Rows that share a key, or have none, choose each for itself; equal rows choose alike."""
+    texts = [f"international {k}" for k in range(200)]
+    ids, at, _ = dropout_of([*texts, texts[0]], [-1] * 201)
+    first = {tuple(ids[i:j][:4]) for i, j in zip(at[:-1], at[1:], strict=True)}
+    assert len(first) > 8 and ids[at[0] : at[1]] == ids[at[200] :]
+
+
 def test_heap_and_matrix_agree():
     p, rng = P.pieces(MODEL), np.random.default_rng(1)
     for _ in range(200):
