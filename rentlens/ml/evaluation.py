@@ -47,7 +47,8 @@ def classification_metrics(
 
 
 def area_under_roc(predicted: DataFrame, label: str = "label") -> float:
+    """Over all distinct scores: by default Spark merges them into about a thousand points, by layout."""
     evaluator = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC"
+        labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0
     )
     return float(evaluator.evaluate(predicted))

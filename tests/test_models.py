@@ -139,6 +139,26 @@ def test_occupancy_classifier(listings):
         assert scored.where("probability between 0 and 1").count() == 600
 
 
+@pytest.mark.parametrize("partitions", [1, 16])
+def test_area_under_roc_of_many_scores(spark, partitions):
+    """More than 2,000 distinct scores with ties, against the rank sum."""
+    rng = random.Random(5)
+    rows = [(float(rng.random() < s / 9000), float(s)) for s in (rng.randrange(6000) for _ in range(8000))]
+    own = [s for y, s in rows if y == 1]
+    below = [s for y, s in rows if y == 0]
+    places = {s: 0 for _, s in rows}
+    for s in below:
+        places[s] += 1
+    lower, won = 0, {}
+    for s in sorted(places):
+        won[s] = lower + places[s] / 2
+        lower += places[s]
+    exact = sum(won[s] for s in own) / (len(own) * len(below))
+    assert len(places) > 2000
+    scored = spark.createDataFrame(rows, "label double, rawPrediction double").repartition(partitions)
+    assert evaluation.area_under_roc(scored) == pytest.approx(exact, abs=1e-11)
+
+
 def test_monthly_model_keeps_listings_on_one_side(spark, listings):
     days = spark.range(600 * 50).selectExpr(
         "cast(id % 600 as string) as listing_id",
