@@ -92,7 +92,7 @@ def _look(n: int, n_blocks: int, width: int):
                 digest, sizes = _classes(values, at), np.diff(at)
                 about = np.empty(j - i, DOCUMENT)
                 ids = batch.column("doc_id").slice(i, j - i)
-                about["doc"], about["missing"] = ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)
+                about["doc"], about["missing"] = ids.to_numpy(), batch.column("keyless").slice(i, j - i).to_numpy(zero_copy_only=False)
                 about["n"], about["high"], about["low"] = sizes, digest[:, 0].view("<i8"), digest[:, 1].view("<i8")
                 out = [(int(digest[0, 1] % np.uint64(n_blocks)), LOOKED_AT, about.tobytes())]
                 rows = _distinct_rows(digest[:, 0], sizes)
@@ -158,8 +158,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for body in batch.column("body").to_pylist():
             d = np.frombuffer(body, DOCUMENT)
-            columns = [pa.array(d["doc"], pa.int64(), mask=d["missing"] != 0), *(pa.array(np.ascontiguousarray(d[c])) for c in ("n", "high", "low"))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "high", "low"])
+            columns = [pa.array(d["doc"], pa.int64(), mask=d["missing"] != 0), *(pa.array(np.ascontiguousarray(d[c])) for c in ("doc", "n", "high", "low"))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "own", "n_shingles", "high", "low"])
 
 
 def _pairs_of_longs(names: list[str]):
@@ -347,28 +347,53 @@ def ngram_components(
     rows that repeat a key count as connected.
     """
     bounds, texts = Bounds(num, den), id_and_text(docs, id_column, text_column)
+    # A row without a key goes by a hash of its text; every class of equal sets goes by one of its rows.
+    stand_in = F.xxhash64("text", F.lit("keyless"))
+    texts = texts.withColumns({"keyless": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", stand_in)})
     width = shuffle_width(docs)
     # About one n-gram of six bytes for every six bytes of text.
-    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_bytes, n_keyless = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if("keyless")).first()
     looked = stored(gathered(texts.mapInArrow(_look(n, b := n_blocks_for(n_bytes, width), width), SCHEMA), b).mapInArrow(_count_shared(width), SCHEMA), "rows")
-    rows = looked.where(F.col("kind") == LOOKED_AT).select("body").mapInArrow(_documents, "doc_id long, n_shingles long, high long, low long")
+    rows = looked.where(F.col("kind") == LOOKED_AT).select("body").mapInArrow(_documents, "doc_id long, own long, n_shingles long, high long, low long")
     rows = stored(rows, "documents")
     enough = gathered(looked.where(F.col("kind") == SHARED), width).mapInArrow(_sum_hits, "high long, hits long")
-    classes = rows.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    classes = rows.groupBy("high", "low", "n_shingles").agg(F.min("doc_id").alias("least"), F.min("own").alias("own"))
+    classes = classes.withColumn("rep", F.coalesce("least", "own")).drop("own")
     alive = stored(
-        classes.where("n_shingles > 0 and rep is not null").join(enough, "high").where(F.expr(f"hits * {den} >= n_shingles * {num}")).select("rep", "high", "n_shingles"), "alive"
+        classes.where("n_shingles > 0").join(enough, "high").where(F.expr(f"hits * {den} >= n_shingles * {num}")).select("rep", "high", "n_shingles"), "alive"
     )
+    texts = texts.select("doc_id", "text", "keyless")
+    if n_keyless:
+        # Copies of a text without a key are one row to look up.
+        once = stored(texts.where("keyless").groupBy("doc_id").agg(F.first("text").alias("text")), "keyless")
+        texts = texts.where("not keyless").drop("keyless").unionByName(once)
+    else:
+        texts = texts.drop("keyless")
     signed = _with_text(texts, alive).mapInArrow(_sign(n, bounds, width), SCHEMA)
     edges = gathered(signed, width).mapInArrow(_meet, SCHEMA).where(F.col("kind") == EDGES).select("body")
     near = components(edges.mapInArrow(_pairs_of_longs(["u", "v"]), "u long, v long")).withColumnRenamed("label", "family")
     links = _links(texts, alive.join(near, alive.high == near.node).select("rep", "family", "n_shingles"), n, bounds)
-    label = components(links).select(F.col("node").alias("rep"), F.col("label").alias("component_id"))
-    named = classes.join(label, "rep", "left").select("high", "low", "n_shingles", F.coalesce("component_id", "rep").alias("component_id"))
+    label = components(links.unionByName(_same_key(rows, classes))).select(F.col("node").alias("rep"), F.col("label").alias("component_id"))
+    named = classes.join(label, "rep", "left").withColumn("component_id", F.coalesce("component_id", "rep"))
+    if n_keyless:
+        smallest = named.groupBy("component_id").agg(F.min("least").alias("smallest"))
+        named = named.join(smallest, "component_id").withColumn("component_id", F.col("smallest"))
+    named = named.select("high", "low", "n_shingles", "component_id")
     return rows.join(named, ["high", "low", "n_shingles"]).select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+def _same_key(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of one doc_id, as u and v."""
+    held = rows.where("doc_id is not null and n_shingles > 0").select("doc_id", F.struct("high", "low", "n_shingles").alias("class"))
+    several = held.groupBy("doc_id").agg(F.min("class").alias("first"), F.max("class").alias("last")).where("first <> last")
+    others = stored(several.select("doc_id", "first").join(held, "doc_id").where("class <> first").select("first", "class").distinct(), "same-key")
+    name = classes.select(F.struct("high", "low", "n_shingles").alias("class"), "rep")
+    first = name.select(F.col("class").alias("first"), F.col("rep").alias("u"))
+    return others.join(first, "first").join(name, "class").select("u", F.col("rep").alias("v"))
+
+
 def _links(texts: DataFrame, members: DataFrame, n: int, bounds: Bounds) -> DataFrame:
     """Links between the members of each family, as u and v."""
     members = stored(members, "members")

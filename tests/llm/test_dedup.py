@@ -52,6 +52,26 @@ def test_ngram_components_in_small_parts(docs, monkeypatch):
     assert got == classes_by_force(rows, 4, 85, 100)
 
 
+def test_ngram_components_without_and_with_repeated_keys(spark):
+    """A row without a key joins two that do not link; a key that is not the smallest of its classes joins these."""
+    w = [f"w{k}" for k in range(60)]
+    bridge = [(1, " ".join(w[:40])), (None, " ".join(w[:44])), (2, " ".join(w[:48])), (None, " ".join(w[:44]))]
+    x, y, z = ("x " + " ".join(f"{c}{k}" for k in range(30)) for c in "xyz")
+    keys = [(15, x), (15, y), (15, z), (13, y), (12, x), (14, z), (17, "x"), (17, None)]
+    none = [(None, " ".join(f"n{k}" for k in range(20 + e))) for e in (0, 1)]
+    rows = bridge + keys + none
+    got = ngram_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85, 100).collect()
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] or 0)
+    keyed = [(k if k is not None else -1 - i, t) for i, (k, t) in enumerate(rows)]
+    want = []
+    for key, size, name in classes_by_force(keyed, 4, 85, 100):
+        # Stand-ins are below all keys: the smallest key of the component is looked up apart.
+        together = [k for k, _, other in classes_by_force(keyed, 4, 85, 100) if other == name and k >= 0]
+        want.append((key if key >= 0 else None, size, min(together, default=None)))
+    assert sorted(map(tuple, got), key=order) == sorted(want, key=order)
+    assert {r.component_id for r in got if r.n_shingles == 45} == {1} and {r.component_id for r in got if r.doc_id == 14} == {12}
+
+
 def test_ngram_components_edges(empty, no_key):
     assert ngram_components(empty).collect() == []
     assert {r.component_id for r in ngram_components(no_key).collect()} == {None}
