@@ -6,6 +6,7 @@ temporary arrays stay small; a single longer text is a block of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 MASK = (1 << 64) - 1
+LONG_SPAN = 256
+LANE_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -78,37 +81,30 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK, most: int = 1024) -> Iterato
 
 
 def span_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the content of each byte span; equal contents get equal hashes. ``starts`` and ``ends`` ascend."""
-    at_start, at_end = np.zeros(len(starts), U64), np.zeros(len(ends), U64)
-    shift = np.zeros(len(starts), U64)
-    carry, s0, e0 = 0, 0, 0
-    for begin in range(0, max(len(body), 1), BLOCK):
-        piece = body[begin : begin + BLOCK]
-        stop = begin + len(piece)
-        sums = np.empty(len(piece) + 1, U64)
-        sums[0] = 0
-        terms = piece.astype(U64)
-        terms += U64(1)
-        terms *= powers(BASE, len(piece))
-        np.cumsum(terms, out=sums[1:])
-        scale = pow(BASE, begin, 1 << 64)
-        if scale != 1:
-            sums *= U64(scale)
-        sums += U64(carry)
-        last = stop >= len(body)
-        s1 = len(starts) if last else int(np.searchsorted(starts, stop))
-        e1 = len(ends) if last else int(np.searchsorted(ends, stop))
-        local = starts[s0:s1] - begin
-        at_start[s0:s1] = sums[local]
-        shift[s0:s1] = powers(INVERSE, len(piece) + 1)[local]
-        back = pow(INVERSE, begin, 1 << 64)
-        if back != 1:
-            shift[s0:s1] *= U64(back)
-        at_end[e0:e1] = sums[ends[e0:e1] - begin]
-        carry, s0, e0 = int(sums[-1]), s1, e1
-    at_end -= at_start
-    at_end *= shift
-    return mix(at_end)
+    """A 64-bit hash of the content of each byte span; equal contents get equal hashes, in any order of spans.
+
+    Spans are read in lanes of eight bytes, and each lane is mixed in before the next one, so a repeated pattern cannot
+    cancel itself out as in a polynomial. A span over ``LONG_SPAN`` bytes is hashed by BLAKE2b.
+    """
+    starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
+    length = ends - starts
+    out = mix(length.astype(U64) + U64(BASE))
+    padded = np.zeros(len(body) + 8, np.uint8)
+    padded[: len(body)] = body
+    lanes = np.ndarray(len(body) + 1, "<u8", padded, strides=(1,))
+    live = np.flatnonzero((length > 0) & (length <= LONG_SPAN))
+    at = 0
+    while len(live):
+        lane = lanes[starts[live] + at]
+        left = length[live] - at
+        np.bitwise_and(lane, LANE_MASK[np.minimum(left, 8)], out=lane)
+        out[live] = mix((out[live] ^ lane) + U64(BASE))
+        at += 8
+        live = live[left > 8]
+    for i in np.flatnonzero(length > LONG_SPAN).tolist():
+        digest = hashlib.blake2b(body[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 def words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
