@@ -27,7 +27,7 @@ from .frames import looked_up, shuffle_width, stored, whole_text
 from .keyblocks import SCHEMA, block_of, each_block, gathered, n_blocks_for, row_batch
 from .textblocks import LOWER, U64, blocks, mix, span_hashes, text_bytes
 
-STRETCH = 4 << 20  # bytes of text, and about so many quarters of n-grams, that are summed at a time
+STRETCH = 2 << 20  # bytes of text, and a quarter as many words, that are summed at a time
 FACTOR = 2  # times the capacity that the guarantee needs
 MAP_BITS = 28  # log2 of the size of the bitmap: 32 MB
 TOP_STEP = 16  # groups of candidates that are ranked together in one step of the choice of the best
@@ -161,32 +161,32 @@ def _salts(langs: list[str]) -> np.ndarray:
     return np.array([known[lang] for lang in langs], U64)
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Stretch, list[str], np.ndarray]]:
+def _stretches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[Stretch, list[str], np.ndarray]]:
     for batch in batches:
         langs = batch.column("lang").to_pylist()
         body, offsets = text_bytes(batch.column("text"))
         salts = _salts(langs)
-        for i, j in blocks(offsets, STRETCH, most=1 << 30):
+        for i, j in blocks(offsets, size, most=1 << 30):
             yield Stretch(body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), langs[i:j], salts[i:j]
 
 
-def _parts(stretch: Stretch, salt: np.ndarray, longest: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
-    """(places, hashes) for each n, over about a quarter of ``STRETCH`` words at a time."""
-    for begin in range(0, len(stretch.starts), STRETCH // 4):
-        yield [stretch.grams(n, begin, begin + STRETCH // 4, salt) for n in range(1, longest + 1)]
+def _parts(stretch: Stretch, salt: np.ndarray, longest: int, most: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """(places, hashes) for each n, over so many words at a time."""
+    for begin in range(0, len(stretch.starts), most):
+        yield [stretch.grams(n, begin, begin + most, salt) for n in range(1, longest + 1)]
 
 
-def _summaries(bits: int, n_blocks: int, longest: int):
+def _summaries(bits: int, n_blocks: int, longest: int, size: int):
     """Sorted n-gram hashes of ``bits`` bits with counts, for the block of the hash, and the number of words by language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for stretch, langs, salt in _stretches(batches):
+        for stretch, langs, salt in _stretches(batches, size):
             rows = []
             n_words = np.bincount(stretch.text, minlength=len(langs))
             by_lang: dict[str, int] = {}
             for lang, n in zip(langs, n_words.tolist(), strict=True):
                 by_lang[lang] = by_lang.get(lang, 0) + n
-            for parts in _parts(stretch, salt, longest):
+            for parts in _parts(stretch, salt, longest, max(1, size // 4)):
                 keys, counts = summed(np.concatenate([h for _, h in parts]) >> U64(64 - bits))
                 block = block_of(keys << U64(64 - bits), n_blocks)
                 at = np.flatnonzero(np.append(True, block[1:] != block[:-1])) if len(keys) else []
@@ -201,7 +201,7 @@ def _summaries(bits: int, n_blocks: int, longest: int):
     return run
 
 
-def _merged(bits: int, threshold: int):
+def _merged(bits: int, threshold: int, map_bits: int):
     """One summary per block; what may reach the threshold marks the block's bytes of the bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +218,7 @@ def _merged(bits: int, threshold: int):
                     if size > max(summary.capacity, 200_000) or k == len(bodies) - 1:
                         summary.merge(*(np.concatenate(c) for c in zip(*waiting, strict=True)))
                         waiting, size = [], 0
-                places = np.unique(map_place(summary.at_least(threshold), bits))
+                places = np.unique(map_place(summary.at_least(threshold), bits, map_bits))
                 if len(places):
                     low = int(places[0]) >> 3
                     marks = np.zeros(((int(places[-1]) >> 3) - low + 1) * 8, bool)
@@ -231,31 +231,31 @@ def _merged(bits: int, threshold: int):
     return run
 
 
-def map_place(keys: np.ndarray, bits: int) -> np.ndarray:
+def map_place(keys: np.ndarray, bits: int, map_bits: int) -> np.ndarray:
     """The bit of a hash of so many bits; ascends with the hash."""
-    return keys >> U64(bits - MAP_BITS) if bits >= MAP_BITS else keys << U64(MAP_BITS - bits)
+    return keys >> U64(bits - map_bits) if bits >= map_bits else keys << U64(map_bits - bits)
 
 
-def _bitmap(marks: DataFrame) -> bytes:
-    """The marks of all blocks in one map of ``2 ** MAP_BITS`` bits, compressed."""
-    whole = np.zeros(1 << (MAP_BITS - 3), np.uint8)
+def _bitmap(marks: DataFrame, map_bits: int) -> bytes:
+    """The marks of all blocks in one map of ``2 ** map_bits`` bits, compressed."""
+    whole = np.zeros(1 << (map_bits - 3), np.uint8)
     for row in marks.select("body").toLocalIterator():
         low, size = np.frombuffer(row.body, "<u8", 2).tolist()
         whole[low : low + size] |= np.frombuffer(pa.Codec("zstd").decompress(bytes(row.body)[16:], size, asbytes=True), np.uint8)
     return pa.Codec("zstd").compress(whole.tobytes(), asbytes=True)
 
 
-def _counted(shared, bits: int, longest: int):
+def _counted(shared, bits: int, longest: int, size: int, map_bits: int):
     """lang, phrase, words and count of the n-grams whose bit is set, summed over a stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(pa.Codec("zstd").decompress(shared.value, 1 << (MAP_BITS - 3), asbytes=True), np.uint8)
-        for stretch, langs, salt in _stretches(batches):
+        marks = np.frombuffer(pa.Codec("zstd").decompress(shared.value, 1 << (map_bits - 3), asbytes=True), np.uint8)
+        for stretch, langs, salt in _stretches(batches, size):
             names = pa.array(langs, pa.string())
-            for parts in _parts(stretch, salt, longest):
+            for parts in _parts(stretch, salt, longest, max(1, size // 4)):
                 places, hashes, lengths = [], [], []
                 for n, (at, hashed) in enumerate(parts, 1):
-                    place = map_place(hashed >> U64(64 - bits), bits)
+                    place = map_place(hashed >> U64(64 - bits), bits, map_bits)
                     marked = (marks[place >> U64(3)] >> (U64(7) - (place & U64(7))).astype(np.uint8)) & 1 > 0
                     places.append(at[marked])
                     hashes.append(hashed[marked])
@@ -280,7 +280,9 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([b[8:].decode() for b in bodies], pa.string()), pa.array(counts, pa.int64())], ["lang", "n"])
 
 
-def frequent_phrases(docs: DataFrame, threshold: int = 30, longest: int = 4, text_column: str = "text", lang_column: str = "lang") -> tuple[DataFrame, DataFrame]:
+def frequent_phrases(
+    docs: DataFrame, threshold: int = 30, longest: int = 4, text_column: str = "text", lang_column: str = "lang", stretch: int = STRETCH, map_bits: int = MAP_BITS
+) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, a) of the phrases of 1 to ``longest`` words that occur ``threshold`` times or more in their
     language, and (lang, n) with the number of words of each."""
     texts = docs.select(F.coalesce(F.col(f"`{lang_column}`").cast("string"), F.lit("und")).alias("lang"), whole_text(text_column).alias("text"))
@@ -288,11 +290,11 @@ def frequent_phrases(docs: DataFrame, threshold: int = 30, longest: int = 4, tex
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(60, max(20, n_bytes.bit_length() + 4))  # wide enough that few of the n-grams share a hash
     n_blocks = n_blocks_for(n_bytes, width)
-    summaries = texts.mapInArrow(_summaries(bits, n_blocks, longest), SCHEMA)
-    merged = stored(gathered(summaries, n_blocks).mapInArrow(_merged(bits, threshold), SCHEMA), "summaries")
+    summaries = texts.mapInArrow(_summaries(bits, n_blocks, longest, stretch), SCHEMA)
+    merged = stored(gathered(summaries, n_blocks).mapInArrow(_merged(bits, threshold, map_bits), SCHEMA), "summaries")
     n_words = merged.where(F.col("kind") == WORDS).select("body").mapInArrow(_word_counts, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
-    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(merged.where(F.col("kind") == MAP)))
-    counted = texts.mapInArrow(_counted(shared, bits, longest), "lang string, phrase string, words int, c long")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(merged.where(F.col("kind") == MAP), map_bits))
+    counted = texts.mapInArrow(_counted(shared, bits, longest, stretch, map_bits), "lang string, phrase string, words int, c long")
     phrases = counted.groupBy("lang", "phrase").agg(F.first("words").alias("words"), F.sum("c").alias("a")).where(F.col("a") >= threshold)
     return stored(phrases, "phrases"), n_words
 
@@ -322,6 +324,8 @@ def collocations(
     scale: int = 2_000_000,
     text_column: str = "text",
     lang_column: str = "lang",
+    stretch: int = STRETCH,
+    map_bits: int = MAP_BITS,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's ``top`` phrases of 2 to ``longest`` words.
 
@@ -332,7 +336,7 @@ def collocations(
     longer candidate that occurs at least ``absorb / of`` times as often go. Order: score and a descending, then the phrase
     in byte order. Rows count once each, repeated ones too, whatever their keys.
     """
-    phrases, n_words = frequent_phrases(docs, threshold, longest, text_column, lang_column)
+    phrases, n_words = frequent_phrases(docs, threshold, longest, text_column, lang_column, stretch, map_bits)
     candidates = phrases.where("words > 1")
     cut = F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k")
     cuts = candidates.select("lang", "phrase", "words", "a", cut)

@@ -115,9 +115,9 @@ def _emit(best: Combiner, slots: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c.slice(i, 50_000) for c in columns], ["anchor", "slot", "score", "id"])
 
 
-def _meetings(block: Anchors, batches: Iterator[pa.RecordBatch], scale: float):
+def _meetings(block: Anchors, batches: Iterator[pa.RecordBatch], scale: float, cells: int):
     """(anchor places, their rows' ids, same label, scores) of all anchors with slices of the rows."""
-    step = max(1, CELLS // max(block.n, 1))
+    step = max(1, cells // max(block.n, 1))
     for batch in batches:
         ids, labels, by_length = quantized(batch, scale)
         for n, (rows, vectors) in by_length.items():
@@ -129,11 +129,11 @@ def _meetings(block: Anchors, batches: Iterator[pa.RecordBatch], scale: float):
                 yield anchors, ids[part], block.labels[anchors][:, None] == labels[part][None, :], scores(matrix, vectors[i : i + step])
 
 
-def _positives(shared, scale: float, k: int):
+def _positives(shared, scale: float, k: int, cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Anchors = shared.value
         best = Combiner(block.n, k)
-        for anchors, ids, same, score in _meetings(block, batches, scale):
+        for anchors, ids, same, score in _meetings(block, batches, scale, cells):
             fits = same & (ids[None, :] != block.ids[anchors][:, None]) & (score >= best.limit[anchors][:, None])
             a, r = np.nonzero(fits)
             best.add(anchors[a], score[a, r], ids[r])
@@ -142,12 +142,12 @@ def _positives(shared, scale: float, k: int):
     return run
 
 
-def _negatives(shared, scale: float, k: int):
+def _negatives(shared, scale: float, k: int, cells: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Anchors = shared.value
         slots = block.upper.shape[1]
         best = Combiner(block.n * slots, k)
-        for anchors, ids, same, score in _meetings(block, batches, scale):
+        for anchors, ids, same, score in _meetings(block, batches, scale, cells):
             upper = block.upper[anchors]
             fits = ~same & (score <= upper[:, :1]) & (score >= block.lowest[anchors][:, None]) & (ids[None, :] != block.ids[anchors][:, None])
             a, r = np.nonzero(fits)
@@ -223,6 +223,7 @@ def hard_negatives(
     of: int = 100,
     scale: float = 256.0,
     block: int = BLOCK,
+    cells: int = CELLS,
 ) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score and negative_score.
 
@@ -254,11 +255,11 @@ def hard_negatives(
             continue
         anchors = Anchors(table.to_batches()[0], scale)
         shared = spark.sparkContext.broadcast(anchors)
-        found = known.mapInArrow(_positives(shared, scale, positives), ENTRY).repartition(width, "anchor")
+        found = known.mapInArrow(_positives(shared, scale, positives, cells), ENTRY).repartition(width, "anchor")
         best = found.mapInArrow(_best_of(anchors.n, positives), ENTRY).toArrow()
         anchors.set_positives(best, positives, low, of)
         slotted = spark.sparkContext.broadcast(anchors)
-        entries = known.mapInArrow(_negatives(slotted, scale, negatives), ENTRY).repartition(width, "anchor")
+        entries = known.mapInArrow(_negatives(slotted, scale, negatives, cells), ENTRY).repartition(width, "anchor")
         entries.mapInArrow(_answers(slotted, negatives, low, of), RESULT).write.mode("append").parquet(folder)
         shared.destroy()
         slotted.destroy()
