@@ -33,18 +33,15 @@ def shuffle_width(df: DataFrame) -> int:
 HEAVY = 2000  # a key with more than one row in so many is frequent; there are fewer such keys than that
 
 
-def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], uses: str) -> DataFrame:
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str], uses: str, keep_all: bool = False) -> DataFrame:
     """``rows`` with the columns of ``table``, which has one row per key and, as ``uses``, how many of the rows have it.
 
     A frequent key would fill one task of a shuffle, so the entries of frequent keys, fewer than ``HEAVY``, are sent to every
     executor; only rows of other keys, each of which is a small share, are joined by shuffle. Rows whose key the table lacks
-    are left out. The table is read several times: it should be a stored one.
+    are left out, unless ``keep_all``. The table is read several times: it should be a stored one.
     """
     total = table.select(F.sum(uses)).scalar()
     frequent = F.col(uses) * HEAVY > total
     heavy, light = table.where(frequent).drop(uses), table.where(~frequent).drop(uses)
-    named = heavy.select(*keys)
-    return (
-        rows.join(F.broadcast(heavy), keys)
-        .unionByName(rows.join(F.broadcast(named), keys, "left_anti").join(light, keys))
-    )
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(heavy), keys).unionByName(rest.join(light, keys, "left" if keep_all else "inner"))

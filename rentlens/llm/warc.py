@@ -1,9 +1,10 @@
 """WARC archives: one gzip member per record, written by many tasks and read back in sequence.
 
-An archive is the ordered chunks of its bytes, kept as rows (archive, chunk, content) of a table, so that any store that
-Spark reaches can hold it; the chunks in order, concatenated, are a ``.warc.gz`` file. Chunks are cut by size alone: a
-record may cross them. The reader holds one chunk and one record at a time: it inflates as the chunks come, starts anew at
-each member's end, takes each block by its Content-Length and checks its digests.
+An archive is a row (archive, content) of a table, so that any store that Spark reaches can hold it; its content is a
+``.warc.gz`` file of whole records of about ``ARCHIVE`` bytes. Pages are archived where they are read: only digests are
+compared across tasks, and what copies a payload has travels as (digest, smallest key). Archives are read where they lie.
+The reader also takes archives of any size that are cut into rows (archive, chunk, content); a record may cross chunks. It
+inflates piece by piece, starts anew at each member's end, takes each block by its Content-Length and checks its digests.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import looked_up, stored
 
-CHUNK = 1 << 20
+ARCHIVE = 4 << 20  # an archive is closed when it has so many bytes
+PIECE = 1 << 14  # bytes that are inflated at a time; the rest of a piece is copied at every record's end
+BROADCAST_ROWS = 200_000  # payloads with copies that are sent to every executor (20 MB), beyond that only the frequent ones
 VERSION = b"WARC/1.1"
 END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-CHUNKS = "archive long, chunk long, content binary"
+ARCHIVES = "archive long, content binary"
 RECORDS = (
     "page_id long, uri string, record_type string, payload_bytes long, payload_digest string, refers_to long, "
     "block_ok boolean, payload_ok boolean, payload binary"
@@ -71,13 +74,13 @@ def member(data: bytes) -> bytes:
     return deflate.compress(data) + deflate.flush()
 
 
-def members(chunks: Iterator[bytes]) -> Iterator[bytes]:
+def members(chunks: Iterator[bytes | memoryview]) -> Iterator[bytes]:
     """The inflated content of each gzip member of a stream of chunks."""
     inflate, parts = zlib.decompressobj(31), []
     started = False
     for chunk in chunks:
         data = chunk
-        while data:
+        while len(data):
             started = True
             try:
                 parts.append(inflate.decompress(data))
@@ -131,40 +134,43 @@ def _row(data: bytes) -> dict:
 
 
 def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One archive per task."""
-    archive = TaskContext.get().partitionId()
-    pending, chunk = bytearray(), 0
+    """Archives of a task, one after the other."""
+    pending, number = bytearray(), TaskContext.get().partitionId() << 32
 
-    def out(content: bytes) -> pa.RecordBatch:
-        nonlocal chunk
-        chunk += 1
-        return pa.RecordBatch.from_arrays([pa.array([archive], pa.int64()), pa.array([chunk - 1], pa.int64()), pa.array([content], pa.binary())], ["archive", "chunk", "content"])
+    def out() -> pa.RecordBatch:
+        nonlocal number
+        number += 1
+        return pa.RecordBatch.from_arrays([pa.array([number - 1], pa.int64()), pa.array([bytes(pending)], pa.binary())], ["archive", "content"])
 
     for batch in batches:
         for row in zip(*(batch.column(c) for c in ("page_id", "url", "html", "refers_to")), strict=True):
             page_id, url, html, refers_to = (v.as_py() for v in row)
             pending += member(record(page_id, url, html.encode(), refers_to))
-            while len(pending) >= CHUNK:
-                yield out(bytes(pending[:CHUNK]))
-                del pending[:CHUNK]
+            if len(pending) >= ARCHIVE:
+                yield out()
+                pending.clear()
     if pending:
-        yield out(bytes(pending))
+        yield out()
 
 
-def write_archives(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """The archives of the pages as rows (archive, chunk, content), written to the shared folder.
+def write_archives(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The archives of the pages as rows (archive, content), written to the shared folder.
 
-    Of pages with equal payloads the one with the smallest key is a response, the others revisit it. A missing html is an
-    empty payload, equal to other empty ones. Pages without a key are responses if no keyed page has their payload.
+    Of pages with equal payloads the one with the smallest key is a response, the others revisit it; rows that repeat this
+    key with this payload are responses too. A missing html is an empty payload, equal to other empty ones. Pages without a
+    key are responses if no keyed page has their payload.
     """
     html = F.coalesce(F.col(f"`{html_column}`").cast("string"), F.lit(""))
     rows = pages.select(F.col(f"`{id_column}`").cast("long").alias("page_id"), F.col(f"`{url_column}`").cast("string").alias("url"), html.alias("html"))
-    rows = rows.withColumn("digest", F.sha2("html", 256))
-    # Only payloads that several pages have travel to the pages; a payload that most pages share is one row of them.
-    copies = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    told = rows.join(copies.select("digest", "first_id"), "digest", "left")
-    told = told.withColumn("refers_to", F.expr("if(first_id is null or first_id <=> page_id, null, first_id)"))
-    return stored(told.select("page_id", "url", "html", "refers_to").mapInArrow(_write, CHUNKS), "warc")
+    rows = rows.withColumn("digest", F.unhex(F.sha2("html", 256)))
+    copies = rows.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1 and first_id is not null")
+    copies = stored(copies, "copies")
+    if copies.count() <= broadcast_rows:
+        told = rows.join(F.broadcast(copies.drop("n")), "digest", "left")
+    else:
+        told = looked_up(rows, copies, ["digest"], "n", keep_all=True)
+    told = told.withColumn("refers_to", F.expr("if(first_id <=> page_id, null, first_id)"))
+    return stored(told.select("page_id", "url", "html", "refers_to").mapInArrow(_write, ARCHIVES), "warc")
 
 
 def _read(with_payload: bool):
@@ -179,9 +185,10 @@ def _read(with_payload: bool):
         def one(archive: int) -> Iterator[bytes]:
             nonlocal ahead
             while ahead is not None and ahead[0] == archive:
-                content = ahead[1].as_py()
+                content = memoryview(ahead[1].as_buffer())
                 ahead = next(rows, None)
-                yield content
+                for i in range(0, len(content), PIECE):
+                    yield content[i : i + PIECE]
 
         while ahead is not None:
             yield one(ahead[0])
@@ -207,11 +214,14 @@ def _read(with_payload: bool):
 
 
 def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of archives given as rows (archive, chunk, content), with the outcome of both digest checks.
+    """The records of archives given as rows (archive, content), or (archive, chunk, content) with the chunks of an archive in
+    several rows, and the outcome of both digest checks.
 
     ``payload`` is NULL for revisits. Bytes that break the format raise DamagedArchive; a wrong digest only shows in
-    ``block_ok`` or ``payload_ok``.
+    ``block_ok`` or ``payload_ok``. Rows without content are passed over.
     """
     schema = RECORDS if with_payload else RECORDS.removesuffix(", payload binary")
-    ordered = archives.select("archive", "chunk", "content").repartition("archive").sortWithinPartitions("archive", "chunk")
-    return ordered.mapInArrow(_read(with_payload), schema)
+    ordered = archives.where("content is not null")
+    if "chunk" in archives.columns:
+        ordered = ordered.select("archive", "chunk", "content").repartition("archive").sortWithinPartitions("archive", "chunk")
+    return ordered.select("archive", "content").mapInArrow(_read(with_payload), schema)
