@@ -37,16 +37,15 @@ REACH = 100  # anchor positions of a window
 DIGIT = WINDOW - REACH + 1
 NEIGHBOURS = 8
 CORE = WINDOW - NEIGHBOURS + 1
-NO_KEY = -(1 << 63)
 BROADCAST_BYTES = 32 << 20  # findings up to this size are sent to every executor, larger ones are joined by shuffle
 SLICE = 2048  # documents whose entries are combined before they are sent
 
 RUN = np.dtype([("anchor", "<u8"), ("whole", "<u8"), ("start", "<u4"), ("doc", "<u2"), ("count", "u1"), ("at", "u1")])
 PIECE = np.dtype([("core", "<u8"), ("left", "<u8"), ("right", "<u8"), ("core_at", "<u4"), ("doc", "<u2"), ("windows", "u1"), ("known", "u1")])
-KEY = np.dtype([("doc_id", "<i8"), ("crc", "<u4")])
+KEY = np.dtype([("high", "<i8"), ("low", "<i8")])  # a document: the digest of its key and text
 WIN = np.dtype([("core", "<u8"), ("sides", "<u8"), ("start", "<u4"), ("doc", "<u4"), ("known", "u1")])
-SPAN = np.dtype([("doc_id", "<i8"), ("crc", "<u4"), ("start", "<u4"), ("end", "<u4")])
-OPEN = np.dtype([("doc_id", "<i8"), ("crc", "<u4"), ("start", "<u4"), ("count", "u1"), ("at", "u1")])
+SPAN = np.dtype([("high", "<i8"), ("low", "<i8"), ("start", "<u4"), ("end", "<u4")])
+OPEN = np.dtype([("high", "<i8"), ("low", "<i8"), ("start", "<u4"), ("count", "u1"), ("at", "u1")])
 ENTRIES, SPANS, OPENS, WINDOWS = 0, 1, 2, 3
 KNOWN = np.uint8(0x80)  # in ``at`` of a run: settled as repeated where it came from
 SEVERAL = np.uint8(0x80)  # in ``count`` of a run: a mark that its digit goes on, sent beside what went on already
@@ -123,9 +122,9 @@ def merged(found: np.ndarray) -> np.ndarray:
     """Spans with those of one document that overlap or touch put together."""
     if len(found) < 2:
         return found
-    found = found[np.lexsort((found["start"], found["crc"], found["doc_id"]))]
+    found = found[np.lexsort((found["start"], found["low"], found["high"]))]
     number = np.zeros(len(found), np.int64)
-    number[1:] = np.cumsum((found["doc_id"][1:] != found["doc_id"][:-1]) | (found["crc"][1:] != found["crc"][:-1]))
+    number[1:] = np.cumsum((found["high"][1:] != found["high"][:-1]) | (found["low"][1:] != found["low"][:-1]))
     # Ends reach on within a document: a running maximum that starts anew with each.
     reach = np.maximum.accumulate(found["end"].astype(np.int64) + (number << 33)) - (number << 33)
     opens = np.append(True, (number[1:] != number[:-1]) | (found["start"][1:] > reach[:-1]))
@@ -138,14 +137,14 @@ def by_document(kind: int, found: np.ndarray, n_blocks: int) -> list[tuple[int,
     """Findings, packed for the block of their document."""
     if not len(found):
         return []
-    key = mix(found["doc_id"].astype(U64) + found["crc"])
+    key = mix(found["high"].astype(U64) ^ found["low"].astype(U64))
     order = np.argsort(key, kind="stable")
     return [(block, kind, found[order[a:b]].tobytes()) for block, a, b in cuts(key[order], n_blocks)]
 
 
 def spans_of(docs: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     out = np.empty(len(docs), SPAN)
-    out["doc_id"], out["crc"], out["start"], out["end"] = docs["doc_id"], docs["crc"], start, end
+    out["high"], out["low"], out["start"], out["end"] = docs["high"], docs["low"], start, end
     return merged(out)
 
 
@@ -158,7 +157,7 @@ def neighbours(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def opened(docs: np.ndarray, runs: np.ndarray) -> np.ndarray:
     out = np.empty(len(runs), OPEN)
-    out["doc_id"], out["crc"], out["start"] = docs["doc_id"], docs["crc"], runs["start"]
+    out["high"], out["low"], out["start"] = docs["high"], docs["low"], runs["start"]
     out["count"], out["at"] = runs["count"] & ~SEVERAL, runs["at"] & ~KNOWN
     return out
 
@@ -185,7 +184,7 @@ def unpacked_entries(bodies: list[bytes], kind: np.dtype) -> tuple[np.ndarray, n
 
 def _keys(batch: pa.RecordBatch, i: int, j: int) -> np.ndarray:
     docs = np.empty(j - i, KEY)
-    docs["doc_id"], docs["crc"] = batch.column("key")[i:j].to_numpy(), batch.column("crc")[i:j].to_numpy()
+    docs["high"], docs["low"] = batch.column("high")[i:j].to_numpy(), batch.column("low")[i:j].to_numpy()
     return docs
 
 
@@ -389,12 +388,12 @@ def _per_document(kind: np.dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, kinds in each_block(batches):
             found = np.concatenate([np.frombuffer(b, kind) for bodies in kinds.values() for b in bodies])
-            found = merged(found) if kind is SPAN else found[np.lexsort((found["crc"], found["doc_id"]))]
-            new = np.append(True, (found["doc_id"][1:] != found["doc_id"][:-1]) | (found["crc"][1:] != found["crc"][:-1]))
+            found = merged(found) if kind is SPAN else found[np.lexsort((found["low"], found["high"]))]
+            new = np.append(True, (found["high"][1:] != found["high"][:-1]) | (found["low"][1:] != found["low"][:-1]))
             at = np.flatnonzero(new)
             bodies = [found[a:b].tobytes() for a, b in zip(at.tolist(), [*at[1:].tolist(), len(found)], strict=True)]
-            columns = [pa.array(found["doc_id"][at]), pa.array(found["crc"][at].astype(np.int64)), pa.array(bodies, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "crc", "found"])
+            columns = [pa.array(np.ascontiguousarray(found["high"][at])), pa.array(np.ascontiguousarray(found["low"][at])), pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["high", "low", "found"])
 
     return run
 
@@ -402,17 +401,17 @@ def _per_document(kind: np.dtype):
 def _to_documents(rows: DataFrame, kind: int, width: int) -> DataFrame:
     per_row = _per_document(SPAN if kind == SPANS else OPEN)
     picked = rows.where(F.col("kind") == kind)
-    return stored(gathered(picked, width).mapInArrow(per_row, "key long, crc long, found binary"), "findings")
+    return stored(gathered(picked, width).mapInArrow(per_row, "high long, low long, found binary"), "findings")
 
 
 def _joined(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """Texts with their findings; the findings are sent to every executor if their measured size allows."""
-    size = found.agg(F.sum(F.octet_length("found") + 32)).first()[0] or 0
-    return texts.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, ["key", "crc"], how)
+    size = found.agg(F.sum(F.octet_length("found") + 40)).first()[0] or 0
+    return texts.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, ["high", "low"], how)
 
 
 def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """key, crc and found (packed spans) of every document with bytes in a window that starts anywhere else too."""
+    """high and low (its mark) and found (packed spans) of every document with bytes in a window that starts anywhere else too."""
     texts = _texts(docs, id_column, text_column)
     width = shuffle_width(docs)
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -420,16 +419,21 @@ def repeated_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str
     b = n_blocks_for(n_bytes // 2, width)
     runs = stored(gathered(texts.mapInArrow(_first_digit(b, width), SCHEMA), b).mapInArrow(_settle_runs(width), SCHEMA), "runs")
     opens = _to_documents(runs, OPENS, width)
-    again = gathered(_joined(texts, opens, "inner").select("key", "crc", "text", "found").mapInArrow(_second_digit(width), SCHEMA), width)
+    again = gathered(_joined(texts, opens, "inner").select("high", "low", "text", "found").mapInArrow(_second_digit(width), SCHEMA), width)
     apart = gathered(again.mapInArrow(_meet_cores(width), SCHEMA), width)
     windows = stored(apart.mapInArrow(_settle_windows(width), SCHEMA), "windows")
     return _to_documents(runs.where(F.col("kind") == SPANS).unionByName(windows), SPANS, width)
 
 
 def _texts(docs: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
-    """Key, checksum and text, or ``more`` instead of the text."""
-    text = whole_text(text_column)
-    return docs.select(F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_KEY)).alias("key"), F.crc32(text).alias("crc"), *(more or [text.alias("text")]))
+    """The two halves of a row's mark, its key, and its text or ``more`` instead.
+
+    The mark is a digest of key and text: only rows that are equal in both, whose findings are the same, share one.
+    """
+    text, key = whole_text(text_column), F.col(f"`{id_column}`").cast("long")
+    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), text))
+    half = lambda at: F.conv(F.substring(digest, at, 16), 16, -10).cast("long")
+    return docs.select(half(1).alias("high"), half(17).alias("low"), key.alias("doc_id"), *(more or [text.alias("text")]))
 
 
 def _without(body: bytes, found: bytes | None) -> tuple[list[tuple[int, int]], bytes]:
@@ -445,10 +449,10 @@ def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     for batch in batches:
         rows = []
-        for key, text, found in zip(batch.column("key").to_pylist(), batch.column("text"), batch.column("found").to_pylist(), strict=True):
+        for key, text, found in zip(batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("found").to_pylist(), strict=True):
             body = text.as_py().encode()
             spans, kept = _without(body, found)
-            rows.append((None if key == NO_KEY else key, len(body), len(body) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
+            rows.append((key, len(body), len(body) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()))
         columns = list(zip(*rows, strict=True)) or [()] * 5
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:4]), pa.array(columns[4], pa.string())], names)
 
@@ -458,10 +462,10 @@ def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text_column: st
 
     Removed is each byte of the text (UTF-8; a missing text is empty) under a string of ``WINDOW`` bytes that also starts
     anywhere else, in the same text or another. Texts of fewer bytes keep all. Rows that repeat key and text are copies of
-    each other like any two; rows without a key are judged the same.
+    each other like any two; rows without a key, or with one that other texts have too, are judged by their own text.
     """
     found = repeated_spans(docs, id_column, text_column)
-    out = _joined(_texts(docs, id_column, text_column), found, "left").select("key", "text", "found")
+    out = _joined(_texts(docs, id_column, text_column), found, "left").select("doc_id", "text", "found")
     return out.mapInArrow(_report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
