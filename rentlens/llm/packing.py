@@ -1,8 +1,9 @@
 """Best-fit packing of documents into token sequences, by hierarchical residual packing.
 
 Every task packs its pieces, longest first, each into the fullest bin that still takes it. Bins that are nearly full are
-done; the others become items of their fill for the next round, in a quarter of the tasks, and so on until one task is left
-or a round joins hardly any bins. A bin inside a bin is a base offset: places are found by walking up the rounds.
+done; the others become items of their fill for the next round, in a quarter of the tasks, and so on. Where the number of open
+bins keeps the tasks from getting fewer, only the emptiest bins go on. Rounds end when no two open bins fit together. A bin
+inside a bin is a base offset: places are found by walking up the rounds.
 """
 
 from __future__ import annotations
@@ -22,24 +23,31 @@ CAPACITY = 2048
 CLOSED = CAPACITY - 8  # a bin this full takes part in no further round
 SHRINK = 4
 ITEMS = 200_000  # items of one task of a later round
-GAIN = 0.01  # rounds go on while they join more than this share of the open bins
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 ID_END = 0
 
-_encoders: dict[str, object] = {}
+_encoders: dict[tuple, object] = {}
 
 
-def encoder(ranks_path: str, pattern: str):
-    """A byte-level BPE encoder over a public vocabulary file; special strings are ordinary text."""
-    if ranks_path not in _encoders:
+def encoder(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()):
+    """A text's token ids by a byte-level BPE over a public vocabulary file; strings of ``special`` are one id wherever they
+    stand, as added tokens are."""
+    key = (ranks_path, pattern, special)
+    if key not in _encoders:
         import base64
 
         import tiktoken
 
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _encoders[ranks_path] = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return _encoders[ranks_path]
+        _encoders[key] = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(special))
+    bpe, strings = _encoders[key], [s for s, _ in special]
+
+    def encode(text: str) -> list[int]:
+        # Looking for special strings in every text is slow; few texts have one.
+        return bpe.encode(text, allowed_special="all") if any(s in text for s in strings) else bpe.encode_ordinary(text)
+
+    return encode
 
 
 def pieces_of(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -48,9 +56,9 @@ def pieces_of(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
-def _tokenized(ranks_path: str, pattern: str):
+def _tokenized(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_path, pattern).encode_ordinary
+        encode = encoder(ranks_path, pattern, special)
         for batch in batches:
             ids, piece, start, length, crc = [], [], [], [], []
             seen: dict[str, list[tuple[int, int, int]]] = {}  # copies of a text in one batch are encoded once
@@ -112,14 +120,19 @@ def _packed(level: int, capacity: int):
     return run
 
 
-def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def packed(pieces: DataFrame, capacity: int = CAPACITY, items: int = ITEMS) -> DataFrame:
     """The rows with sequence_id and offset (both long); ``length`` is their size, 1 to the capacity.
 
-    Other columns travel along. Every sequence is gapless from offset 0 and holds at most ``capacity``.
+    Other columns travel along. Every sequence is gapless from offset 0 and holds at most ``capacity``; no two sequences that
+    are less full than ``CLOSED`` of ``CAPACITY`` fit into one. Repeated rows, and rows without a key, are pieces of their own.
+    A missing length, or one outside 1 to the capacity, is a ValueError.
     """
     columns = pieces.columns
-    n = pieces.count()
-    tasks = max(1, min(shuffle_width(pieces), -(-n // 5_000)), -(-n // ITEMS))
+    wrong = f"length is null or length < 1 or length > {capacity}"
+    n, n_wrong = pieces.agg(F.count("*"), F.count_if(F.expr(wrong))).first()
+    if n_wrong:
+        raise ValueError(f"{n_wrong} pieces have a length outside 1 to {capacity}")
+    tasks = max(1, min(shuffle_width(pieces), -(-n // 5_000)), -(-n // items))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     # Dealt by content, so that a rerun of a task packs the same items.
     dealt = pieces.repartition(tasks, F.xxhash64(*columns)).sortWithinPartitions(*columns)
@@ -128,35 +141,47 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     maps: list[DataFrame] = []
     closed = CLOSED * capacity // CAPACITY
     bins = placed.groupBy("bin").agg(F.first("fill").alias("length")).where(F.col("length") < closed)
-    level = 1
-    open_bins = bins.count()
-    while open_bins > 1:
-        tasks = max(-(-tasks // SHRINK), -(-open_bins // ITEMS))
-        items = bins.repartition(tasks, F.xxhash64("bin", F.lit(level))).sortWithinPartitions("bin").withColumnRenamed("bin", "item")
-        joined = stored(items.mapInArrow(_packed(level, capacity), "item long, length long, bin long, at long, fill long"), "packing")
+    bins, level = stored(bins, "bins"), 1
+    while True:
+        open_bins, half = bins.agg(F.count("*"), F.count_if(F.col("length") * 2 <= capacity)).first()
+        emptiest = bins.orderBy("length", "bin").limit(2)
+        if open_bins < 2 or emptiest.agg(F.sum("length")).first()[0] > capacity:
+            break
+        fewer = max(-(-tasks // SHRINK), -(-open_bins // items))
+        chosen, rest = bins, None
+        if fewer == tasks and tasks > 1:
+            # A pair that fits has a bin up to half full. A task leaves at most one of them, and if such a bin fits with any
+            # other it fits with one of as many next emptier ones.
+            chosen, fewer = stored(bins.orderBy("length", "bin").limit(2 * half), "bins"), 1
+            rest = bins.join(chosen.select("bin"), "bin", "left_anti")
+        else:
+            tasks = fewer
+        dealt = chosen.repartition(fewer, F.xxhash64("bin", F.lit(level))).sortWithinPartitions("bin").withColumnRenamed("bin", "item")
+        joined = stored(dealt.mapInArrow(_packed(level, capacity), "item long, length long, bin long, at long, fill long"), "packing")
         maps.append(joined.select("item", "bin", "at"))
         bins = joined.groupBy("bin").agg(F.first("fill").alias("length")).where(F.col("length") < closed)
-        joined_bins = joined.select("bin").distinct().count()
-        done = tasks == 1 or open_bins - joined_bins <= GAIN * open_bins
-        open_bins = bins.count()
+        bins = stored(bins if rest is None else bins.unionByName(rest), "bins")
         level += 1
-        if done:
-            break
     for up in maps:
         placed = placed.join(up.select(F.col("item").alias("sequence_id"), F.col("bin").alias("outer"), "at"), "sequence_id", "left")
         placed = placed.withColumn("sequence_id", F.coalesce("outer", "sequence_id")).withColumn("offset", F.col("offset") + F.coalesce("at", F.lit(0))).drop("outer", "at")
     return placed.select(*columns, "sequence_id", "offset")
 
 
-def tokenized_pieces(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def tokenized_pieces(
+    docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", special: tuple[tuple[str, int], ...] = ()
+) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of the pieces of every row.
 
     A document is the ids of its text and an end id 0; one longer than the capacity is cut, and only its first piece may be
-    shorter. A missing text counts as empty. The encoder's file must be readable on every executor.
+    shorter. A missing text counts as empty. Rows without a key, or that repeat one, are documents of their own. ``special``
+    are strings that count as one token. The encoder's file must be readable on every executor.
     """
-    return id_and_text(docs, id_column, text_column).mapInArrow(_tokenized(ranks_path, pattern), PIECES)
+    return id_and_text(docs, id_column, text_column).mapInArrow(_tokenized(ranks_path, pattern, special), PIECES)
 
 
-def packed_documents(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def packed_documents(
+    docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text", special: tuple[tuple[str, int], ...] = ()
+) -> DataFrame:
     """The pieces of every row with their places: sequence_id and offset."""
-    return packed(stored(tokenized_pieces(docs, ranks_path, pattern, id_column, text_column), "pieces"))
+    return packed(stored(tokenized_pieces(docs, ranks_path, pattern, id_column, text_column, special), "pieces"))
