@@ -27,9 +27,19 @@ from .warc import read_archives, write_archives
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+# What Python workers free goes back to the system: by default the C library keeps blocks of up to 32 MB for itself, and
+# the workers of an executor then hold hundreds of MB that none of them uses.
+WORKERS = {"MALLOC_MMAP_THRESHOLD_": "4194304", "MALLOC_TRIM_THRESHOLD_": "33554432", "MALLOC_ARENA_MAX": "2", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+BATCH_ROWS = 2048  # rows of an Arrow batch: texts of a few KB come in batches of a few MB
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of the folder. Python workers also look for this package where the driver found it."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    for key, value in {"PYTHONPATH": ROOT, **WORKERS}.items():
+        spark.sparkContext.environment.setdefault(key, value)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
@@ -52,8 +62,12 @@ def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return content_sort(table(spark, folder, "documents"))
 
 
+# Fixed value: the added token of byte_bpe_50k.json.
+SPECIAL = (("<|endoftext|>", 50256),)
+
+
 def packed_tokens(docs: DataFrame) -> DataFrame:
-    return packed_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packed_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special=SPECIAL)
 
 
 def packing(spark: SparkSession, folder: str) -> DataFrame:

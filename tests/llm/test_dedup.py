@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,6 +11,7 @@ from rentlens.llm import ngram_join, suffix_dedup
 from rentlens.llm.content_sort import content_sort, without_copies
 from rentlens.llm.keyblocks import block_of
 from rentlens.llm.ngram_join import Bounds, ngram_components
+from rentlens.llm.fingerprints import edited_fingerprints
 from rentlens.llm.suffix_dedup import repeated_windows, without_repeats
 from rentlens.llm.textblocks import blocks, joined, shingles, span_hashes, words
 
@@ -110,20 +113,38 @@ def test_shingles_against_python(texts):
         assert sum({a, b} <= s for s in all_grams.values()) == len(grams(known[a], 5) & grams(known[b], 5))
 
 
-def test_span_hashes_over_blocks(monkeypatch):
-    from rentlens.llm import textblocks
-
+def test_span_hashes():
     data = np.frombuffer(b"abc" * 5000, np.uint8)
-    starts, ends = np.array([0, 3, 9, 4500, 14_997]), np.array([3, 6, 4509, 4503, 15_000])
-    order = np.argsort(ends)
-    whole = span_hashes(data, starts[order], ends[order])
-    monkeypatch.setattr(textblocks, "BLOCK", 1000)
-    assert (span_hashes(data, starts[order], ends[order]) == whole).all()
-    assert whole[0] == whole[1] == whole[-1]
+    starts, ends = np.array([0, 14_997, 4500, 3, 9, 0, 7, 2]), np.array([3, 15_000, 4503, 6, 4509, 4500, 7, 2])
+    found = span_hashes(data, starts, ends)
+    assert found[0] == found[1] == found[2] == found[3] and found[4] == found[5] and found[6] == found[7]
+    assert len(set(found.tolist())) == 3
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 100, 4000).astype(np.uint8)
+    spans = [(a, a + n) for a in range(3000) for n in (0, 1, 7, 8, 9, 16, 17, 255, 256, 257)]
+    by_content = defaultdict(set)
+    for (a, b), h in zip(spans, span_hashes(data, *np.array(spans).T).tolist(), strict=True):
+        by_content[data[a:b].tobytes()].add(h)
+    assert all(len(h) == 1 for h in by_content.values()) and len(set.union(*by_content.values())) == len(by_content)
     assert list(blocks(np.array([0, 5, 5, 3000, 3001]), 1000)) == [(0, 2), (2, 3), (3, 4)]
     assert (np.diff(block_of(np.sort(np.random.default_rng(1).integers(0, 1 << 63, 99).astype(np.uint64)), 7)) >= 0).all()
 
 
+def thue_morse(n, swap=False):
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(n))
+
+
+def test_words_that_cancel_in_a_polynomial(spark):
+    rows = []
+    for n in (64, 1024, 2048):
+        tail = f" tail{n} of the text"
+        rows += [(len(rows), thue_morse(n) + tail), (len(rows) + 1, thue_morse(n, True) + tail)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in ngram_join.ngram_components(frame, n=4, num=85, den=100).collect()} == {(i, i) for i in range(6)}
+    long = [(k, " ".join(f"{i}{thue_morse(1024, bool(k))}" for i in range(30))) for k in range(2)]
+    assert all(r.near_next < 0.5 for r in edited_fingerprints(spark.createDataFrame(long, "doc_id long, text string")).collect())
+
+
 def test_content_sort(docs):
     rows = [(r.doc_id, re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "")) for r in docs.select("doc_id", "text").collect()]
     least, size = {}, Counter(t for _, t in rows)
@@ -212,6 +233,27 @@ def test_repeated_windows_edges(spark, empty, no_key):
     assert {(r.n_bytes, r.n_removed) for r in repeated_windows(copies).collect()} == {(303, 303), (200, 200)}
 
 
+def equal_crcs():
+    """Two texts that repeat nothing of each other, with one CRC-32."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    p, q = ("".join(rng.choice(letters) for _ in range(300)) for _ in range(2))
+    tails = {zlib.crc32((p + t).encode()): t for t in ("".join(rng.choice(letters) for _ in range(10)) for _ in range(200_000))}
+    while True:
+        t = "".join(rng.choice(letters) for _ in range(10))
+        if zlib.crc32((q + t).encode()) in tails:
+            return p, p + tails[zlib.crc32((q + t).encode())], q + t
+
+
+@pytest.mark.parametrize("key", [None, 7, -(1 << 63)])
+def test_rows_of_one_key_and_checksum_are_two(spark, key):
+    passage, one, other = equal_crcs()
+    assert zlib.crc32(one.encode()) == zlib.crc32(other.encode())
+    frame = spark.createDataFrame([(key, one), (key, other), (9, "x" + passage)], "doc_id long, text string").repartition(3)
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in repeated_windows(frame).collect())
+    assert got == sorted([(str(key), 310, 300), (str(key), 310, 0), ("9", 301, 300)])
+
+
 def test_without_repeats_keeps_whole_characters(spark):
     passage = "éa" * 100
     rows = [(1, "ß" + passage + "one", "x", 1), (2, "ö" + passage + "two", "x", 1), (3, "alone", "x", 1), (4, None, None, None)]

@@ -158,7 +158,6 @@ def test_piece_frames(docs, empty, no_key):
 
 def test_packed_documents(docs, empty):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     want = []
     for r in docs.select("doc_id", "text").collect():
         ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0]
@@ -173,6 +172,40 @@ def test_packed_documents(docs, empty):
     assert packed_tokens(empty).count() == 0
 
 
+def test_special_strings_are_one_token(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["<|endoftext|>", "a<|endoftext|>b  <|endoftext|><|endoftext|> c", "<|endoftext", "x <|endoftext|", "Grüße <|endoftext|>\n\n  日本"]
+    got = packed_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    want = {i: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4") for i, t in enumerate(texts)}
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in got} == {i: (len(w), zlib.crc32(w.tobytes())) for i, w in want.items()}
+    assert 50256 in want[0]
+
+
+def test_packing_edges(spark):
+    for wrong in (0, 2049, -1, None):
+        with pytest.raises(ValueError, match="outside 1 to 2048"):
+            packed(spark.createDataFrame([(1, 5), (2, wrong)], "doc_id long, length long"))
+    rows = [(None, 700)] * 5 + [(7, 700)] * 4
+    got = packed(spark.createDataFrame(rows, "doc_id long, length long")).collect()
+    assert sorted(((r.doc_id, r.length) for r in got), key=str) == sorted(rows, key=str)
+    check_sequences(got)
+    assert len({r.sequence_id for r in got}) == 5
+
+
+@pytest.mark.parametrize("low", [1, 900])
+def test_packing_ends_when_no_two_bins_fit(spark, low):
+    """The tasks cannot get fewer than one for twenty items, yet no two sequences are left that fit together."""
+    rng = random.Random(low)
+    rows = [(i, rng.choice([rng.randint(low, 1020), rng.randint(1030, 2030)])) for i in range(400)]
+    got = packed(spark.createDataFrame(rows, "doc_id long, length long"), items=20).collect()
+    check_sequences(got)
+    fills = Counter()
+    for r in got:
+        fills[r.sequence_id] += r.length
+    least = sorted(fills.values())[:2]
+    assert sum(least) > 2048 and sorted((r.doc_id, r.length) for r in got) == rows
+
+
 def check_sequences(rows, capacity=2048):
     sequences = defaultdict(list)
     for r in rows:
@@ -257,7 +290,23 @@ def test_warc_round_trip(spark):
 
     chunks = sorted(tuple(r) for r in archives.collect())
     for archive in {c[0] for c in chunks}:
-        assert gzip.decompress(b"".join(bytes(c[2]) for c in chunks if c[0] == archive)).count(b"WARC-Type: ") >= 1
+        assert gzip.decompress(b"".join(bytes(c[1]) for c in chunks if c[0] == archive)).count(b"WARC-Type: ") >= 1
+
+
+def test_archives_in_chunks_and_copies_by_shuffle(spark, monkeypatch):
+    pages = spark.createDataFrame([(*p, "x") for p in PAGES] + [(1, "again", "<p>é</p>", "y")], "page_id long, url string, html string, digest string").repartition(3)
+    archives = write_archives(pages, broadcast_rows=0)
+    rows = []
+    for archive, content in archives.collect():
+        content = bytes(content)
+        rows += [(archive, k, content[i : i + 700]) for k, i in enumerate(range(0, len(content), 700))]
+    random.Random(1).shuffle(rows)
+    cut = read_archives(spark.createDataFrame(rows, "archive long, chunk long, content binary")).collect()
+    whole = read_archives(write_archives(pages)).collect()
+    assert sorted(map(str, cut)) == sorted(map(str, whole)) and len(cut) == len(PAGES) + 1
+    # Rows that repeat the smallest key of a payload are all responses.
+    assert [r.record_type for r in cut if r.page_id == 1] == ["response"] * 2
+    assert {r.refers_to for r in cut if r.page_id in (3, None)} == {1}
 
 
 def test_members_over_any_chunks():
