@@ -20,6 +20,9 @@ from rentlens.llm.suffix_dedup import without_repeats
 from rentlens.llm.toxicity import fit_toxicity, without_toxic
 
 
+MARK = "_row_mark"
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_toxic(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
@@ -29,9 +32,20 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without a key, which name no group, stay."""
-    gone = stored(ngram_components(docs, n=5, num=80, den=100).where("component_id < doc_id").select("doc_id").distinct(), "gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group the row with the smallest doc_id stays; a row without a key stays only where the whole group has none.
+
+    Rows go by a hash of key and text, so rows that repeat a key are told apart; rows equal in both, of which the stage before
+    leaves one, go or stay together.
+    """
+    marked = docs.withColumn(MARK, F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    found = ngram_components(marked, n=5, num=80, den=100, id_column=MARK).withColumnsRenamed({"doc_id": MARK, "component_id": "group"})
+    found = stored(found.where(F.col("n_shingles") > 0).select(MARK, "group").distinct(), "groups")
+    several = stored(found.join(found.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group"), "group"), "groups")
+    keys = marked.select(MARK, F.col("doc_id").alias("id")).distinct()
+    members = stored(several.join(keys, MARK), "members")
+    first = members.groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", MARK)).alias("first"))
+    gone = stored(members.join(first, "group").where(F.col(f"first.{MARK}") != F.col(MARK)).select(MARK), "gone")
+    return marked.join(F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone, MARK, "left_anti").select(*docs.columns)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
