@@ -1,14 +1,19 @@
 """Aggregates and ratios that give the same answer under any partitioning and never divide by zero."""
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .parsing import as_column
 
-# Numbers up to this size are added as decimals; larger ones are in the plain sum beside them.
-DECIMAL_LIMIT = 1e20
+# Numbers below the limit are added exactly, as whole millionths in limbs of a long each; larger ones are in the plain sum
+# beside them. Below ``NEAR`` the millionths fit the 53 bits of a double; larger numbers give a limb of 2^32 off first.
+EXACT_LIMIT = 1e20
+NEAR = 9e9
+TOP_LIMB = 1 << 32
+LOW_BITS = 24
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
@@ -24,27 +29,40 @@ def percent(part: Column | str, whole: Column | str) -> Column:
 def exact_sum(c: Column | str) -> Column:
     """Sum of the values as they are, the same under any row order to the last digits that matter.
 
-    Each value is split into a decimal of six places, whose sum is exact, and the rest, which is below
-    a millionth and has only rounding errors of its own size. Nothing is rounded away and nothing
-    saturates; NaN and infinity stay in the plain part and make the sum what Spark's ``sum`` makes it.
+    Each value is split into whole millionths, whose sum is exact, and the rest, which is below a millionth and has only
+    rounding errors of its own size. Nothing is rounded away and nothing saturates; NaN and infinity stay in the plain part
+    and make the sum what Spark's ``sum`` makes it.
     """
-    units, rest = _parts(c)
-    return F.coalesce(F.sum(units).cast("double"), F.lit(0.0)) + F.sum(rest)
+    millionths, rest = _sums(c)
+    return (millionths * F.lit(Decimal("0.000001"))).cast("double") + rest
 
 
-def _parts(c: Column | str) -> tuple[Column, Column]:
+def _sums(c: Column | str) -> tuple[Column, Column]:
+    """Sums of the whole millionths, as a decimal without places, and of the rest.
+
+    Rows only add longs and doubles, which stay in generated code; decimals are made once per group. A limb of 2^24 lasts for
+    more than 10^11 rows; beyond that the sum of longs raises an error.
+    """
     x = as_column(c).cast("double")
-    units = F.when(F.abs(x) < F.lit(DECIMAL_LIMIT), x.cast("decimal(26,6)"))
-    return units, x - F.coalesce(units.cast("double"), F.lit(0.0))
+    size = F.abs(x)
+    top = F.when((size >= F.lit(NEAR)) & (size < F.lit(EXACT_LIMIT)), F.floor(x / F.lit(float(TOP_LIMB)))).otherwise(F.lit(0).cast("bigint"))
+    below = x - top.cast("double") * F.lit(float(TOP_LIMB))
+    near = F.when(size < F.lit(EXACT_LIMIT), F.rint(below * F.lit(1e6)))
+    limbs = near.cast("bigint")
+    high, low = F.shiftright(limbs, LOW_BITS), limbs.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    # A quotient of whole numbers below 2^53 is the double nearest to it, so a value with six places leaves nothing.
+    rest = below - F.coalesce(near / F.lit(1e6), F.lit(0.0))
+    whole = lambda s: F.coalesce(F.sum(s), F.lit(0)).cast("decimal(20,0)")
+    scaled = lambda s, times: (whole(s) * F.lit(Decimal(times))).cast("decimal(38,0)")
+    total = scaled(F.when(top != 0, top), TOP_LIMB * 1_000_000) + scaled(high, 1 << LOW_BITS) + whole(low)
+    return total.cast("decimal(38,0)"), F.sum(rest)
 
 
 def exact_mean(total: Column | str, n: Column) -> Column:
-    """Sum of a value over a count. The decimal part is divided as a whole number of millionths by a whole
-    number, so that a mean half-way between two digits stays there."""
-    units, rest = _parts(total)
-    millionths = (F.sum(units).cast("decimal(32,6)") * F.lit(1_000_000)).cast("double")
-    whole = F.try_divide(F.coalesce(millionths, F.lit(0.0)), n.cast("double") * F.lit(1e6))
-    return whole + F.try_divide(F.sum(rest), n.cast("double"))
+    """Sum of a value over a count. The whole millionths are divided as a whole number by a whole number, so that a mean
+    half-way between two digits stays there."""
+    millionths, rest = _sums(total)
+    return F.try_divide(millionths.cast("double"), n.cast("double") * F.lit(1e6)) + F.try_divide(rest, n.cast("double"))
 
 
 def exact_avg(c: Column | str) -> Column:

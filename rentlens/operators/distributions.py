@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric
+from .order_statistics import ValueCounts, same_group
 
 
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -14,25 +15,6 @@ def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
-# A band is a thousandth of the logarithm wide and has so many cells. The first term lifts the logarithm of the
-# smallest double above zero.
-CELLS = 1 << 16
-LIFT = 746.0
-
-
-def _cell(value: str) -> Column:
-    """Monotone cell of a number. A group has at most 1.5 million bands per sign and a band ``CELLS``
-    cells; a cell is 1.5e-8 of its value wide, so the distinct values in it are bounded whatever the data."""
-    v = F.col(value).cast("double")
-    place = F.floor((F.log(F.abs(v)) + F.lit(LIFT)) * F.lit(1000.0 * CELLS))
-    return F.when(v == 0, F.lit(0)).otherwise(F.signum(v).cast("bigint") * place)
-
-
-def same_group(left: str, right: str, keys: Sequence[str]) -> Column:
-    """Equal keys of two aliased tables; NULL matches NULL."""
-    return reduce(lambda a, k: a & F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")), keys, F.lit(True))
-
-
 def join_groups(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on groups, the NULL group included; the columns of the left side, then those that the right adds."""
     added = [c for c in right.columns if c not in by]
@@ -47,78 +29,8 @@ def exact_quantiles(
     by: Sequence[str] = (),
     method: str = "linear",
 ) -> DataFrame:
-    """Exact quantiles per group, one column per named point, plus the group's size ``n``.
-
-    ``linear`` interpolates between neighbours, ``lower`` takes the smallest value whose cumulative
-    share reaches the point. Works by counting: distinct values are counted and summed into bands; the
-    band of each wanted rank is found from the band counts, then its cell from the cell counts, and
-    only the values of that cell are ordered. A group of any size is spread over the cluster, and
-    values that lie close together over the cells of their band.
-    """
-    if method not in ("linear", "lower"):
-        raise ValueError("method must be 'linear' or 'lower'")
-    keys = list(by)
-    known = df.where(~F.isnan(F.col(value).cast("double")))
-    # The filter on the cell changes no row; with it all uses of the counts share one shuffle.
-    counts = value_counts(known, value, keys).withColumn("cell", _cell(value)).where(F.col("cell").isNotNull())
-    counts = counts.withColumn("band", F.floor(F.col("cell") / F.lit(CELLS)))
-
-    bands = counts.groupBy(*keys, "band").agg(F.sum("n").alias("band_n"))
-    through = Window.partitionBy(*keys).orderBy("band").rowsBetween(Window.unboundedPreceding, 0)
-    bands = bands.withColumns(
-        {
-            "upto": F.sum("band_n").over(through),
-            "total": F.sum("band_n").over(Window.partitionBy(*keys)),
-        }
-    )
-    wanted = []
-    for name, p in points.items():
-        if method == "linear":
-            position = F.lit(float(p)) * (F.col("total") - 1)
-            ranks = [(f"{name}__low", F.floor(position) + 1), (f"{name}__high", F.ceil(position) + 1)]
-        else:
-            ranks = [(f"{name}__low", F.greatest(F.lit(1), F.ceil(F.lit(float(p)) * F.col("total"))))]
-        wanted += [F.struct(F.lit(n).alias("slot"), r.cast("bigint").alias("rank")) for n, r in ranks]
-    targets = (
-        bands.withColumn("want", F.explode(F.array(*wanted)))
-        .where((F.col("want.rank") <= F.col("upto")) & (F.col("want.rank") > F.col("upto") - F.col("band_n")))
-        .select(*keys, "band", "total", "want.slot", "want.rank", (F.col("upto") - F.col("band_n")).alias("before"))
-    )
-
-    def within(level: str, chosen: DataFrame) -> DataFrame:
-        """The counted values in the chosen bands or cells, with the rank that is wanted there."""
-        rows = counts.withColumnsRenamed({value: "v"}).select(*keys, F.col("v").cast("double").alias("v"), "n", "band", "cell")
-        same = same_group("c", "t", [*keys, level])
-        joined = rows.alias("c").join(chosen.alias("t"), same)
-        return joined.select(*[f"c.`{k}`" for k in keys], "c.v", "c.n", "c.cell", "t.total", "t.slot", "t.rank", "t.before")
-
-    cells = within("band", targets).groupBy(*keys, "slot", "cell").agg(
-        F.sum("n").alias("cell_n"), *[F.first(c).alias(c) for c in ("total", "rank", "before")]
-    )
-    reached = F.sum("cell_n").over(Window.partitionBy(*keys, "slot").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
-    hit_cells = (
-        cells.withColumn("reached", F.col("before") + reached)
-        .where((F.col("reached") >= F.col("rank")) & (F.col("reached") - F.col("cell_n") < F.col("rank")))
-        .select(*keys, "cell", "total", "slot", "rank", (F.col("reached") - F.col("cell_n")).alias("before"))
-    )
-    ordered = Window.partitionBy(*keys, "slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    hit = F.col("before") + F.sum("n").over(ordered) >= F.col("rank")
-    found = within("cell", hit_cells).withColumn("hit", hit).where("hit").groupBy(*keys, "slot").agg(
-        F.min("v").alias("v"), F.first("total").alias("n")
-    )
-
-    def pick(slot: str) -> Column:
-        return F.max(F.when(F.col("slot") == slot, F.col("v")))
-
-    total = F.max("n")
-    columns = [total.alias("n")]
-    for name, p in points.items():
-        low = pick(f"{name}__low")
-        if method == "linear":
-            position = F.lit(float(p)) * (total - 1)
-            low = low + (pick(f"{name}__high") - low) * (position - F.floor(position))
-        columns.append(low.alias(name))
-    return found.groupBy(*keys).agg(*columns)
+    """Exact quantiles per group, one column per named point, plus the group's size ``n``; see ``order_statistics``."""
+    return ValueCounts(df, value, by).summary(points, method)
 
 
 def merge_groups(by: Sequence[str], *tables: DataFrame) -> DataFrame:
@@ -134,20 +46,22 @@ def with_quantiles(
     value: str,
     points: Mapping[str, float],
     sketch: int | None = None,
+    method: str = "lower",
+    distinct: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Aggregates of each group beside quantiles of a value (lower ones: values that occur).
+    """Aggregates of each group beside quantiles of a value (lower ones: values that occur) and numbers of different values of
+    other columns (``distinct``: name and column).
 
-    Exact, unless ``sketch`` asks for one-pass sketches of that accuracy.
+    Exact, unless ``sketch`` asks for one-pass sketches of that accuracy. Either way the source is read once.
     """
     if sketch is not None:
-        table = df.groupBy(*by).agg(*measures, numeric.sketch_quantiles(value, list(points.values()), sketch).alias("q"))
+        counts = [F.count_distinct(c).alias(name) for name, c in (distinct or {}).items()]
+        table = df.groupBy(*by).agg(*measures, *counts, numeric.sketch_quantiles(value, list(points.values()), sketch).alias("q"))
         return table.withColumns({name: F.col("q")[i] for i, name in enumerate(points)}).drop("q")
-    kind = df.schema[value].dataType
-    quantiles = exact_quantiles(df, value, points, by, "lower").drop("n")
-    quantiles = quantiles.withColumns({name: F.col(name).cast(kind) for name in points})
-    if not measures:
-        return join_groups(df.select(*by).distinct(), quantiles, by, "left")
-    return join_groups(df.groupBy(*by).agg(*measures), quantiles, by, "left")
+    kind = df.schema[value].dataType if method == "lower" else "double"
+    asked = list(measures) or [F.count("*").alias("_rows")]
+    table = ValueCounts(df, value, by, asked, distinct).summary(points, method, "_known").drop("_known", "_rows")
+    return table.withColumns({name: F.col(name).cast(kind) for name in points})
 
 
 def medians(df: DataFrame, by: Sequence[str], value: str = "price") -> DataFrame:
@@ -311,13 +225,12 @@ def boxplot(
     df: DataFrame, value: str = "price", by: Sequence[str] = ("city",), reach: float = 1.5
 ) -> DataFrame:
     """Quartiles, whiskers at the last values within ``reach`` quartile distances, values beyond."""
-    df = df.where(~F.isnan(F.col(value).cast("double")))
-    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
-    counts = value_counts(df, value, by)
+    counted = ValueCounts(df, value, by)
+    quartiles = counted.summary({"q1": 0.25, "median": 0.5, "q3": 0.75})
     span = F.lit(float(reach)) * (F.col("q3") - F.col("q1"))
-    v = F.col(value)
+    v = F.col("_v")
     inside = v.between(F.col("q1") - span, F.col("q3") + span)
-    joined = join_groups(counts.withColumnRenamed("n", "copies"), quartiles, by)
+    joined = join_groups(counted.values().withColumnRenamed("_n", "copies"), quartiles, by)
     stats = joined.groupBy(*by, "n", "q1", "median", "q3").agg(
         F.min(F.when(inside, v)).alias("low"),
         F.max(F.when(inside, v)).alias("high"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric
-from .distributions import join_groups, medians, with_quantiles
+from .distributions import join_groups, with_quantiles
 from .trends import dominant
 
 
@@ -122,24 +122,13 @@ def compare_groups(
     capacity: float = 365.0,
     sketch: int | None = None,
 ) -> DataFrame:
-    """Price, activity, occupancy, listings and hosts per group.
-
-    Rows are reduced to sums and counts per group and host, which give the means and the number of
-    hosts from one pass; medians come from value counts.
-    """
+    """Price, activity, occupancy, listings and hosts per group, from one pass over the rows."""
     averaged = {"mean_price": price, "mean_reviews_per_month": activity, "available": available, **(extra_means or {})}
-    sums = {c: (f"_sum_{i}", f"_n_{i}") for i, c in enumerate(dict.fromkeys(averaged.values()))}
-    per_host = df.groupBy(*by, F.col(host).alias("_host")).agg(
-        F.count(key).alias("_keys"),
-        *[numeric.exact_sum(c).alias(s) for c, (s, _) in sums.items()],
-        *[F.count(c).alias(n) for c, (_, n) in sums.items()],
-    )
-    means = {name: numeric.exact_mean(sums[c][0], F.sum(sums[c][1])) for name, c in averaged.items()}
-    measures = per_host.groupBy(*by).agg(
-        *[m.alias(name) for name, m in means.items()], F.sum("_keys").alias("n_listings"), F.count("_host").alias("n_hosts")
-    )
-    measures = measures.withColumn("avg_occupancy_rate", numeric.occupancy("available", capacity)).drop("available")
-    return join_groups(measures, with_quantiles(df, by, [], price, {"median_price": 0.5}, sketch), by)
+    measures = [*[numeric.exact_avg(c).alias(name) for name, c in averaged.items()], F.count(key).alias("n_listings")]
+    table = with_quantiles(df, by, measures, price, {"median_price": 0.5}, sketch, distinct={"n_hosts": host})
+    table = table.withColumn("avg_occupancy_rate", numeric.occupancy("available", capacity))
+    means = [name for name in averaged if name != "available"]
+    return table.select(*by, *means, "n_listings", "n_hosts", "avg_occupancy_rate", "median_price")
 
 
 def compare_areas(
@@ -164,12 +153,12 @@ def headline_metrics(
     df: DataFrame, parent: str = "city", host: str = "host_id", price: str = "price", multi: str = "host_type"
 ) -> DataFrame:
     """Listings, hosts, exact median price and share of multi-listing hosts' listings."""
-    counts = df.groupBy(parent).agg(
+    measures = [
         F.count("*").alias("n_listings"),
-        F.count_distinct(host).alias("n_hosts"),
         numeric.percent(F.count_if(F.col(multi) == "multi"), F.count("*")).alias("multi_share_pct"),
-    )
-    return join_groups(counts, medians(df, [parent], price).drop("n"), [parent], "left").orderBy(parent)
+    ]
+    table = with_quantiles(df, [parent], measures, price, {f"median_{price}": 0.5}, method="linear", distinct={"n_hosts": host})
+    return table.select(parent, "n_listings", "n_hosts", "multi_share_pct", f"median_{price}").orderBy(parent)
 
 
 def group_breakdown(
@@ -177,8 +166,7 @@ def group_breakdown(
 ) -> DataFrame:
     """Listings and exact median price per named group."""
     named = df.dropna(subset=list(by))
-    counts = named.groupBy(*by).agg(F.count(key).alias("n_listings"))
-    return counts.join(medians(named, by, price).drop("n"), list(by), "left")
+    return with_quantiles(named, by, [F.count(key).alias("n_listings")], price, {f"median_{price}": 0.5}, method="linear")
 
 
 def group_centroid(

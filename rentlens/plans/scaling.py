@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric
-from ..operators.distributions import exact_quantiles, join_groups
+from ..operators.distributions import with_quantiles
 
 
 def run_statistics(runs: DataFrame, by: Sequence[str] = ("workload", "workers"), value: str = "wall_secs") -> DataFrame:
     """Runs, median, fastest and slowest time per configuration."""
     known = runs.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    extremes = known.groupBy(*by).agg(F.min(value).alias("min_wall_secs"), F.max(value).alias("max_wall_secs"))
-    stats = join_groups(exact_quantiles(known, value, {"median_wall_secs": 0.5}, by), extremes, by)
+    measures = [F.count("*").alias("n"), F.min(value).alias("min_wall_secs"), F.max(value).alias("max_wall_secs")]
+    stats = with_quantiles(known, by, measures, value, {"median_wall_secs": 0.5}, method="linear")
     columns = ("median_wall_secs", "min_wall_secs", "max_wall_secs")
     return stats.select(*by, F.col("n").alias("runs"), *[F.round(F.col(c).cast("double"), 4).alias(c) for c in columns])
 

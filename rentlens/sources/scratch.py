@@ -5,9 +5,10 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_folders: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -37,6 +38,22 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written to the shared folder and read back: a cut of the lineage that survives lost executors."""
+    folder = new_folder(df.sparkSession, label)
+    _folders.append(folder)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the tables that ``stored`` wrote in this process; results that still read them must be stored elsewhere first."""
+    n = len(_folders)
+    while _folders:
+        remove_folder(spark, _folders.pop())
+    return n
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rentlens.functions import labels, numeric
 from rentlens.operators import distributions as d
+from rentlens.operators import order_statistics
 from rentlens.operators import profiling
 
 
@@ -118,23 +119,84 @@ def test_sums_keep_small_large_and_missing_values(spark):
     assert mean(1e-9, 3e-9) == pytest.approx(2e-9, rel=1e-12)
 
 
+def test_exact_sums_of_any_size(spark):
+    from fractions import Fraction
+
+    rng = np.random.default_rng(5)
+    values = [*rng.normal(0, 1e12, 300), *rng.normal(0, 1e3, 300).round(2), *(rng.normal(0, 1, 100) * 10.0 ** rng.integers(-9, 19, 100)), -9e9, 9e9, 8_999_999_999.999999, 1e19, -1e19, 0.1]
+    values = [float(v) for v in values]
+    exact = float(sum(map(Fraction, values)))
+    sums = {p: frame(spark, values).repartition(p).agg(numeric.exact_sum("price"), numeric.exact_avg("price")).first() for p in (1, 3, 16)}
+    assert len(set(sums.values())) == 1
+    assert sums[1][0] == pytest.approx(exact, rel=1e-15) and sums[1][1] == pytest.approx(exact / len(values), rel=1e-15)
+    assert frame(spark, [1e19, 0.25, -1e19, 123456789012.5]).agg(numeric.exact_sum("price")).first()[0] == 123456789012.75
+    assert math.isnan(frame(spark, [float("inf"), float("-inf"), 1.0]).agg(numeric.exact_sum("price")).first()[0])
+
+
 @pytest.mark.parametrize(("low", "high"), [(1000.0, 1001.0), (0.0, 0.001), (-1001.0, -1000.0)])
-def test_close_values_spread_over_cells(spark, low, high):
+def test_close_values_spread_over_partitions(spark, low, high):
     n = 200_000
     rows = spark.range(n).select(F.lit("g").alias("city"), (F.lit(low) + F.col("id") * ((high - low) / n)).alias("price"))
-    cells = d.value_counts(rows, "price", ["city"]).groupBy(d._cell("price")).count()
-    assert cells.agg(F.max("count")).first()[0] < 2000
-    row = d.exact_quantiles(rows, "price", {"m": 0.5, "p": 0.9}, ["city"], "lower").first()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = order_statistics.ValueCounts(rows, "price", ["city"])
+        shares = [r["count"] for r in counts.values().groupBy("_part").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(shares) == 4 and max(shares) < 0.4 * n
+    row = counts.summary({"m": 0.5, "p": 0.9}, "lower").first()
     assert row["m"] == pytest.approx(low + (high - low) * (n // 2 - 1) / n, rel=1e-12)
     assert row["p"] == pytest.approx(low + (high - low) * (n * 9 // 10 - 1) / n, rel=1e-12)
 
 
 def test_medians_do_not_depend_on_the_layout(spark):
     rows = spark.range(1_000_000).select(F.lit("g").alias("city"), (F.xxhash64("id") % 10_000_000 / 7.0).alias("price"))
-    found = {d.quartile_stats(rows.repartition(p), "price", ("city",)).first() for p in (1, 4, 16, 64)}
+    found = set()
+    for parts in (1, 4, 16, 64):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        found.add(d.quartile_stats(rows.repartition(parts), "price", ("city",)).first())
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(found) == 1
 
 
+def test_aggregates_and_distinct_counts_beside_quantiles(spark):
+    rng = np.random.default_rng(2)
+    rows = [(str(rng.choice(["a", "b"])), None if rng.random() < 0.1 else float(rng.integers(0, 50)), int(rng.integers(0, 9)) if rng.random() < 0.8 else None) for _ in range(400)]
+    rows += [(None, float("nan"), 3), ("only unknown", None, None), ("only unknown", None, 5)]
+    df = spark.createDataFrame(rows, "city string, price double, host long").repartition(5)
+    measures = [F.count("*").alias("n"), F.max("price").alias("top"), F.collect_set("host").alias("hosts")]
+    got = {r["city"]: r for r in d.with_quantiles(df, ["city"], measures, "price", {"m": 0.5}, method="linear", distinct={"n_hosts": "host", "n_prices": "price"}).collect()}
+    assert set(got) == {"a", "b", None, "only unknown"}
+    for city, row in got.items():
+        mine = [r for r in rows if r[0] == city]
+        known = [r[1] for r in mine if r[1] is not None and r[1] == r[1]]
+        hosts = {r[2] for r in mine} - {None}
+        assert row["n"] == len(mine) and row["n_hosts"] == len(hosts) and set(row["hosts"]) == hosts
+        assert row["m"] == (np.median(known) if known else None)
+        assert row["n_prices"] == len(set(known)) + any(r[1] is not None and r[1] != r[1] for r in mine)
+    whole = d.with_quantiles(df, [], measures, "price", {"m": 0.5}, distinct={"n_hosts": "host"}).first()
+    assert whole["n"] == len(rows) and whole["n_hosts"] == 9
+    assert d.exact_quantiles(df.where("false"), "price", {"m": 0.5}).collect() == []
+
+
+@pytest.mark.parametrize("name", ["q01_top_bottom", "q04_host_type", "q07_top_revenue", "q10_thresholds", "quantile_array", "boxplot_stats", "price_summary"])
+def test_quantile_plans(spark, name):
+    """Value counts are stored from one read of the source; what follows has few exchanges and reads no source."""
+    from rentlens.catalog import ENTRIES
+
+    plan = ENTRIES[name].run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert sum("- Exchange" in line for line in plan) <= 5
+    assert not any("FileScan" in line and "/root/testdata" in line for line in plan)
+
+
+def test_stored_tables_are_removed(spark):
+    from rentlens.sources import scratch
+
+    scratch.clear(spark)
+    d.medians(frame(spark, [1.0, 2.0]), ["city"]).collect()
+    assert scratch.clear(spark) == 1 and scratch.clear(spark) == 0
+
+
 def test_unnamed_groups_are_kept(spark):
     rows = frame(spark, [1.0, 2.0, 3.0, 50.0, 7.0], [None, None, None, None, "x"])
     assert {r["city"] for r in d.boxplot(rows).collect()} == {None, "x"}
