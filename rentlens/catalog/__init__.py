@@ -1,6 +1,6 @@
 """The operators applied to the test tables, each with an independent SQL statement of its result."""
 
-from . import cleaning_entries, market_entries, model_entries, profile_entries  # noqa: F401
+from . import cleaning_entries, market_entries, model_entries, profile_entries, storage_entries  # noqa: F401
 from .registry import ENTRIES, Entry
 
 __all__ = ["ENTRIES", "Entry"]

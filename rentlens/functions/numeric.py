@@ -33,12 +33,16 @@ def exact_sum(c: Column | str) -> Column:
     rounding errors of its own size. Nothing is rounded away and nothing saturates; NaN and infinity stay in the plain part
     and make the sum what Spark's ``sum`` makes it.
     """
-    millionths, rest = _sums(c)
-    return (millionths * F.lit(Decimal("0.000001"))).cast("double") + rest
+    return whole_of(*exact_parts(c))
 
 
-def _sums(c: Column | str) -> tuple[Column, Column]:
-    """Sums of the whole millionths, as a decimal without places, and of the rest.
+def whole_of(millionths: Column | str, rest: Column | str) -> Column:
+    """The sum whose parts ``exact_parts`` gives."""
+    return (as_column(millionths) * F.lit(Decimal("0.000001"))).cast("double") + as_column(rest)
+
+
+def exact_parts(c: Column | str) -> tuple[Column, Column]:
+    """Sums of the whole millionths, as a decimal without places, and of the rest; both add up over parts of the rows.
 
     Rows only add longs and doubles, which stay in generated code; decimals are made once per group. A limb of 2^24 lasts for
     more than 10^11 rows; beyond that the sum of longs raises an error.
@@ -61,7 +65,7 @@ def _sums(c: Column | str) -> tuple[Column, Column]:
 def exact_mean(total: Column | str, n: Column) -> Column:
     """Sum of a value over a count. The whole millionths are divided as a whole number by a whole number, so that a mean
     half-way between two digits stays there."""
-    millionths, rest = _sums(total)
+    millionths, rest = exact_parts(total)
     return F.try_divide(millionths.cast("double"), n.cast("double") * F.lit(1e6)) + F.try_divide(rest, n.cast("double"))
 
 

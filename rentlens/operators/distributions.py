@@ -266,3 +266,14 @@ def quartile_bucket(df: DataFrame, value: str = "price", cap: float | None = Non
 def hash_sample(df: DataFrame, key: str = "id", percent: int = 5, seed: int = 42) -> DataFrame:
     """The same rows on every run: those whose key falls in the sampled buckets."""
     return df.where(numeric.hash_bucket(key, seed=seed) < percent)
+
+
+def exact_sample(df: DataFrame, k: int, by: Sequence[str] = ("city",), key: str = "id", seed: int = 42) -> DataFrame:
+    """min(k, size) rows of each group: those with the smallest hash of their key, the same under any layout.
+
+    Rows of one key count singly, in no order between them. For k up to Spark's limit for partial ranks (1000) every task
+    keeps the first k rows of a group before rows are shuffled, so a group sends at most k rows per task.
+    """
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(f"`{key}`").cast("string")))
+    place = Window.partitionBy(*by).orderBy(digest.asc_nulls_last(), F.col(f"`{key}`"))
+    return df.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= k).drop("_place")
