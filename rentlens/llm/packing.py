@@ -141,26 +141,30 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, items: int = ITEMS) -> D
     maps: list[DataFrame] = []
     closed = CLOSED * capacity // CAPACITY
     bins = placed.groupBy("bin").agg(F.first("fill").alias("length")).where(F.col("length") < closed)
-    bins, level = stored(bins, "bins"), 1
+    level, fullest_half = 1, F.col("length") * 2 > capacity
     while True:
-        open_bins, half = bins.agg(F.count("*"), F.count_if(F.col("length") * 2 <= capacity)).first()
-        emptiest = bins.orderBy("length", "bin").limit(2)
-        if open_bins < 2 or emptiest.agg(F.sum("length")).first()[0] > capacity:
+        open_bins, least, half, next_least = bins.agg(
+            F.count("*"), F.min("length"), F.count_if(~fullest_half), F.min(F.when(fullest_half, F.col("length")))
+        ).first()
+        # A pair that fits has a bin up to half full, and two of those always fit.
+        if open_bins < 2 or half == 0 or (half == 1 and least + next_least > capacity):
             break
         fewer = max(-(-tasks // SHRINK), -(-open_bins // items))
         chosen, rest = bins, None
         if fewer == tasks and tasks > 1:
-            # A pair that fits has a bin up to half full. A task leaves at most one of them, and if such a bin fits with any
-            # other it fits with one of as many next emptier ones.
+            # A task leaves at most one bin up to half full. If such a bin fits with any other, it fits with one of as many
+            # next emptier ones, so these few bins in one task decide.
             chosen, fewer = stored(bins.orderBy("length", "bin").limit(2 * half), "bins"), 1
             rest = bins.join(chosen.select("bin"), "bin", "left_anti")
         else:
             tasks = fewer
-        dealt = chosen.repartition(fewer, F.xxhash64("bin", F.lit(level))).sortWithinPartitions("bin").withColumnRenamed("bin", "item")
+        dealt = chosen.repartition(fewer, F.xxhash64("bin", F.lit(level))) if fewer > 1 else chosen.repartition(1)
+        dealt = dealt.sortWithinPartitions("bin").withColumnRenamed("bin", "item")
         joined = stored(dealt.mapInArrow(_packed(level, capacity), "item long, length long, bin long, at long, fill long"), "packing")
         maps.append(joined.select("item", "bin", "at"))
         bins = joined.groupBy("bin").agg(F.first("fill").alias("length")).where(F.col("length") < closed)
-        bins = stored(bins if rest is None else bins.unionByName(rest), "bins")
+        if rest is not None:
+            bins = stored(bins.unionByName(rest), "bins")
         level += 1
     for up in maps:
         placed = placed.join(up.select(F.col("item").alias("sequence_id"), F.col("bin").alias("outer"), "at"), "sequence_id", "left")
