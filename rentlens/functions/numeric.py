@@ -65,7 +65,11 @@ def exact_parts(c: Column | str) -> tuple[Column, Column]:
 def exact_mean(total: Column | str, n: Column) -> Column:
     """Sum of a value over a count. The whole millionths are divided as a whole number by a whole number, so that a mean
     half-way between two digits stays there."""
-    millionths, rest = exact_parts(total)
+    return mean_of(*exact_parts(total), n)
+
+
+def mean_of(millionths: Column, rest: Column, n: Column) -> Column:
+    """The mean whose sum is in the parts that ``exact_parts`` gives."""
     return F.try_divide(millionths.cast("double"), n.cast("double") * F.lit(1e6)) + F.try_divide(rest, n.cast("double"))
 
 
@@ -100,7 +104,11 @@ def cyclic(c: Column | str, period: float = 12.0) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
-def hash_bucket(*columns: Column | str, buckets: int = 100, seed: int = 42) -> Column:
-    """Bucket of a key, from an MD5 digest so that every engine and every layout agrees on it."""
-    text = F.concat_ws(":", F.lit(str(seed)), *[as_column(c).cast("string") for c in columns])
-    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
+def digest(*columns: Column | str, seed: int = 42) -> Column:
+    """MD5 digest of a seed and a key, on which every engine and every layout agrees."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[as_column(c).cast("string") for c in columns]))
+
+
+def hash_bucket(*columns: Column | str, buckets: Column | int = 100, seed: int = 42) -> Column:
+    """Bucket of a key, from the start of its digest."""
+    return F.pmod(F.conv(F.substring(digest(*columns, seed=seed), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))

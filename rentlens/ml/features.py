@@ -6,14 +6,14 @@ from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels, numeric
 from ..operators.distributions import exact_quantiles
 from ..operators.occupancy import LISTING, listing_months
 from ..sources import tables
-from ..sources.scratch import new_folder, remove_folder
+from ..sources.scratch import new_folder, remove_folder, stored
 
 # Feature names, defaults and leak lists that a trained model depends on.
 NUMERIC = (
@@ -178,13 +178,90 @@ def fit_target_encoding(
     return TargetEncoding(groups, defaults, group, mean_name, count_name)
 
 
+def fold_of(key: str | Sequence[str], folds: int, seed: int = 17) -> Column:
+    """Fold of a row by its key, from 0; rows of one key share a fold, under any layout."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return numeric.hash_bucket(*keys, buckets=folds, seed=seed).cast("int")
+
+
+@dataclass(frozen=True)
+class FoldEncoding:
+    """The encoding for the training rows themselves: the mean log target of a group over the other folds.
+
+    A row's own target, and that of its key's other rows, takes no part in its mean, so a model cannot read the label off a
+    small group. A group without targets in the other folds, and the NULL group, take the mean of all rows of the other
+    folds. Sizes of groups say nothing of the target and are those of all rows. New rows are encoded by
+    ``fit_target_encoding``.
+    """
+
+    folds: int = 5
+    group: str = "neighbourhood"
+    target: str = "price"
+    key: str = "id"
+    mean_name: str = "neighbourhood_mean_log_price"
+    count_name: str = "neighbourhood_listing_count"
+    seed: int = 17
+
+    def __post_init__(self):
+        if self.folds < 2:
+            raise ValueError(f"a row needs another fold: folds is {self.folds}")
+
+    def sums(self, df: DataFrame) -> DataFrame:
+        """One row per group and fold, the only reduction of the rows."""
+        log_target = F.log1p(self.target)
+        millionths, rest = numeric.exact_parts(log_target)
+        return df.groupBy(self.group, fold_of(self.key, self.folds, self.seed).alias("_fold")).agg(
+            millionths.alias("_whole"),
+            F.coalesce(rest, F.lit(0.0)).alias("_rest"),
+            F.count(log_target).alias("_n"),
+            F.count(self.key).alias("_keys"),
+            F.count("*").alias("_rows"),
+        )
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Add the encoding to the rows it is learned from; rows are kept. The means are learned and stored when this is
+        called (``scratch.clear`` removes them), so what follows are joins of two small tables."""
+        parts, names = stored(self.sums(df), "fold-sums"), ("_whole", "_rest", "_n")
+        group = Window.partitionBy(self.group)
+        groups = parts.select(
+            self.group,
+            "_fold",
+            "_rows",
+            numeric.mean_of(*[F.sum(c).over(group) - F.col(c) for c in names]).alias(self.mean_name),
+            F.sum("_keys").over(group).cast("double").alias(self.count_name),
+            (F.col("_fold") == F.min("_fold").over(group)).alias("_first"),
+        )
+        by_fold = parts.groupBy("_fold").agg(*[F.sum(c).alias(c) for c in names])
+        whole = by_fold.agg(F.struct(*[F.sum(c).alias(c) for c in names])).scalar()
+        size = groups.agg(numeric.ratio(F.sum("_rows"), F.count_if("_first"))).scalar()
+        mean = numeric.mean_of(*[whole[c] - F.col(c) for c in names])
+        others = stored(by_fold.select("_fold", mean.alias("_mean"), size.alias("_size")), "fold-means")
+        kept = df.drop(self.mean_name, self.count_name)
+        known = stored(groups.select(self.group, "_fold", self.mean_name, self.count_name), "group-means")
+        marked = kept.withColumn("_fold", fold_of(self.key, self.folds, self.seed))
+        return (
+            marked.join(known, [self.group, "_fold"], "left")
+            .join(others, "_fold", "left")
+            .select(
+                *[f"`{c}`" for c in kept.columns],
+                F.coalesce(self.mean_name, "_mean").alias(self.mean_name),
+                F.when(F.col(self.group).isNull(), F.col("_size")).otherwise(F.col(self.count_name)).alias(self.count_name),
+            )
+        )
+
+
 def activity_ratio(recent: str = "number_of_reviews_ltm", total: str = "number_of_reviews") -> Column:
     return F.col(recent) / (F.col(total) + F.lit(1.0))
 
 
-def engineer(df: DataFrame, encoding: TargetEncoding, capacity: float = 365.0) -> DataFrame:
+def engineer(df: DataFrame, encoding: TargetEncoding | FoldEncoding, capacity: float = 365.0) -> DataFrame:
     """Add all derived features."""
-    derived = df.withColumns(
+    return encoding.apply(derived(df, capacity))
+
+
+def derived(df: DataFrame, capacity: float = 365.0) -> DataFrame:
+    """Add the derived features that are learned from no other row."""
+    return df.withColumns(
         {
             "occupancy_rate": numeric.occupancy("availability_365", capacity),
             "log_reviews": F.log1p("number_of_reviews"),
@@ -193,7 +270,6 @@ def engineer(df: DataFrame, encoding: TargetEncoding, capacity: float = 365.0) -
             "min_nights_cat": labels.nights_bucket("minimum_nights"),
         }
     )
-    return encoding.apply(derived)
 
 
 def model_columns(
@@ -225,7 +301,7 @@ def select_and_fill(
 
 def model_input(
     df: DataFrame,
-    encoding: TargetEncoding,
+    encoding: TargetEncoding | FoldEncoding,
     leaks: Iterable[str] = (),
     extra_numeric: Iterable[str] = (),
     carried: Sequence[str] = CARRIED,

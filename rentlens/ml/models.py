@@ -127,9 +127,15 @@ def _sized(metrics: DataFrame, name: str, train: DataFrame, test: DataFrame) ->
 
 
 def train_price(
-    listings: DataFrame, algo: str = "gbt", changes: Mapping | None = None, key: str = "id", sample: int | None = None
+    listings: DataFrame,
+    algo: str = "gbt",
+    changes: Mapping | None = None,
+    key: str = "id",
+    sample: int | None = None,
+    folds: int | None = None,
 ) -> Trained:
-    """Model of the log price. ``sample`` keeps that percentage of the listings, chosen by key.
+    """Model of the log price. ``sample`` keeps that percentage of the listings, chosen by key. With ``folds``, training rows
+    are encoded by the targets of the other folds; test rows and scoring use the encoding of all training rows either way.
 
     The price cap is one number that every later plan filters by, so it is settled once and reaches the
     scans as a literal.
@@ -139,10 +145,10 @@ def train_price(
     train_rows, test_rows = features.split(features.within_cap(listings, cap=cap), key)
     encoding = features.fit_target_encoding(train_rows, key=key).stored()
 
-    def prepared(rows: DataFrame) -> DataFrame:
-        return features.model_input(rows, encoding, carried=(key, *features.CARRIED)).withColumn("label", F.log1p("price"))
+    def prepared(rows: DataFrame, by=encoding) -> DataFrame:
+        return features.model_input(rows, by, carried=(key, *features.CARRIED)).withColumn("label", F.log1p("price"))
 
-    train = prepared(train_rows)
+    train = prepared(train_rows, features.FoldEncoding(folds, key=key) if folds else encoding)
     numbers, categories = features.model_columns(train)
     model = fit(train, _estimator(PRICE_MODELS, algo, changes), numbers, categories, key)
     predictions = model.transform(prepared(test_rows)).withColumn("prediction_price", F.expm1("prediction"))

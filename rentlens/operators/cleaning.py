@@ -2,10 +2,11 @@
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels, numeric, parsing
+from ..sources.tables import MALFORMED
 
 # Source columns by the type that cleaning gives them.
 SUMMARY_NUMBERS = (
@@ -41,6 +42,34 @@ def replace_present(df: DataFrame, changes: Mapping[str, Column]) -> DataFrame:
     return df.withColumns({c: e for c, e in changes.items() if c in df.columns})
 
 
+def read_columns(df: DataFrame, readings: Mapping[str, Column], account: Observation | None = None) -> DataFrame:
+    """Replace the columns that exist by what is read from them; lines kept for being malformed are dropped as a column.
+
+    ``account`` counts on the way, in the pass that the first action over the result makes: rows, malformed lines, and for each
+    column the texts that are missing or blank and those that say something but cannot be read. It sees all rows that come
+    in, those that later steps remove included.
+    """
+    present = {c: e for c, e in readings.items() if c in df.columns}
+    if account is not None:
+        text = {c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) for c in present}
+        df = df.observe(
+            account,
+            F.count("*").alias("rows"),
+            (F.count(MALFORMED) if MALFORMED in df.columns else F.lit(0).cast("bigint")).alias("malformed"),
+            *[F.count_if(t == "").alias(f"missing {c}") for c, t in text.items()],
+            *[F.count_if((t != "") & present[c].isNull()).alias(f"unreadable {c}") for c, t in text.items()],
+        )
+    return df.drop(MALFORMED).withColumns(present)
+
+
+def account_rows(spark: SparkSession, account: Observation) -> DataFrame:
+    """What was counted, a row per column; waits for the action that counts."""
+    counts = account.get
+    columns = [c.removeprefix("missing ") for c in counts if c.startswith("missing ")]
+    rows = [(c, counts["rows"], counts["malformed"], counts[f"missing {c}"], counts[f"unreadable {c}"]) for c in columns]
+    return spark.createDataFrame(rows, "column string, n_rows bigint, n_malformed bigint, n_missing bigint, n_unreadable bigint")
+
+
 def cast_columns(df: DataFrame, columns: Iterable[str], dtype: str = "double") -> DataFrame:
     return replace_present(df, {c: parsing.number(c, dtype) for c in columns})
 
@@ -134,14 +163,16 @@ def clean_listings(
     capacity: float = YEAR_DAYS,
     threshold: float = HIGH_OCCUPANCY,
     multi_above: float = 1,
+    account: Observation | None = None,
 ) -> DataFrame:
-    out = replace_present(
+    out = read_columns(
         df,
         {
             **{c: parsing.number(c) for c in SUMMARY_NUMBERS},
             "price": parsing.money("price"),
             "last_review": parsing.iso_date("last_review"),
         },
+        account,
     )
     out = fill_defaults(out, {"reviews_per_month": 0.0})
     if detailed is not None:
@@ -156,9 +187,9 @@ def clean_listings(
     return out
 
 
-def clean_calendar(df: DataFrame) -> DataFrame:
+def clean_calendar(df: DataFrame, account: Observation | None = None) -> DataFrame:
     """The raw price is never filled in the source and is dropped."""
-    out = replace_present(
+    out = read_columns(
         df.drop("price"),
         {
             "date": parsing.iso_date("date"),
@@ -167,14 +198,15 @@ def clean_calendar(df: DataFrame) -> DataFrame:
             "minimum_nights": parsing.number("minimum_nights", "int"),
             "maximum_nights": parsing.number("maximum_nights", "int"),
         },
+        account,
     )
     return out.withColumns(parsing.date_parts("date"))
 
 
-def clean_reviews(df: DataFrame) -> DataFrame:
+def clean_reviews(df: DataFrame, account: Observation | None = None) -> DataFrame:
     """One review per listing, day and, where the source names one, reviewer."""
     parts = parsing.date_parts("date")
-    dated = df.withColumn("date", parsing.iso_date("date"))
+    dated = read_columns(df, {"date": parsing.iso_date("date")}, account)
     kept = dedupe(dated, ["listing_id", "reviewer_id", "date"])
     return kept.withColumns({"year": parts["year"], "month": parts["month"]})
 

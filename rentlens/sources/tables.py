@@ -5,9 +5,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The dialect of the published files (quotes doubled inside quoted fields).
 CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "inferSchema": False}
+# Column that keeps a line with too few or too many fields.
+MALFORMED = "_malformed"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -26,19 +29,27 @@ def find_csv(spark: SparkSession, folder: str, dataset: str) -> str:
     raise FileNotFoundError(f"no {dataset}.csv or {dataset}.csv.gz in {folder}")
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Every column as text; cleaning gives the types.
+def read_csv(spark: SparkSession, path: str, multiline: bool = True, keep_malformed: bool = False) -> DataFrame:
+    """Every column as text; cleaning gives the types. With ``keep_malformed`` a line with too few or too many fields is also
+    kept as it is, in a column of its own; its fields are filled from the left either way.
 
     Quoted line breaks need ``multiline``, which reads each file in one task. Without them large plain
     files are split among tasks. The path may also be a folder of part files.
     """
-    return spark.read.options(**CSV_DIALECT, multiLine=multiline).csv(path)
+    options = {**CSV_DIALECT, "multiLine": multiline}
+    if not keep_malformed:
+        return spark.read.options(**options).csv(path)
+    # Only the first line is read for the names.
+    names = [*spark.read.options(**options).csv(path).columns, MALFORMED]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return spark.read.options(**options, columnNameOfCorruptRecord=MALFORMED).schema(schema).csv(path)
 
 
 def read_city_csv(
-    spark: SparkSession, folder: str, dataset: str, city: str, multiline: bool = True
+    spark: SparkSession, folder: str, dataset: str, city: str, multiline: bool = True, keep_malformed: bool = False
 ) -> DataFrame:
-    return read_csv(spark, find_csv(spark, folder, dataset), multiline).withColumn("city", F.lit(city))
+    rows = read_csv(spark, find_csv(spark, folder, dataset), multiline, keep_malformed)
+    return rows.withColumn("city", F.lit(city))
 
 
 def select_available(df: DataFrame, wanted: Iterable[str]) -> DataFrame:

@@ -2,7 +2,11 @@
 
 import datetime as dt
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from rentlens.operators import cleaning
+from rentlens.sources import tables
 
 
 def strings(spark, rows, columns):
@@ -133,3 +137,28 @@ def test_enrich_keeps_the_row_that_knows_the_price(spark):
 def test_nan_is_no_price(spark):
     rows = spark.createDataFrame([(float("nan"),), (1.0,), (None,)], "price double")
     assert [r[0] for r in cleaning.positive_only(rows).collect()] == [1.0]
+
+
+def test_account_counts_what_is_lost_in_the_same_pass(spark, tmp_path):
+    folder = tmp_path / "porto"
+    folder.mkdir()
+    lines = ["id,price,minimum_nights,last_review,name", "1,$10,2,2024-01-01,a", "2,abc,,2024-13-01,b", "3,,x, ,c", "4,-5,3,2024-01-02", "1,$10,2,2024-01-01,a", "5,$7,1,2024-01-03,d,more", '6,"$1,000",n/a,,e']
+    (folder / "listings.csv").write_text("\n".join(lines) + "\n")
+    raw = tables.read_city_csv(spark, str(folder), "listings", "porto", keep_malformed=True)
+    assert [r[0] for r in raw.where(f"{tables.MALFORMED} is not null").select(tables.MALFORMED).collect()] == ["4,-5,3,2024-01-02", "5,$7,1,2024-01-03,d,more"]
+    account = Observation("seen")
+    cleaned = cleaning.clean_listings(raw, account=account)
+    assert cleaned._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and tables.MALFORMED not in cleaned.columns
+    cleaned.write.format("noop").mode("overwrite").save()
+    got = {r.column: tuple(r)[1:] for r in cleaning.account_rows(spark, account).collect()}
+    assert got == {"price": (7, 2, 1, 1), "minimum_nights": (7, 2, 1, 2), "last_review": (7, 2, 2, 1)}
+    plain = tables.read_city_csv(spark, str(folder), "listings", "porto")
+    assert sorted(map(tuple, cleaning.clean_listings(plain).collect())) == sorted(map(tuple, cleaned.collect()))
+    assert cleaned.count() == 3
+
+
+def test_account_of_no_rows(spark):
+    account = Observation("none")
+    df = cleaning.read_columns(strings(spark, [], ["id", "price"]), {"price": F.col("price").try_cast("double")}, account)
+    assert df.collect() == []
+    assert [tuple(r) for r in cleaning.account_rows(spark, account).collect()] == [("price", 0, 0, 0, 0)]

@@ -94,6 +94,20 @@ def test_command_line(spark, root):
         cli.main([*place, "workload", "other"])
 
 
+def test_account_beside_the_cleaned_tables(spark, root, tmp_path):
+    """Every listing of Lisbon lacks nothing, so the account is of the day rows, which name no price."""
+    raw, interim, processed = str(root / "raw"), str(tmp_path / "interim"), str(tmp_path / "processed")
+    ingestion.ingest(spark, raw, interim, CITIES, keep_malformed=True)
+    ingestion.clean(spark, interim, processed, raw, CITIES, account=True)
+    for name in ingestion.DATASETS:
+        mine, plain = (tables.read_table(spark, f"{p}/{name}") for p in (processed, str(root / "processed")))
+        assert sorted(map(str, mine.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+        assert set(mine.columns) == set(plain.columns)
+    counts = {(r.dataset, r.column): r for r in tables.read_table(spark, f"{processed}/account").collect()}
+    assert counts["listings", "price"].n_rows == 80 and counts["calendar", "adjusted_price"].n_missing == 480
+    assert {r.n_unreadable for r in counts.values()} == {0} and counts["reviews", "date"].n_rows == 82
+
+
 def test_missing_files_are_named(spark, root):
     with pytest.raises(FileNotFoundError, match="absent"):
         tables.find_csv(spark, str(root / "raw" / "Porto"), "absent")
