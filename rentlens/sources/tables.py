@@ -31,7 +31,8 @@ def find_csv(spark: SparkSession, folder: str, dataset: str) -> str:
 
 def read_csv(spark: SparkSession, path: str, multiline: bool = True, keep_malformed: bool = False) -> DataFrame:
     """Every column as text; cleaning gives the types. With ``keep_malformed`` a line with too few or too many fields is also
-    kept as it is, in a column of its own; its fields are filled from the left either way.
+    kept as it is, in a column of its own; its fields are filled from the left either way. Spark refuses queries of a raw file
+    that need that column alone: store the rows first.
 
     Quoted line breaks need ``multiline``, which reads each file in one task. Without them large plain
     files are split among tasks. The path may also be a folder of part files.
