@@ -16,12 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import id_and_text, whole_text
+from .frames import whole_text
+from .samples import drawn, gathered, once
 from .textblocks import LOWER, U64, blocks, text_bytes
 
 FEATURES = 4096
 ORDERS = (2, 3)
-PER_LANGUAGE = 800  # training rows per language: a bounded sample, drawn by a hash of the key
+PER_LANGUAGE = 800  # training rows per language at most: a bounded sample, drawn by a hash of key and text
+SAMPLE = 8000  # training rows of all languages at most
+LANGUAGES = 256  # languages that are learned at most, those with the most rows
 STEPS = 120
 CLOSE = 0.1  # loss margin, as a share of the second best loss, under which a text is ambiguous
 UNKNOWN = "und"
@@ -117,31 +120,33 @@ def trained(features: np.ndarray, languages: list[str]) -> LanguageModel:
     return LanguageModel(names, codes, weights, bias, np.maximum(right - 0.5, 0.01).astype(np.float32))
 
 
-def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _feature_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Features in sparse form, so that the bounded sample stays small."""
-    for batch in batches:
-        body, offsets = text_bytes(batch.column("text"))
-        out = []
-        for i, j in blocks(offsets, most=TEXTS):
-            for row in ngram_features(body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]):
-                at = np.flatnonzero(row)
-                out.append(at.astype("<u2").tobytes() + row[at].astype("<f2").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(out, pa.binary())], ["doc_id", "lang", "features"])
+    body, offsets = text_bytes(batch.column("text"))
+    out = []
+    for i, j in blocks(offsets, most=TEXTS):
+        for row in ngram_features(body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]):
+            at = np.flatnonzero(row)
+            out.append(at.astype("<u2").tobytes() + row[at].astype("<f2").tobytes())
+    return pa.RecordBatch.from_arrays([batch.column("lot"), batch.column("lang"), pa.array(out, pa.binary())], ["lot", "lang", "features"])
 
 
-def fit_languages(rows: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
-    """Learn from rows (doc_id, text, lang): about ``per_language`` whole texts of each language, all if it has fewer.
+def fit_languages(rows: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> LanguageModel:
+    """Learn from rows (doc_id, text, lang): at most ``per_language`` whole texts of a language and ``sample`` of all.
 
-    Rows without language, key or text do not teach. The counts of all languages decide the shares of the sample.
+    Rows without language, key or text do not teach, nor do texts over ``samples.LONGEST`` bytes. Rows equal in language,
+    key and text teach once. Of more than ``LANGUAGES`` languages the rarest are not learned. A language that is named
+    ``und`` is learned like others, but a prediction of it has score 0.
     """
     known = rows.where("lang is not null and doc_id is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return LanguageModel([], codewords(0), np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), np.ones(0, np.float32))
-    share = known.sparkSession.createDataFrame([(k, min(1.0, per_language / n)) for k, n in counts.items()], "lang string, share double")
-    lot = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = known.join(F.broadcast(share), "lang").where(lot < F.col("share"))
-    found = sample.select("doc_id", "lang", "text").mapInArrow(_feature_rows, "doc_id long, lang string, features binary").toArrow().sort_by([("doc_id", "ascending"), ("features", "ascending")])
+    most = max(1, min(per_language, sample // len(counts)))
+    learned = known.where(F.col("lang").isin(*counts))
+    found = gathered(drawn(learned, "lang", most, seed=3).mapInArrow(once(_feature_rows), "lot long, lang string, features binary"))
+    if not found.num_rows:
+        return fit_languages(known.where("false"))
     features = np.zeros((found.num_rows, FEATURES), np.float32)
     for k, data in enumerate(found.column("features").to_pylist()):
         n = len(data) // 4

@@ -12,7 +12,8 @@ from rentlens.llm import language_id
 from rentlens.llm.entries import QUERIES, SQL
 from rentlens.llm.language_id import codewords, ngram_features, predict_languages, trained
 from rentlens.llm.textblocks import joined
-from rentlens.llm.toxicity import Net, best_threshold, fit_toxicity, score_toxicity, word_slots
+from rentlens.llm.samples import drawn, gathered, once
+from rentlens.llm.toxicity import FILTERS, SPANS, Net, best_threshold, fit_toxicity, gradients, score_toxicity, word_slots
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -37,6 +38,127 @@ def test_error_correction():
     assert right(language_id.LanguageModel(model.languages, model.codes, weights, model.bias, model.trust)) == 1
 
 
+ODD_TEXTS = ["", "a", "Ab", "Grüße, WELT  x", "日本語 test", "zz " * 40, "one\ntwo THREE"]
+
+
+def test_ngram_features_by_force():
+    """Byte n-grams of the lower-cased text with one space on both sides; each is a slot of a multiplicative hash."""
+    got = ngram_features(*joined([t.encode() for t in ODD_TEXTS]))
+    for k, text in enumerate(ODD_TEXTS):
+        data = b" " + bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode()) + b" "
+        counts = Counter()
+        for at in range(1, len(data) - 1):
+            for order in (2, 3):
+                code = order
+                for b in data[at - 1 : at - 1 + order]:
+                    code = code * 257 + b
+                counts[(code * 0x9E3779B97F4A7C15 % 2**64) >> 52] += 1
+        total = sum(counts.values())
+        want = np.zeros(language_id.FEATURES)
+        for slot, n in counts.items():
+            want[slot] = (n / total) ** 0.5
+        assert np.allclose(got[k], want, atol=1e-6)
+
+
+def test_margins_and_decoding_by_force():
+    rng = np.random.default_rng(3)
+    for n in (2, 4, 7):
+        codes = codewords(n)
+        bits = codes.shape[1]
+        model = language_id.LanguageModel([f"l{k}" for k in range(n)], codes, rng.normal(size=(language_id.FEATURES, bits)).astype(np.float32), rng.normal(size=bits).astype(np.float32), rng.uniform(0.01, 0.5, bits).astype(np.float32))
+        features = ngram_features(*joined([t.encode() for t in ODD_TEXTS]))
+        best, score, unsure = model.decide(features)
+        for t in range(len(ODD_TEXTS)):
+            margin = [sum(float(features[t, i]) * float(model.weights[i, b]) for i in np.flatnonzero(features[t])) + float(model.bias[b]) for b in range(bits)]
+            loss = [sum(float(model.trust[b]) * np.log1p(np.exp(-margin[b] * codes[k, b])) for b in range(bits)) / float(model.trust.sum()) for k in range(n)]
+            assert np.allclose(model.losses(features[t : t + 1])[0], loss, rtol=1e-4)
+            low = sorted(loss)
+            assert best[t] == loss.index(low[0]) and abs(score[t] - 1 / sum(np.exp(-4 * (x - low[0])) for x in loss)) < 1e-3
+            assert abs(low[1] - low[0] - language_id.CLOSE * low[1]) < 1e-4 or unsure[t] == (low[1] - low[0] < language_id.CLOSE * low[1])
+
+
+def test_bits_learn_their_splits():
+    rng = random.Random(8)
+    made = [("".join(rng.choice(a) for _ in range(120)), name) for name, a in (("x", "abcd "), ("y", "efgh "), ("z", "ijkl ")) for _ in range(20)]
+    features = ngram_features(*joined([t.encode() for t, _ in made]))
+    model = trained(features, [n for _, n in made])
+    want = model.codes[[model.languages.index(n) for _, n in made]]
+    assert ((features @ model.weights + model.bias) * want > 0).all() and np.allclose(model.trust, 0.5)
+
+
+def random_net(seed: int) -> Net:
+    rng = np.random.default_rng(seed)
+    return Net(
+        rng.normal(0, 0.5, (3, 1 << 17, 6)).astype(np.float32), [rng.normal(0, 0.3, (6 * s, FILTERS)).astype(np.float32) for s in SPANS], [rng.normal(0, 0.2, FILTERS).astype(np.float32) for _ in SPANS],
+        rng.normal(size=len(SPANS) * FILTERS).astype(np.float32), np.array([0.3], np.float32),
+    )
+
+
+def pooled_by_force(net: Net, slots: np.ndarray) -> list[float]:
+    """Each filter over each run of words that touches the text, words outside it being zero; the largest response, 0 at least."""
+    words = [sum(net.tables[k][s[k]].astype(float) for k in range(3)) for s in slots]
+    zero = [np.zeros(6)] * max(SPANS)
+    out = []
+    for k, span in enumerate(SPANS):
+        padded = zero[: span - 1] + words + zero
+        for f in range(FILTERS):
+            filter_ = net.filters[k][:, f].astype(float)
+            runs = [np.concatenate(padded[i : i + span]) @ filter_ + float(net.filter_bias[k][f]) for i in range(len(words) + span)]
+            out.append(max(0.0, *runs))
+    return out
+
+
+def test_pooled_responses_by_force():
+    net = random_net(1)
+    texts = [b"one two three four", b"", b"x", b"alpha beta gamma delta epsilon zeta eta", b"12 34"]
+    slots, at = word_slots(*joined(texts))
+    got = net.pooled(slots, at)[0]
+    for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
+        assert np.allclose(got[k], pooled_by_force(net, slots[a:b]), atol=1e-4)
+
+
+def test_gradients_by_differences():
+    net = random_net(2)
+    slots, at = word_slots(*joined([b"one two three four", b"", b"five", b"six seven eight nine ten eleven"]))
+    pull = np.array([0.7, -0.2, 0.4, -1.1], np.float32)
+    total = lambda: float(sum(p * (np.dot(pooled_by_force(net, slots[a:b]), net.head.astype(float)) + float(net.bias[0])) for p, a, b in zip(pull.tolist(), at[:-1], at[1:], strict=True)))
+    dense, words = gradients(net, slots, at, pull)
+    rng = random.Random(4)
+
+    def by_differences(values: np.ndarray, place: tuple[int, ...]) -> float:
+        kept, sides = values[place], []
+        for step in (1e-3, -1e-3):
+            values[place] = kept + np.float32(step)
+            sides.append((total(), float(values[place])))
+        values[place] = kept
+        return (sides[0][0] - sides[1][0]) / (sides[0][1] - sides[1][1])
+
+    for values, slope in zip([*net.filters, *net.filter_bias, net.head, net.bias], dense, strict=True):
+        for _ in range(4):
+            place = tuple(rng.randrange(n) for n in values.shape)
+            assert abs(by_differences(values, place) - slope[place]) < 5e-3
+    for word in range(len(slots)):
+        for d in range(6):
+            want = words[word][d] if word in words else 0.0
+            assert abs(by_differences(net.tables, (0, int(slots[word, 0]), d)) - want) < 5e-3
+
+
+def test_samples_are_bounded(spark):
+    """A key of a third of the rows, copies of a text, long texts and ties: bounded in rows and bytes, alike under any layout."""
+    rows = [(k, f"text {k}", "a") for k in range(200)] + [(7, f"other {k}", "a") for k in range(100)] + [(3, "text 3", "a")] * 100 + [(k, "x" * 50 * k, "b") for k in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    keep = once(lambda batch: batch.select(["lot", "doc_id", "lang", "text"]))
+    got = []
+    for parts in (1, 7):
+        sample = drawn(frame.repartition(parts), "lang", 50, seed=1, group_bytes=2000, longest=600)
+        got.append(gathered(sample.mapInArrow(keep, "lot long, doc_id long, lang string, text string")).to_pylist())
+    assert got[0] == got[1]
+    of = {name: [r for r in got[0] if r["lang"] == name] for name in "ab"}
+    assert len(of["a"]) == 50 and 0 < len(of["b"]) <= 13
+    assert all(sum(len(r["text"]) for r in rows) <= 2000 for rows in of.values()) and max(len(r["text"]) for r in got[0]) <= 600
+    assert len({(r["doc_id"], r["text"]) for r in got[0]}) == len(got[0])
+
+
 def test_languages_held_out(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     truth = {r.doc_id: r.lang for r in docs.collect()}
