@@ -144,7 +144,7 @@ def fit_languages(rows: DataFrame, per_language: int = PER_LANGUAGE, sample: int
         return LanguageModel([], codewords(0), np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), np.ones(0, np.float32))
     most = max(1, min(per_language, sample // len(counts)))
     learned = known.where(F.col("lang").isin(*counts))
-    found = gathered(drawn(learned, "lang", most, seed=3).mapInArrow(once(_feature_rows), "lot long, lang string, features binary"))
+    found = gathered(drawn(learned, "lang", most, seed=3).mapInArrow(once(_feature_rows), "lot long, lang string, features binary")).sort_by("lot")
     if not found.num_rows:
         return fit_languages(known.where("false"))
     features = np.zeros((found.num_rows, FEATURES), np.float32)
