@@ -24,6 +24,7 @@ FEATURES = 4096
 ORDERS = (2, 3)
 PER_LANGUAGE = 800  # training rows per language at most: a bounded sample, drawn by a hash of key and text
 SAMPLE = 8000  # training rows of all languages at most
+SPARE = 8  # times the rows wanted that take part in the draw; only where more of a language are copies, fewer teach
 LANGUAGES = 256  # languages that are learned at most, those with the most rows
 STEPS = 120
 CLOSE = 0.1  # loss margin, as a share of the second best loss, under which a text is ambiguous
@@ -144,7 +145,8 @@ def fit_languages(rows: DataFrame, per_language: int = PER_LANGUAGE, sample: int
         return LanguageModel([], codewords(0), np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), np.ones(0, np.float32))
     most = max(1, min(per_language, sample // len(counts)))
     learned = known.where(F.col("lang").isin(*counts))
-    found = gathered(drawn(learned, "lang", most, seed=3).mapInArrow(once(_feature_rows), "lot long, lang string, features binary")).sort_by("lot")
+    share = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, SPARE * most / n))])[F.col("lang")]
+    found = gathered(drawn(learned, "lang", most, seed=3, share=share).mapInArrow(once(_feature_rows), "lot long, lang string, features binary")).sort_by("lot")
     if not found.num_rows:
         return fit_languages(known.where("false"))
     features = np.zeros((found.num_rows, FEATURES), np.float32)

@@ -20,13 +20,16 @@ GROUP_BYTES = 32 << 20  # text of the sample per group, at most
 LONGEST = 1 << 20  # a longer text does not teach; it is judged in full all the same
 
 
-def drawn(rows: DataFrame, group: str, most: int | Column, seed: int, group_bytes: int = GROUP_BYTES, longest: int = LONGEST) -> DataFrame:
+def drawn(rows: DataFrame, group: str, most: int | Column, seed: int, group_bytes: int = GROUP_BYTES, longest: int = LONGEST, share: Column | None = None) -> DataFrame:
     """The rows of the sample with their ``lot``; rows equal in group, key and text are one draw and all still there.
 
     ``rows`` has ``doc_id``, ``text`` without nulls and the group; ``most`` bounds the rows of a group, ``group_bytes`` their
-    bytes of text. The lowest lots are drawn, so any layout and any repetition of rows gives the same sample.
+    bytes of text. ``share`` of all possible lots, the lowest, take part: with a few times ``most`` over the rows of the group,
+    the rows that are ordered grow with the sample and not with the table. The lowest lots are drawn, so any layout and any repetition of rows gives the same sample.
     """
     marked = rows.withColumn("lot", F.xxhash64(F.lit(seed), group, "doc_id", "text"))
+    if share is not None:
+        marked = marked.where(F.col("lot").cast("double") <= share * float(1 << 64) - float(1 << 63))
     small = marked.where(F.octet_length("text") <= longest).groupBy(group, "lot").agg(F.max(F.octet_length("text")).cast("long").alias("_bytes"))
     order = Window.partitionBy(group).orderBy("lot")
     first = small.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= most)
