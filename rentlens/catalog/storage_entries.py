@@ -14,9 +14,11 @@ BUCKETS = 8
 
 
 def bucketed_market(t):
-    """Calendar and listings in equally many buckets of the listing."""
-    days = bucketed.write_bucketed(roles.calendar(t), "listing_id", BUCKETS)
-    homes = bucketed.write_bucketed(roles.listings(t).select("id", "city", "neighbourhood", "price"), "id", BUCKETS)
+    """Calendar and listings in equally many buckets of the listing, more where there are more rows. An order has one customer,
+    so there are no more listings than orders."""
+    buckets = bucketed.buckets_for_rows(t["lineitem"], t["orders"], at_least=BUCKETS)
+    days = bucketed.write_bucketed(roles.calendar(t), "listing_id", buckets)
+    homes = bucketed.write_bucketed(roles.listings(t).select("id", "city", "neighbourhood", "price"), "id", buckets)
     return bucketed.read_bucketed(t.spark, days), bucketed.read_bucketed(t.spark, homes)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .scratch import new_folder
 
 BUCKET_BYTES = 256 << 20
+BUCKET_ROWS = 500_000
 
 
 def buckets_for(n_bytes: int, bucket_bytes: int = BUCKET_BYTES, at_least: int = 1) -> int:
@@ -20,6 +21,12 @@ def buckets_for(n_bytes: int, bucket_bytes: int = BUCKET_BYTES, at_least: int =
     return max(at_least, -(-n_bytes // bucket_bytes))
 
 
+def buckets_for_rows(*tables: DataFrame, bucket_rows: int = BUCKET_ROWS, at_least: int = 1) -> int:
+    """The same by rows, for tables whose bytes are not known: enough for the longest of those that are joined, so that what a
+    task sorts does not grow with the table."""
+    return max(at_least, *[-(-t.count() // bucket_rows) for t in tables])
+
+
 def write_bucketed(df: DataFrame, key: str, buckets: int, sort_by: Sequence[str] = (), path: str | None = None, name: str | None = None) -> str:
     """Store a table in buckets of a key; returns its name in the catalogue.
 

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from rentlens.catalog import roles
+from rentlens.catalog import roles, storage_entries
 from rentlens.catalog.registry import Tables
 from rentlens.functions import bitmaps, numeric
 from rentlens.operators import distributions, occupancy
@@ -136,3 +136,16 @@ def test_sample_of_exact_size(spark):
     plan = plan_of(distributions.exact_sample(df, 100)).splitlines()
     at = [i for i, line in enumerate(plan) if "Exchange" in line][0]
     assert any("WindowGroupLimit" in line and "Partial" in line for line in plan[at:])
+
+
+def test_more_rows_make_more_buckets(spark, market, monkeypatch):
+    """A bucket is sorted by one task, so its rows stay bounded."""
+    assert bucketed.buckets_for_rows(spark.range(21), spark.range(3), bucket_rows=5) == 5
+    assert bucketed.buckets_for_rows(spark.range(21), bucket_rows=5, at_least=8) == 8
+    made, write = [], bucketed.write_bucketed
+    monkeypatch.setattr(bucketed, "write_bucketed", lambda df, key, buckets: (made.append(buckets), write(df, key, buckets))[1])
+    monkeypatch.setattr(bucketed.buckets_for_rows, "__kwdefaults__", {"bucket_rows": 500, "at_least": 1})
+    t = Tables(spark, FOLDER)
+    days, homes = storage_entries.bucketed_market(t)
+    assert made == [-(-market[0].count() // 500)] * 2 and made[0] > storage_entries.BUCKETS
+    assert days.count() == market[0].count() and homes.count() == market[1].count()
