@@ -221,3 +221,33 @@ def test_scratch_tables_are_removed(listings, spark):
     encoding.discard()
     with pytest.raises(Exception, match="(?i)not.*(exist|found)"):
         features.TargetEncoding.load(spark, encoding.scratch).groups.collect()
+
+
+def test_compared_models_share_one_preparation(listings, monkeypatch):
+    """Cap, encoding and rows are settled once for all algorithms, and every model is the one it would be alone."""
+    calls = []
+    for name in ("price_cap", "fit_target_encoding"):
+        work = getattr(features, name)
+        monkeypatch.setattr(features, name, lambda *a, _work=work, _name=name, **k: (calls.append(_name), _work(*a, **k))[1])
+    both = models.train_prices(listings, ("lr", "rf"))
+    assert sorted(calls) == ["fit_target_encoding", "price_cap"]
+    alone = [models.train_price(listings, algo).metrics.first() for algo in ("lr", "rf")]
+    for row, own in zip(models.compare(both).collect(), alone, strict=True):
+        assert row["algo"] == own["algo"] and row["n_train"] == own["n_train"]
+        assert row["rmse_log"] == pytest.approx(own["rmse_log"])
+
+
+def test_training_reads_its_input_once(listings, tmp_path):
+    """What follows the stored rows reads those, not the joins or files that made the listings."""
+    source = str(tmp_path / "listings")
+    listings.write.parquet(source)
+    trained = models.train_price(listings.sparkSession.read.parquet(source), "lr")
+    read = {f for df in (trained.metrics, trained.predictions) for f in df.inputFiles()}
+    assert read and not any(source in f for f in read)
+    assert trained.metrics.first()["n_train"] > 0
+
+
+def test_partitions_of_a_fit_follow_its_rows(spark):
+    few, many = spark.range(1000), spark.range(20 * models.PARTITION_ROWS + 1)
+    assert models.partitions_for(few) == models.PARTITIONS
+    assert models.partitions_for(many) == 21
