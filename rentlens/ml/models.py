@@ -39,7 +39,8 @@ DEMAND_MODELS: dict[str, tuple[Callable, dict]] = {
     "logreg": (LogisticRegression, {"maxIter": 100, "family": "binomial", "weightCol": "weight"}),
     "rf": (
         RandomForestClassifier,
-        {"numTrees": 150, "maxDepth": 12, "seed": 42, "weightCol": "weight"},
+        # Deep trees: each pass would send the whole forest with every task. Cached node ids change no split.
+        {"numTrees": 150, "maxDepth": 12, "seed": 42, "weightCol": "weight", "cacheNodeIds": True},
     ),
 }
 BENCHMARK_NUMERIC = (

@@ -251,3 +251,13 @@ def test_partitions_of_a_fit_follow_its_rows(spark):
     few, many = spark.range(1000), spark.range(20 * models.PARTITION_ROWS + 1)
     assert models.partitions_for(few) == models.PARTITIONS
     assert models.partitions_for(many) == 21
+
+
+def test_deep_forests_do_not_travel_with_tasks(listings):
+    """The same scores with and without cached node ids, which the demand forest uses."""
+    assert models._estimator(models.DEMAND_MODELS, "rf", SMALL).getCacheNodeIds()
+    found = [
+        {r["id"]: r["probability"] for r in models.train_occupancy(listings, changes={**SMALL, "cacheNodeIds": c}).predictions.collect()}
+        for c in (True, False)
+    ]
+    assert found[0] == found[1]
