@@ -142,3 +142,13 @@ def test_scratch_follows_the_configured_folder(spark):
     assert scratch.new_folder(session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
     with pytest.raises(ValueError):
         scratch.new_folder(session("yarn", None), "x")
+
+
+def test_log_names_are_parsed_once_per_file(spark, tmp_path):
+    """A name is looked at in a table of files; lines of logs under another naming and of encoded paths are told apart."""
+    for name, secs in (("my load_2w.txt", "1.5"), ("a_1w.txt", "2"), ("a_1w.log", "9")):
+        (tmp_path / name).write_text(f'"wall_secs": {secs},\n"run": 1\n')
+    runs = run_logs.read_run_logs(spark, str(tmp_path))
+    assert sorted(map(tuple, runs.collect())) == [("a", 1, 2.0), ("my load", 2, 1.5)]
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "rlike" not in plan.split("Join Inner")[0].lower()
