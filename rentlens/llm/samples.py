@@ -38,7 +38,7 @@ def drawn(rows: DataFrame, group: str, most: int | Column, seed: int, group_byte
 
 
 def once(work: Callable[[pa.RecordBatch], pa.RecordBatch]):
-    """Apply ``work`` to the rows of a task whose lot did not come before; there are no more lots than rows in the sample."""
+    """Apply ``work`` to the rows of a task whose lot did not come before; it keeps eight bytes for each lot of its split."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
