@@ -10,23 +10,23 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import mixing
 from .frames import whole_text
-from .samples import drawn, gathered, once
 from .textblocks import LOWER, U64, blocks, text_bytes
 
 FEATURES = 4096
 ORDERS = (2, 3)
-PER_LANGUAGE = 800  # training rows per language at most: a bounded sample, drawn by a hash of key and text
-SAMPLE = 8000  # training rows of all languages at most
-SPARE = 8  # times the rows wanted that take part in the draw; only where more of a language are copies, fewer teach
 LANGUAGES = 256  # languages that are learned at most, those with the most rows
-STEPS = 120
+STEPS = 120  # small batches that a part learns from at least, over all passes
+BATCH = 32
+PASSES = 20  # at most
 CLOSE = 0.1  # loss margin, as a share of the second best loss, under which a text is ambiguous
 UNKNOWN = "und"
 TEXTS = 256  # texts whose dense features are held at once
@@ -121,39 +121,88 @@ def trained(features: np.ndarray, languages: list[str]) -> LanguageModel:
     return LanguageModel(names, codes, weights, bias, np.maximum(right - 0.5, 0.01).astype(np.float32))
 
 
-def _feature_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Features in sparse form, so that the bounded sample stays small."""
-    body, offsets = text_bytes(batch.column("text"))
-    out = []
-    for i, j in blocks(offsets, most=TEXTS):
-        for row in ngram_features(body[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]):
-            at = np.flatnonzero(row)
-            out.append(at.astype("<u2").tobytes() + row[at].astype("<f2").tobytes())
-    return pa.RecordBatch.from_arrays([batch.column("lot"), batch.column("lang"), pa.array(out, pa.binary())], ["lot", "lang", "features"])
+def _feature_list(body: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    return list(ngram_features(body, offsets))
 
 
-def fit_languages(rows: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE) -> LanguageModel:
-    """Learn from rows (doc_id, text, lang): at most ``per_language`` whole texts of a language and ``sample`` of all.
+class Learner:
+    """Logistic classifiers of all bits that learn from small batches, and how they did on each batch before it taught."""
 
-    Rows without language, key or text do not teach, nor do texts over ``samples.LONGEST`` bytes. Rows equal in language,
-    key and text teach once. Of more than ``LANGUAGES`` languages the rarest are not learned. A language that is named
-    ``und`` is learned like others, but a prediction of it has score 0.
+    def __init__(self, weights: np.ndarray, bias: np.ndarray, codes: np.ndarray, step: int):
+        self.weights, self.bias, self.codes, self.step = weights.copy(), bias.copy(), codes, step
+        self.state = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(bias), np.zeros_like(bias)]
+        self.taken = self.rows = 0
+        self.right, self.weight = np.zeros(codes.shape[1]), 0.0
+
+    def learn(self, features: np.ndarray, row: np.ndarray, share: np.ndarray) -> None:
+        target, share = self.codes[row], share[:, None].astype(np.float32)
+        margin = target * (features @ self.weights + self.bias)
+        self.right += ((margin > 0) * share).sum(axis=0)
+        self.weight += float(share.sum())
+        self.rows += len(row)
+        self.taken += 1
+        pull = -target / (1 + np.exp(np.clip(margin, -30, 30))) * share / len(row)
+        rate = 0.5 / np.sqrt(1 + (self.step + self.taken) / 20)
+        for k, (value, slope) in enumerate(((self.weights, features.T @ pull + 1e-5 * self.weights), (self.bias, pull.sum(axis=0)))):
+            first, second = self.state[2 * k], self.state[2 * k + 1]
+            first += 0.1 * (slope - first)
+            second += 0.01 * (slope * slope - second)
+            value -= rate * (first / (1 - 0.9**self.taken)) / (np.sqrt(second / (1 - 0.99**self.taken)) + 1e-6)
+
+    def moved(self, part: int) -> pa.RecordBatch:
+        """A block per bit: weights, bias, weight of the rows that were right and of all, the last two per row."""
+        out = []
+        for b in range(self.codes.shape[1]):
+            rest = np.array([self.bias[b], self.right[b] / self.rows, self.weight / self.rows])
+            out.append((b, part, self.rows, np.concatenate([self.weights[:, b], rest]).astype(np.float32).tobytes()))
+        return mixing.batch_of(out)
+
+
+def _pass(model_at, names: list[str], share: np.ndarray, step: int):
+    place = {name: k for k, name in enumerate(names)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, steps in groupby(mixing.lessons(batches, _feature_list, "lang", BATCH), lambda lesson: lesson[0]):
+            learner = Learner(*model_at.value, step)
+            for _, features, langs in steps:
+                row = np.array([place[x] for x in langs])
+                learner.learn(np.stack(features), row, share[row])
+            yield learner.moved(part)
+
+    return run
+
+
+def fit_languages(rows: DataFrame) -> LanguageModel:
+    """Learn from all rows (doc_id, text, lang), whole texts, in parts whose classifiers are averaged.
+
+    Every language counts alike, however many rows it has. Rows without language, key or text do not teach. Rows equal in
+    language, key and text teach once. Of more than ``LANGUAGES`` languages the rarest are not learned. Where a part has few
+    rows, they are gone through several times. A language that is named ``und`` is learned like others, but a prediction of
+    it has score 0.
     """
     known = rows.where("lang is not null and doc_id is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return LanguageModel([], codewords(0), np.zeros((FEATURES, 0), np.float32), np.zeros(0, np.float32), np.ones(0, np.float32))
-    most = max(1, min(per_language, sample // len(counts)))
-    learned = known.where(F.col("lang").isin(*counts))
-    share = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, SPARE * most / n))])[F.col("lang")]
-    found = gathered(drawn(learned, "lang", most, seed=3, share=share).mapInArrow(once(_feature_rows), "lot long, lang string, features binary")).sort_by("lot")
-    if not found.num_rows:
-        return fit_languages(known.where("false"))
-    features = np.zeros((found.num_rows, FEATURES), np.float32)
-    for k, data in enumerate(found.column("features").to_pylist()):
-        n = len(data) // 4
-        features[k, np.frombuffer(data, "<u2", n)] = np.frombuffer(data, "<f2", n, 2 * n)
-    return trained(features, found.column("lang").to_pylist())
+    counted = known.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).cast("long").alias("size"))
+    counts = {r["lang"]: (r["n"], r["size"]) for r in counted.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    names = sorted(counts)
+    codes = codewords(len(names))
+    bits = codes.shape[1]
+    weights, bias = np.zeros((FEATURES, bits), np.float32), np.zeros(bits, np.float32)
+    if not bits:
+        return LanguageModel(names, codes, weights, bias, np.ones(0, np.float32))
+    n = sum(k for k, _ in counts.values())
+    share = np.array([n / len(names) / counts[x][0] for x in names])
+    parts = mixing.parts_for(n, sum(size for _, size in counts.values()))
+    steps = -(-n // (parts * BATCH))
+    passes = max(1, min(PASSES, -(-STEPS // steps)))
+    learned = known.where(F.col("lang").isin(*names)).select(F.xxhash64(F.lit(3), "lang", "doc_id", "text").alias("lot"), "lang", "text")
+    learned = mixing.dealt(learned, parts, "languages" if passes > 1 else None)
+    for k in range(passes):
+        shared = rows.sparkSession.sparkContext.broadcast((weights, bias, codes))
+        found = mixing.put_together(learned.mapInArrow(_pass(shared, names, share, k * steps), mixing.MOVED), lambda _, moved: mixing.mean_of(moved))
+        shared.unpersist()
+        whole = np.stack([np.frombuffer(found[b], np.float32) for b in range(bits)], axis=1)
+        weights, bias, right = whole[:FEATURES], whole[FEATURES], whole[FEATURES + 1] / whole[FEATURES + 2]
+    return LanguageModel(names, codes, weights, bias, np.maximum(right - 0.5, 0.01).astype(np.float32))
 
 
 def has_letter(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:

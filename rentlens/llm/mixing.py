@@ -39,11 +39,12 @@ def parts_for(n: int, size: int) -> int:
     return max(1, -(-n // PART_ROWS), -(-size // PART_BYTES))
 
 
-def dealt(rows: DataFrame, parts: int, label: str) -> DataFrame:
-    """The rows, stored by ``part`` and ``lot``; rows that share a lot are one row of each task that read them."""
+def dealt(rows: DataFrame, parts: int, label: str | None = None) -> DataFrame:
+    """The rows by ``part`` and ``lot``; rows that share a lot are one row of each task that read them. With a label they are stored."""
     single = rows.mapInArrow(once(lambda batch: batch), rows.schema)
     part = F.pmod("lot", F.lit(parts)).cast("int")
-    return stored(single.withColumn("part", part).repartitionById(parts, "part").sortWithinPartitions("part", "lot"), label)
+    out = single.withColumn("part", part).repartitionById(parts, "part").sortWithinPartitions("part", "lot")
+    return stored(out, label) if label else out
 
 
 def lessons(batches: Iterator[pa.RecordBatch], work: Callable, target: str, most: int) -> Iterator[tuple[int, list, list]]:

@@ -9,13 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textblocks import text_bytes
-
 GROUP_BYTES = 32 << 20  # text of the sample per group, at most
 LONGEST = 1 << 20  # a longer text does not teach; it is judged in full all the same
 
@@ -56,12 +53,3 @@ def once(work: Callable[[pa.RecordBatch], pa.RecordBatch]):
 def gathered(rows: DataFrame) -> pa.Table:
     """One row per lot, in no order, at the driver."""
     return rows.dropDuplicates(["lot"]).toArrow()
-
-
-def values(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
-    """What each value of a binary column holds, seen in place and not copied."""
-    out = []
-    for chunk in column.chunks:
-        body, at = text_bytes(chunk)
-        out += [body[a:b].view(kind) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-    return out

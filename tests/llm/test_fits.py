@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from rentlens.llm import mixing, toxicity
+from rentlens.llm.language_id import decided, fit_languages
 from rentlens.llm.textblocks import joined
 from rentlens.llm.toxicity import best_threshold, best_thresholds, first_net, fit_toxicity, score_toxicity, word_slots
 
@@ -91,3 +92,25 @@ def test_thresholds_over_ranges(spark, monkeypatch):
     for group in {g for g, _, _ in rows}:
         logits, toxic = (np.array([r[k] for r in rows if r[0] == group]) for k in (1, 2))
         assert got[group].hits == toxic.sum() and got[group].threshold == best_threshold(logits, toxic)
+
+
+def test_every_row_teaches_its_language(spark):
+    """Of a language, rows beyond the lowest 800 hashes are of other letters, which are rare in the other language."""
+    rng = random.Random(6)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(4)) for _ in range(20))
+    made = [(k, text("abcd"), "x") for k in range(800)] + [(k, text("efgh"), "x") for k in range(800, 3800)]
+    lots = dict(spark.createDataFrame(made, "doc_id long, text string, lang string").select("doc_id", F.xxhash64(F.lit(3), "lang", "doc_id", "text")).collect())
+    middle = sorted(lots[k] for k in range(800))[400]
+    low = [r for r in made[:800] if lots[r[0]] <= middle]
+    high = [r for r in made[800:] if lots[r[0]] > middle]
+    more = [(10_000 + k, text("abcd"), "x") for k in range(3000)]
+    lots |= dict(spark.createDataFrame(more, "doc_id long, text string, lang string").select("doc_id", F.xxhash64(F.lit(3), "lang", "doc_id", "text")).collect())
+    low += [r for r in more if lots[r[0]] <= middle][: 800 - len(low)]
+    assert len(low) == 800 and len(high) > 800
+    other = [(20_000 + k, text("ijkl") + " " + text("efgh")[:10], "y") for k in range(800)]
+    rows = spark.createDataFrame(low + high + other, "doc_id long, text string, lang string")
+    asked = [text("efgh") for _ in range(40)] + [text("abcd") for _ in range(40)] + [text("ijkl") for _ in range(40)]
+    models = [fit_languages(rows.repartition(p)) for p in (1, 5)]
+    for model in models:
+        assert decided(model, *joined([t.encode() for t in asked]))[0] == ["x"] * 80 + ["y"] * 40
+    assert np.allclose(models[0].weights, models[1].weights, atol=1e-4)
