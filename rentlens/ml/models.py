@@ -149,7 +149,11 @@ def fit_all(
 
         def fitted(e) -> PipelineModel:
             by_bins = large and forests.covers(e)
-            return PipelineModel([*prepared.stages, forests.fit(e, ready, prepared.stages, numbers, categories) if by_bins else e.fit(ready)])
+            model = forests.fit(e, ready, prepared.stages, numbers, categories) if by_bins else e.fit(ready)
+            if isinstance(e, RandomForestClassifier) and model.hasSummary:
+                # The summary holds the session, which cannot travel with tasks once it has observed a plan.
+                model._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
+            return PipelineModel([*prepared.stages, model])
 
         if len(estimators) == 1:
             return [fitted(estimators[0])]

@@ -5,6 +5,7 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from rentlens.ml import evaluation, features, models
@@ -261,3 +262,13 @@ def test_deep_forests_do_not_travel_with_tasks(listings):
         for c in (True, False)
     ]
     assert found[0] == found[1]
+
+
+def test_a_forest_of_classes_scores_after_an_observation(spark, listings):
+    """A session that has observed a plan cannot be serialized; the model must not hold it."""
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    result = models.train_occupancy(listings, "rf", SMALL)
+    assert result.predictions.select("probability").count() == result.metrics.first()["n_test"]
+    assert len(result.predictions.select("probability").collect()) == result.metrics.first()["n_test"]
